@@ -5,12 +5,38 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def held_out(doc_id: str = "doc_id"):
+    """Documents that language ID does not learn from: crc32 of the id's text leaves 2 on division by 4."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .langid import classify, fit
+
+    docs = _read(spark, sf_dir, "documents").withColumn("held_out", held_out())
+    model = fit(docs.where(~F.col("held_out")))
+    return classify(docs.select("doc_id", "text", "held_out"), model).drop("text")
+
+
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontaminate import decontaminate
+
+    return decontaminate(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark")).drop("items")
+
+
+def op4_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .bagminhash import near_duplicates
+
+    return near_duplicates(_read(spark, sf_dir, "documents"))
+
+
 def op7_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack
 
@@ -23,5 +49,5 @@ def op9_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet_tokens(_read(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op7_curve_packing, op9_wavelet_tokens)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_language_id, op3_decontamination, op4_bagminhash, op7_curve_packing, op9_wavelet_tokens)}
 ORACLE_SQL: dict[str, str] = {}
