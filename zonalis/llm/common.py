@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import os
 import shutil
 import tempfile
@@ -41,6 +42,20 @@ def stored(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_stored(df: DataFrame) -> None:
+    """Deletes the files of a frame from ``stored`` that nothing reads any more."""
+    jvm = df.sparkSession._jvm
+    for path in {os.path.dirname(f) for f in df.inputFiles()}:
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def free(spark: SparkSession) -> None:
+    """Lets Spark remove the shuffle files of frames that are no longer referenced."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

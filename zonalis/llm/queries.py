@@ -49,5 +49,11 @@ def op9_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet_tokens(_read(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_language_id, op3_decontamination, op4_bagminhash, op7_curve_packing, op9_wavelet_tokens)}
+def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .suffixes import remove_repeats
+
+    return remove_repeats(_read(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_language_id, op3_decontamination, op4_bagminhash, op7_curve_packing, op9_wavelet_tokens, op10_repeated_passages)}
 ORACLE_SQL: dict[str, str] = {}
