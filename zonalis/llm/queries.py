@@ -25,6 +25,12 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(docs.select("doc_id", "text", "held_out"), model).drop("text")
 
 
+def op2_mcd_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import quality
+
+    return quality(_read(spark, sf_dir, "documents"))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .decontaminate import decontaminate
 
@@ -55,5 +61,5 @@ def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(_read(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_language_id, op3_decontamination, op4_bagminhash, op7_curve_packing, op9_wavelet_tokens, op10_repeated_passages)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_language_id, op2_mcd_quality, op3_decontamination, op4_bagminhash, op7_curve_packing, op9_wavelet_tokens, op10_repeated_passages)}
 ORACLE_SQL: dict[str, str] = {}
