@@ -279,3 +279,36 @@ def _sets(docs: DataFrame, needed: DataFrame) -> DataFrame:
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), as_text("text").alias("text"))
     met = slim.join(needed.withColumnRenamed("doc_id", "d"), F.col("doc_id").eqNullSafe(F.col("d"))).select("text", "content")
     return met.mapInArrow(run, "content binary, packed binary").dropDuplicates(["content"])
+
+
+def one_of_each(docs: DataFrame, threshold: float = 0.8, bands: int = 36, rows: int = 6, rounds: int = 3) -> DataFrame:
+    """The rows of ``docs`` that stay, with their own columns: of each class the row of least doc_id.
+
+    Rows that repeat each other in doc_id and text are one; a row without
+    shingles stays.  The classes' doc_ids are joined with the rows by doc_id
+    and a hash of the text, for a doc_id may stand in several rows.
+    """
+    got = near_duplicates(docs, threshold, bands, rows, rounds)
+    stay = stored(got.where("kept").groupBy("doc_id").agg(F.collect_set("content").alias("contents"), F.count("*").alias("n")), "stay")
+    named = stay.select(F.col("doc_id").alias("_stay"), "contents", "n")
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row_"), F.col("doc_id").cast("long").alias("_id"))
+    met = row.join(named, F.col("_id").eqNullSafe(F.col("_stay")))
+    # a doc_id with several rows that stay, or with rows that go, is looked at again by content
+    several = docs.groupBy(F.col("doc_id").cast("long").alias("_many")).agg(F.count("*").alias("c")).where("c > 1")
+    if several.isEmpty():
+        return met.select("_row_.*")
+    several = stored(several, "several").select("_many")
+    plain = met.join(several, F.col("_id").eqNullSafe(F.col("_many")), "left_anti").select("_row_.*")
+    again = met.join(several, F.col("_id").eqNullSafe(F.col("_many")), "left_semi").select("_row_", "contents", F.col("_row_.text").cast("string").alias("text"))
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for some, buf, offs in text_slices(batch, "text"):
+                keys = [content_key(u, c).hex().upper() for u, c in multisets(buf, offs)]
+                yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), pa.array(keys, pa.string())], names=["_row_", "contents", "content"])
+
+    kind = again.schema["_row_"].dataType.simpleString()
+    chosen = again.mapInArrow(keyed, f"_row_ {kind}, contents array<string>, content string").where(F.array_contains("contents", F.col("content")))
+    # one row of those alike, by partial aggregation; rows without shingles all stay
+    first = chosen.where("content <> ''").groupBy(F.col("_row_.doc_id").alias("d"), "content").agg(F.min_by("_row_", F.xxhash64("_row_")).alias("_row_")).select("_row_.*")
+    return plain.unionByName(first).unionByName(chosen.where("content = ''").select("_row_.*"))

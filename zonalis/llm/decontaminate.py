@@ -190,3 +190,9 @@ def _none(window: int) -> ItemIndex:
     index = ItemIndex([], window)
     index.choose({})
     return index
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_bytes: int = 4 << 20) -> DataFrame:
+    """The rows of ``docs`` without a hit, with their own columns, whatever their names."""
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row_"), F.col("text"))
+    return decontaminate(row, benchmark, window, block_bytes, keep=("_row_",)).where("not contaminated").select("_row_.*")

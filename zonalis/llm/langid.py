@@ -114,5 +114,13 @@ def classify(docs: DataFrame, model: dict[str, bytes], min_margin: float = 0.002
             yield pd.DataFrame(out, columns=["lang_pred", "score", "margin", "accepted"])
 
     cols = [c for c in docs.columns if c not in ("lang_pred", "score", "margin", "accepted")]
-    got = docs.select(*cols, predict(as_text("text")).alias("_p"))
-    return got.select(*cols, "_p.*")
+    got = docs.select(*[F.col(f"`{c}`") for c in cols], predict(as_text("text")).alias("_p"))
+    return got.select(*[F.col(f"`{c}`") for c in cols], "_p.*")
+
+
+def told(docs: DataFrame, model: dict[str, bytes]) -> DataFrame:
+    """The rows of ``docs`` whose language is accepted, with their own columns, whatever their names."""
+    name = "_told"
+    while name in docs.columns:
+        name += "_"
+    return classify(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(name), F.col("text")), model).where("accepted").select(f"{name}.*")

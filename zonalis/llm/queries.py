@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,12 +44,32 @@ def op4_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_read(spark, sf_dir, "documents"))
 
 
+def op5_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .licenses import scan
+
+    got = scan(_read(spark, sf_dir, "documents"))
+    return got.select("doc_id", "n_sentences", F.array_join("sentence_ids", ",").alias("sentence_ids"), F.array_join("licenses", ",").alias("licenses"), "n_licenses")
+
+
+def op6_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pages import extract
+
+    return extract(_read(spark, sf_dir, "pages"))
+
+
 def op7_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack
 
     return pack(_read(spark, sf_dir, "documents"))
 
 
+def op8_feistel_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import pseudonymise
+
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    return pseudonymise(docs, counts=True)
+
+
 def op9_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .wavelet import wavelet_tokens
 
@@ -61,5 +82,9 @@ def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(_read(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_language_id, op2_mcd_quality, op3_decontamination, op4_bagminhash, op7_curve_packing, op9_wavelet_tokens, op10_repeated_passages)}
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_language_id, op2_mcd_quality, op3_decontamination, op4_bagminhash, op5_license_rules, op6_page_text, op7_curve_packing, op8_feistel_pii, op9_wavelet_tokens, op10_repeated_passages, pipeline)}
 ORACLE_SQL: dict[str, str] = {}
