@@ -51,9 +51,9 @@ def chi2(df: DataFrame, a: str, b: str) -> DataFrame:
 def anova(df: DataFrame, group: str, value: str) -> DataFrame:
     """One row: F, eta squared, degrees of freedom."""
     d = df.where(F.col(group).isNotNull() & F.col(value).isNotNull())
-    g = d.groupBy(group).agg(F.count("*").alias("n"), F.avg(value).alias("m"), F.var_pop(value).alias("v"))
-    total = g.agg(F.sum("n").alias("N"), (F.sum(F.col("n") * F.col("m")) / F.sum("n")).alias("M"), F.count("*").alias("k"))
-    s = g.crossJoin(F.broadcast(total)).agg(F.sum(F.col("n") * (F.col("m") - F.col("M")) ** 2).alias("between"), F.sum(F.col("n") * F.col("v")).alias("within"), F.first("k").alias("k"), F.first("N").alias("n"))  # one row
+    g = d.groupBy(group).agg(F.count("*").alias("_n"), F.avg(value).alias("_m"), F.var_pop(value).alias("_v"))
+    total = g.agg(F.sum("_n").alias("n"), (F.sum(F.col("_n") * F.col("_m")) / F.sum("_n")).alias("_all"), F.count("*").alias("k"))
+    s = g.crossJoin(F.broadcast(total)).agg(F.sum(F.col("_n") * (F.col("_m") - F.col("_all")) ** 2).alias("between"), F.sum(F.col("_n") * F.col("_v")).alias("within"), F.first("k").alias("k"), F.first("n").alias("n"))  # one row
     return s.select((F.col("between") / (F.col("k") - 1) / (F.col("within") / (F.col("n") - F.col("k")))).alias("f"), (F.col("between") / (F.col("between") + F.col("within"))).alias("eta_squared"), (F.col("k") - 1).alias("df1"), (F.col("n") - F.col("k")).alias("df2"))
 
 

@@ -1 +1,6 @@
+"""The registered queries of the engine's own operators."""
 
+from . import decisions, matches, places, profiles, samples, shapes, tests_of  # noqa: F401  (each registers its queries)
+from .registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]

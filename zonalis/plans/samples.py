@@ -163,14 +163,14 @@ def cleaning_report(t: Tables) -> DataFrame:
 
 _GRID = """
 WITH v AS (SELECT vec_id, vec_id % 25 AS y, (vec_id // 25) % 20 AS x, label AS layer, embedding[1] AS e FROM embeddings),
-g AS (SELECT layer, y, x, round(avg(CAST(e AS DOUBLE)), 6) AS value FROM v GROUP BY ALL)
+g AS (SELECT layer, y, x, avg(CAST(e AS DOUBLE)) AS value FROM v GROUP BY ALL)
 """
 
 
 def raster(t: Tables) -> DataFrame:
     """Vectors as a sparse raster: layer, y, x, value."""
     v = t.embeddings.select(F.col("label").alias("layer"), (F.col("vec_id") % 25).alias("y"), (F.floor(F.col("vec_id") / 25) % 20).alias("x"), F.col("embedding")[0].cast("double").alias("e"))
-    return v.groupBy("layer", "y", "x").agg(F.round(F.avg("e"), 6).alias("value"))
+    return v.groupBy("layer", "y", "x").agg(F.avg("e").alias("value"))
 
 
 def _cells(t: Tables) -> DataFrame:

@@ -161,7 +161,7 @@ def upsert(t: Tables) -> DataFrame:
     return new.unionAll(c.join(new, "c_custkey", "left_anti")).select("c_custkey", F.round("b", 4).alias("balance"))
 
 
-@query("SELECT user_id, CAST(epoch(ts) // 900 AS BIGINT) AS slot, count(*) AS attempts, count(*) > 2 AS blocked FROM events GROUP BY ALL")
+@query("SELECT user_id, CAST(floor(epoch(ts) / 900) AS BIGINT) AS slot, count(*) AS attempts, count(*) > 2 AS blocked FROM events GROUP BY ALL")
 def throttle_window(t: Tables) -> DataFrame:
     slot = F.floor(F.unix_timestamp(F.col("ts").cast("timestamp")) / 900)
     return t.events.groupBy("user_id", slot.alias("slot")).agg(F.count("*").alias("attempts"), (F.count("*") > 2).alias("blocked"))
@@ -188,6 +188,6 @@ def spatial_folds(t: Tables) -> DataFrame:
     return t.customer.join(f, "c_nationkey").select("c_custkey", "fold")
 
 
-@query("SELECT event_id, json_extract_string(props, '$.k') AS k, json_array_length(json_keys(props)) AS n_keys FROM events")
+@query("SELECT event_id, json_extract_string(props, '$.k') AS k, CAST(len(json_keys(props)) AS BIGINT) AS n_keys FROM events")
 def json_flatten(t: Tables) -> DataFrame:
     return t.events.select("event_id", F.get_json_object("props", "$.k").alias("k"), F.size(F.json_object_keys("props")).cast("long").alias("n_keys"))
