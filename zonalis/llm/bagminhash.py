@@ -11,12 +11,11 @@ weighted Jaccard similarity.
 
 Documents of equal multisets are one *content*, and only contents are banded,
 so large groups of copies cost one row.  Contents that agree in a band are
-candidates.  A bucket's candidates are compared with one pivot at a time, not
-all with all: what joins the pivot's class is settled, and rounds go on while
-a bucket holds several classes.  What is left after ``rounds`` pivots is
-compared pair by pair, without those that the metric rules out: the distance
-1 - J obeys the triangle inequality, so two contents whose distances to a
-common pivot differ by more than 1 - ``threshold`` cannot be linked.  A link
+candidates.  First a bucket's candidates are compared with one pivot, its
+member of most company, not all with all: what joins the pivot's class is
+settled.  In buckets that then still hold several classes, the pairs of
+different classes are estimated from their signatures, in bounded blocks, and
+those within four standard errors of the threshold are compared too.  A link
 is kept only if the exact multiset overlap reaches ``threshold``.
 
 Result: one row per document with the smallest doc_id of its class.  Null and
@@ -34,9 +33,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import as_text, combine, mix, prefix_hash, range_hash, stored, text_slices, words
+from .common import as_text, combine, mix, prefix_hash, range_hash, shuffle_partitions, stored, text_slices, words
 
 SHINGLE = 5
+#: Registers beyond the bands', for closer estimates.
+EXTRA = 144
 _U = np.uint64
 
 
@@ -85,7 +86,7 @@ def signatures(sets: list[tuple[np.ndarray, np.ndarray]], m: int) -> np.ndarray:
             u, c = sets[i]
             for k in range(-1, int(c.max() - 1).bit_length()):  # level 0, then [2^k, 2^(k+1))
                 some = u if k < 0 else u[c > 1 << k]
-                seed.append(mix(some + _U(0x632BE59BD9B4E019) * _U(k + 2)))
+                seed.append(mix(some + _U(0x632BE59BD9B4E019 * (k + 2) & 0xFFFFFFFFFFFFFFFF)))
                 rate.append(np.full(len(some), max(k, 0), np.int64))
                 base.append(np.full(len(some), 0 if k < 0 else 1 << k, np.int64))
                 weight.append(c if k < 0 else c[c > 1 << k])
@@ -95,7 +96,7 @@ def signatures(sets: list[tuple[np.ndarray, np.ndarray]], m: int) -> np.ndarray:
         limit = ((np.log(m) + slack) * m / total[owner] * 2.0**32).astype(np.int64)
         t, step = np.zeros(len(seed), np.int64), 0
         while len(seed):
-            h = mix(seed + _U(step) * _U(0xD6E8FEB86659FD93))
+            h = mix(seed + _U(step * 0xD6E8FEB86659FD93 & 0xFFFFFFFFFFFFFFFF))
             t = t + np.maximum(1, (-np.log1p(-((h >> _U(11)).astype(np.float64) * 2.0**-53)) * 2.0**32).astype(np.int64) >> rate)
             on = t < limit
             seed, rate, owner, base, weight, limit, t = (x[on] for x in (seed, rate, owner, base, weight, limit, t))
@@ -133,23 +134,25 @@ def _unpack(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return u, c
 
 
-def sign(docs: DataFrame, bands: int, rows: int) -> DataFrame:
-    """doc_id, content (128-bit key; empty without shingles), size (shingles), bands (a hash each)."""
+def sign(docs: DataFrame, bands: int, rows: int, spare: int = EXTRA) -> DataFrame:
+    """doc_id, content (128-bit key; empty without shingles), size (shingles), bands (a hash each), sig (16 bits of each register).  The last ``spare`` registers serve estimates alone."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tag = mix(np.arange(1, bands + 1, dtype=np.uint64))
         for batch in batches:
             for some, buf, offs in text_slices(batch, "text"):
                 sets = list(multisets(buf, offs))
-                sig = signatures(sets, bands * rows).reshape(len(sets), bands, rows)
+                whole = signatures(sets, bands * rows + spare)
+                sig = whole[:, : bands * rows].reshape(len(sets), bands, rows)
                 h = np.zeros((len(sets), bands), np.uint64)
                 for k in range(rows):
                     h = mix(h * _U(0x9FB21C651E98DF25) + sig[:, :, k] + tag)
                 keys = [content_key(u, c) for u, c in sets]
+                marks = mix(whole).astype(np.uint16)
                 arr = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * bands, pa.int32()), pa.array(h.view(np.int64).ravel()))
-                yield pa.RecordBatch.from_arrays([some.column(0), pa.array(keys, pa.binary()), pa.array([int(c.sum()) for _, c in sets], pa.int64()), arr], names=["doc_id", "content", "size", "bands"])
+                yield pa.RecordBatch.from_arrays([some.column(0), pa.array(keys, pa.binary()), pa.array([int(c.sum()) for _, c in sets], pa.int64()), arr, pa.array([x.tobytes() for x in marks], pa.binary())], names=["doc_id", "content", "size", "bands", "sig"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), as_text("text").alias("text")).mapInArrow(run, "doc_id long, content binary, size long, bands array<long>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), as_text("text").alias("text")).mapInArrow(run, "doc_id long, content binary, size long, bands array<long>, sig binary")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -172,41 +175,39 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.select("a", "b", "pa", "pb").mapInArrow(run, "a binary, b binary, j double")
 
 
-def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """node, label: the smallest node of each connected component, by alternating large-star and small-star steps.
+def components(links: DataFrame) -> DataFrame:
+    """node, label of every linked node: the smallest node of its connected component.
 
-    ``links`` (a, b).  Each step is a shuffle of the links; a node with many
-    links is reduced by partial aggregation, and no group is collected.  Steps
-    are written to the shared folder.
+    Alternating large-star and small-star steps over ``links`` (a, b): every
+    node hands its least neighbour to the others.  A step is a few shuffles of
+    the links, a node with many links is reduced by partial aggregation, and
+    no group is collected; steps are written to the shared folder.  Stars
+    whose centre is least, as the pivots make them, are done after one.
     """
-    edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
-    edges = stored(edges, "edges")
-    while True:
-        before = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-        if not before["n"]:
-            break
+    spread = lambda d: d.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
+    edges = stored(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
+    state = spread(edges)
+    while state["n"]:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        large = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").union(low.select("u", F.col("m").alias("v")))
         edges = stored(small.distinct(), "edges")
-        after = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-        if (after["n"], after["h"]) == (before["n"], before["h"]):
+        was, state = state, spread(edges)
+        if state == was:
             break
-    label = edges.groupBy("u").agg(F.min("v").alias("label"))
-    return nodes.join(label, nodes["node"] == label["u"], "left").select("node", F.coalesce("label", "node").alias("label"))
+    label = edges.groupBy("u").agg(F.min("v").alias("label")).select(F.col("u").alias("node"), "label")
+    return label.union(label.select(F.col("label").alias("node"), "label").distinct())
 
 
-def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int = 36, rows: int = 6, rounds: int = 3) -> DataFrame:
+def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int = 40, rows: int = 6, block: int = 2048) -> DataFrame:
     """One row per document: doc_id, class_id, class_size (documents), n_links (verified links of its content), content (hex), kept (the one document of its class that stays)."""
     spark: SparkSession = docs.sparkSession
     signed = stored(sign(docs, bands, rows), "signed")
-    first, links = _links(docs, signed, threshold, rounds)
+    links, label = _links(docs, signed, threshold, block)
     degree = links.select("a").union(links.select(F.col("b").alias("a"))).groupBy("a").agg(F.count("*").alias("n_links"))
-    touched = degree.select(F.col("a").alias("node"))
-    labels = components(touched, links).join(degree, F.col("node") == F.col("a")).select("node", "label", "n_links")
+    labels = label.join(degree, F.col("node") == F.col("a")).select("node", "label", "n_links")
     # documents without shingles are their own class each; others go with their content
     plain = signed.where("length(content) > 0").groupBy("content").agg(F.min("doc_id").alias("low"), F.count("*").alias("n"))
     contents = plain.join(labels, plain["content"] == labels["node"], "left").select("content", "low", "n", F.coalesce("label", "content").alias("label"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
@@ -218,52 +219,100 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int = 36, ro
     return out.select("doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.when(alone, F.lit(1)).otherwise(F.col("class_size")).cast("long").alias("class_size"), F.when(alone, F.lit(0)).otherwise(F.col("n_links")).cast("long").alias("n_links"), F.hex("content").alias("content"), (alone | (F.col("lead") & F.col("doc_id").eqNullSafe(F.col("class_id")))).alias("kept"))
 
 
-def _links(docs: DataFrame, signed: DataFrame, threshold: float, rounds: int) -> tuple[DataFrame, DataFrame]:
-    """Contents with their bands, and the verified links (a, b, j) between different contents."""
-    first = signed.where("length(content) > 0").groupBy("content").agg(F.first("size").alias("size"), F.first("bands").alias("bands"), F.min("doc_id").alias("doc_id"))
-    banded = first.select("content", "size", "doc_id", F.posexplode("bands").alias("band", "h")).select("content", "size", "doc_id", F.xxhash64("band", "h").alias("bucket"), "h")
-    shared = banded.groupBy("bucket", "h").agg(F.count("*").alias("n")).where("n > 1").select("bucket", "h")
-    members = stored(banded.join(shared, ["bucket", "h"]).select("bucket", "content", "size", "doc_id"), "members")
-    needed = members.select("content", "doc_id").distinct()
-    sets = stored(_sets(docs, needed), "sets")
-    label = members.select(F.col("content").alias("node")).distinct().withColumn("label", F.col("node"))
-    tested: DataFrame | None = None
-    known = members.select("bucket", "content", "size")
-    for k in range(rounds):
-        # buckets that still hold several classes
-        now = known.join(label.withColumnRenamed("node", "content"), "content")
-        spread = now.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("bucket")
-        now = now.join(spread, "bucket")
-        pivot = now.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("content", F.lit(k)).alias("o"), "content", "size", "label")).alias("p"))
-        pairs = now.join(pivot, "bucket").where((F.col("label") != F.col("p.label")) & (F.least("size", "p.size") >= F.greatest("size", "p.size") * F.lit(threshold))).select(F.col("content").alias("a"), F.col("p.content").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti").join(tested.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
-        got = stored(_verified(pairs, sets), "verified")
-        tested = got if tested is None else tested.unionByName(got)
-        if got.isEmpty():
-            break
-        label = stored(components(label.select("node"), tested.where(F.col("j") >= threshold)), "labels")
-    else:
-        rest = stored(_verified(_rest(known, label, tested, threshold), sets), "verified")
-        tested = tested.unionByName(rest)
-    return first, tested.where(F.col("j") >= threshold)
-
-
-def _rest(members: DataFrame, label: DataFrame, tested: DataFrame, threshold: float) -> DataFrame:
-    """Candidate pairs of different classes that no pivot has settled, without those that size or a common pivot rules out."""
-    now = members.join(label.withColumnRenamed("node", "content"), "content")
-    spread = now.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("bucket")
-    now = now.join(spread, "bucket")
-    # the distance to the bucket's own first pivot, where it was measured
-    far = tested.select(F.col("a"), F.col("b"), (1 - F.col("j")).alias("d"))
-    pivot = now.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("content", F.lit(0)).alias("o"), "content")).alias("p")).select("bucket", F.col("p.content").alias("b"))
-    now = now.join(pivot, "bucket").join(far, (F.col("content") == F.col("a")) & (now["bucket"].isNotNull()) & (pivot["b"] == far["b"]), "left").select("bucket", "content", "size", "label", "d")
-    right = now.select("bucket", *[F.col(c).alias(f"{c}_") for c in ("content", "size", "label", "d")])
-    near = F.coalesce(F.abs(F.col("d") - F.col("d_")) <= 1 - threshold + 1e-9, F.lit(True))
-    pairs = now.join(right, "bucket").where((F.col("content") < F.col("content_")) & (F.col("label") != F.col("label_")) & (F.least("size", "size_") >= F.greatest("size", "size_") * F.lit(threshold)) & near)
-    pairs = pairs.select(F.col("content").alias("a"), F.col("content_").alias("b")).distinct()
+def _links(docs: DataFrame, signed: DataFrame, threshold: float, block: int) -> tuple[DataFrame, DataFrame]:
+    """The verified links (a, b, j) between different contents, and their components (node, label)."""
+    first = signed.where("length(content) > 0").groupBy("content").agg(F.first(F.struct("size", "bands", "sig")).alias("f"), F.min("doc_id").alias("doc_id"))
+    first = stored(first.select("content", "doc_id", "f.*"), "contents")
+    banded = first.select("content", "size", "doc_id", F.posexplode("bands").alias("band", "h"))
+    shared = stored(banded.groupBy("band", "h").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
+    members = stored(banded.join(shared, ["band", "h"]), "members")
+    needed = members.groupBy("content").agg(F.first("doc_id").alias("doc_id"), F.sum("n").alias("degree"))
+    needed = stored(needed, "needed")
+    sets = stored(_sets(docs, needed.select("content", "doc_id")), "sets")
+    # each bucket's pivot is its member of most company: the text that a group's copies were made from lies nearest to most of them
+    known = members.select("band", "h", "content", "size").join(needed.select("content", "degree"), "content")
+    known = stored(known, "known")
+    top = known.groupBy("band", "h").agg(F.min(F.struct((-F.col("degree")).alias("o"), "content", "size")).alias("p")).select("band", "h", F.col("p.content").alias("b"), F.col("p.size").alias("size_b"))
+    pairs = known.join(stored(top, "pivots"), ["band", "h"]).where((F.col("content") != F.col("b")) & (F.least("size", "size_b") >= F.greatest("size", "size_b") * F.lit(threshold)))
+    tested = stored(_verified(pairs.select(F.col("content").alias("a"), "b").distinct(), sets), "verified")
+    links = tested.where(F.col("j") >= threshold)
+    label = stored(components(links), "labels")
+    # buckets that still hold several classes
+    now = known.join(label, F.col("content") == F.col("node"), "left").select("band", "h", "content", "size", F.coalesce("label", "content").alias("label"))
+    now = stored(now, "labelled")
+    open_ = now.groupBy("band", "h").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("n")).where("x <> y").select("band", "h", "n")
+    now = now.join(stored(open_, "open"), ["band", "h"]).join(first.select("content", "bands", "sig"), "content")
+    rest = _estimated(now, threshold, block)
     done = tested.select("a", "b").union(tested.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    return pairs.join(done, ["a", "b"], "left_anti")
+    more = stored(_verified(rest.join(done, ["a", "b"], "left_anti"), sets), "verified")
+    found = more.where(F.col("j") >= threshold)
+    if not found.isEmpty():
+        links = links.unionByName(found)
+        label = stored(components(links), "labels")
+    return links, label
+
+
+def _estimated(now: DataFrame, threshold: float, block: int) -> DataFrame:
+    """Pairs (a, b) of different classes in a bucket whose signatures agree in enough registers, each pair once.
+
+    A bucket's rows are compared in memory, ``block`` by ``block``: a larger
+    one is cut into blocks, and every pair of blocks is a task's group.  The
+    least agreement is four standard errors below the threshold.  A pair is
+    given by the first band that it shares.
+    """
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def pairs(table: pa.Table) -> pa.RecordBatch:
+            t = table.combine_chunks()
+            sig = np.frombuffer(b"".join(t["sig"].to_pylist()), np.uint16).reshape(t.num_rows, -1)
+            bands = np.array(t["bands"].to_pylist(), np.int64)
+            size, side = t["size"].to_numpy(), t["side"].to_numpy()
+            band, own = t["band"][0].as_py(), t["i"][0].as_py() == t["j"][0].as_py()
+            label = np.unique(np.array(t["label"].to_pylist(), object), return_inverse=True)[1]
+            content, m = t["content"].to_pylist(), sig.shape[1]
+            least = m * threshold - 4 * (m * threshold * (1 - threshold)) ** 0.5
+            out_a, out_b = [], []
+            for k in range(t.num_rows):
+                other = np.arange(k + 1, t.num_rows)
+                other = other[(label[other] != label[k]) & (np.minimum(size[other], size[k]) >= threshold * np.maximum(size[other], size[k]))]
+                if not own:
+                    other = other[side[other] != side[k]]
+                other = other[(sig[other] == sig[k]).sum(axis=1) >= least]
+                if len(other):
+                    other = other[(bands[other] == bands[k]).argmax(axis=1) == band]
+                    for o in other.tolist():
+                        out_a.append(min(content[k], content[o]))
+                        out_b.append(max(content[k], content[o]))
+            return pa.RecordBatch.from_arrays([pa.array(out_a, pa.binary()), pa.array(out_b, pa.binary())], names=["a", "b"])
+
+        def groups(rest: bool) -> Iterator[pa.RecordBatch]:
+            nonlocal held
+            table = pa.Table.from_batches(held)
+            keys = np.stack([table[c].to_numpy() for c in ("band", "h", "i", "j")])
+            cuts = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
+            edges = [0, *cuts.tolist(), *([table.num_rows] if rest else [])]
+            for a, b in zip(edges, edges[1:]):
+                if b - a > 1:
+                    yield pairs(table.slice(a, b - a))
+            held = [] if rest else table.slice(edges[-1]).to_batches()
+
+        for batch in batches:
+            for i in range(0, batch.num_rows, 2048):
+                held.append(batch.slice(i, 2048))
+                if sum(b.num_rows for b in held) >= 4096:
+                    yield from groups(False)
+        if held:
+            yield from groups(True)
+
+    blocks = F.ceil(F.col("n") / block).cast("int")
+    own = F.pmod(F.xxhash64("content"), blocks).cast("int")
+    rows = now.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    rows = rows.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
+    rows = rows.select("band", "h", "i", "j", (F.col("own") == F.col("i")).alias("side"), "content", "size", "label", "bands", "sig")
+    key = ["band", "h", "i", "j"]
+    return rows.repartition(shuffle_partitions(now.sparkSession), *key).sortWithinPartitions(*key).mapInArrow(compare, "a binary, b binary")
 
 
 def _sets(docs: DataFrame, needed: DataFrame) -> DataFrame:
@@ -281,14 +330,14 @@ def _sets(docs: DataFrame, needed: DataFrame) -> DataFrame:
     return met.mapInArrow(run, "content binary, packed binary").dropDuplicates(["content"])
 
 
-def one_of_each(docs: DataFrame, threshold: float = 0.8, bands: int = 36, rows: int = 6, rounds: int = 3) -> DataFrame:
+def one_of_each(docs: DataFrame, threshold: float = 0.8, bands: int = 40, rows: int = 6, block: int = 2048) -> DataFrame:
     """The rows of ``docs`` that stay, with their own columns: of each class the row of least doc_id.
 
     Rows that repeat each other in doc_id and text are one; a row without
     shingles stays.  The classes' doc_ids are joined with the rows by doc_id
     and a hash of the text, for a doc_id may stand in several rows.
     """
-    got = near_duplicates(docs, threshold, bands, rows, rounds)
+    got = near_duplicates(docs, threshold, bands, rows, block)
     stay = stored(got.where("kept").groupBy("doc_id").agg(F.collect_set("content").alias("contents"), F.count("*").alias("n")), "stay")
     named = stay.select(F.col("doc_id").alias("_stay"), "contents", "n")
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row_"), F.col("doc_id").cast("long").alias("_id"))
