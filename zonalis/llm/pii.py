@@ -187,15 +187,15 @@ def pseudonym(key: str, s: Column) -> Column:
 
 def pseudonymise(docs: DataFrame, key: str = "zonalis", counts: bool = False) -> DataFrame:
     """``docs`` with personal data in ``text`` replaced; with ``counts`` also n_found and n_changed."""
-    text = as_text("text")
-    some = text.rlike("[0-9@]|(?i:password|passwd|pwd|token|secret|api_key)")
-    work = docs.withColumn("text", text).withColumn("_found", F.when(some, F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0))))
-    work = work.withColumn("_new", F.when(F.size("_found") > 0, F.transform("_found", lambda m: pseudonym(key, m))))
-    pieces = F.split(F.col("text"), PATTERN, -1)
-    joined = F.array_join(F.zip_with(pieces, F.col("_new"), lambda p, m: F.concat(p, F.coalesce(m, F.lit("")))), "")
-    out = work.withColumn("text", F.when(F.col("_new").isNotNull(), joined).otherwise(F.col("text")))
+    work = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("r"), as_text("text").alias("t"))
+    some = F.col("t").rlike("[0-9@]|(?i:password|passwd|pwd|token|secret|api_key)")
+    work = work.withColumn("found", F.when(some, F.regexp_extract_all("t", F.lit(PATTERN), F.lit(0))))
+    work = work.withColumn("new", F.when(F.size("found") > 0, F.transform("found", lambda m: pseudonym(key, m))))
+    pieces = F.split(F.col("t"), PATTERN, -1)
+    joined = F.array_join(F.zip_with(pieces, F.col("new"), lambda p, m: F.concat(p, F.coalesce(m, F.lit("")))), "")
+    text = F.when(F.col("new").isNotNull(), joined).otherwise(F.col("t"))
+    out = [text.alias(c) if c == "text" else F.col(f"r.`{c}`").alias(c) for c in docs.columns]
     if counts:
-        changed = F.size(F.filter(F.zip_with("_found", "_new", lambda a, b: a != b), lambda x: x))
-        out = out.withColumn("n_found", F.greatest(F.coalesce(F.size("_found"), F.lit(0)), F.lit(0)).cast("long")).withColumn("n_changed", F.greatest(F.coalesce(F.when(F.col("_new").isNotNull(), changed), F.lit(0)), F.lit(0)).cast("long"))
-    out = out.drop("_found", "_new")
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns], *(["n_found", "n_changed"] if counts else []))
+        changed = F.size(F.filter(F.zip_with("found", "new", lambda a, b: a != b), lambda x: x))
+        out += [F.when(F.col("new").isNotNull(), n).otherwise(F.lit(0)).cast("long").alias(c) for n, c in ((F.size("found"), "n_found"), (changed, "n_changed"))]
+    return work.select(*out)

@@ -90,7 +90,13 @@ class CachedEncoder:
         return self.pack[n](*ids) if n < 64 else np.array(ids, self.dtype).tobytes()
 
     def span(self, s: str) -> bytes:
-        """Ids of a run of pretokens; those of its single pretokens are kept."""
+        """Ids of a run of pretokens; those of its single pretokens are kept.
+
+        Beyond Latin letters the library itself splits: its tables of letters
+        needn't be those of the pattern module.
+        """
+        if not s.isascii() and max(s) > "\u024f":
+            return np.array(self.tokenizer.encode(s, add_special_tokens=False).ids, self.dtype).tobytes()
         spans, body = self.spans, s[1:] if self.spaced and s[:1] == " " else s
         if body.isalpha():
             parts = [s]
