@@ -87,4 +87,37 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_language_id, op2_mcd_quality, op3_decontamination, op4_bagminhash, op5_license_rules, op6_page_text, op7_curve_packing, op8_feistel_pii, op9_wavelet_tokens, op10_repeated_passages, pipeline)}
-ORACLE_SQL: dict[str, str] = {}
+def _words(column: str) -> str:
+    up = "".join(map(chr, range(65, 91)))
+    return rf"regexp_extract_all(translate(coalesce({column}, ''), '{up}', '{up.lower()}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+def _license_sql() -> str:
+    """The scan in SQL, from the same fixed table and rules."""
+    from .licenses import RULES, SENTENCES, plain
+
+    known = ", ".join(f"('{plain(v)}', '{k}')" for k, v in SENTENCES.items())
+    rules = ", ".join(f"CASE WHEN regexp_matches(j, '{'([|].*)?'.join(f'[|]{i}' for i in ids)}[|]') THEN '{name}' END" for name, ids in RULES)
+    cut = r"regexp_split_to_array(regexp_replace(coalesce(text, ''), '([.!?])\s+', '\1' || chr(10), 'g'), '[;:]?\s*\n\s*')"
+    norm = r"trim(regexp_replace(lower(s), '[^\pL\pN+]+', ' ', 'g'))"
+    return f"""WITH known(sentence, id) AS (VALUES {known}),
+d AS (SELECT doc_id, list_filter(list_transform({cut}, lambda s: {norm}), lambda s: s <> '') AS s FROM documents),
+e AS (SELECT doc_id, unnest(s) AS sentence, generate_subscripts(s, 1) AS pos FROM d),
+i AS (SELECT doc_id, string_agg(id, '|' ORDER BY pos) AS ids FROM e JOIN known USING (sentence) GROUP BY doc_id),
+j AS (SELECT d.doc_id, len(s) AS n_sentences, coalesce(ids, '') AS ids, '|' || coalesce(ids, '') || '|' AS j FROM d LEFT JOIN i USING (doc_id)),
+l AS (SELECT doc_id, n_sentences, ids, list_filter([{rules}], lambda x: x IS NOT NULL) AS l FROM j),
+u AS (SELECT doc_id, n_sentences, ids, list_filter(l, lambda x, k: list_position(l, x) = k) AS l FROM l)
+SELECT doc_id, n_sentences, replace(ids, '|', ',') AS sentence_ids, coalesce(array_to_string(l, ','), '') AS licenses, CAST(len(l) AS BIGINT) AS n_licenses FROM u"""
+
+
+#: The other operators have no SQL: their tests hold them against brute force, round trips or held-out accuracy.
+ORACLE_SQL: dict[str, str] = {
+    "op3_decontamination": f"""WITH d AS (SELECT doc_id, {_words("text")} AS w FROM documents), b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_words("text")} AS w FROM benchmark),
+v AS (SELECT item, w, least(10, len(w)) AS n FROM b WHERE len(w) > 0), win AS (SELECT item, n, array_to_string(w[s : s + n - 1], ' ') AS k FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS s FROM v)),
+lens AS (SELECT DISTINCT n FROM win), dw AS (SELECT doc_id, n, s, array_to_string(w[s : s + n - 1], ' ') AS k FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d, lens WHERE len(w) >= n)),
+hit AS (SELECT DISTINCT doc_id, s, dw.n, item FROM dw JOIN win ON dw.k = win.k AND dw.n = win.n),
+p AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM hit) GROUP BY doc_id),
+i AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY doc_id)
+SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated FROM d LEFT JOIN p USING (doc_id) LEFT JOIN i USING (doc_id)""",
+    "op5_license_rules": _license_sql(),
+}
