@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources import shared
 from . import joins
 
 
@@ -18,13 +19,7 @@ def clusters(points: DataFrame, key: str, x: str, y: str, distance: float) -> Da
     Links come from a join on cells; labels go down the links by minimum, each
     round a shuffle, with checkpoints that survive lost executors.
     """
-    spark = points.sparkSession
-    if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="zonalis-"))
+    shared.root(points.sparkSession)  # sets the checkpoint folder
     p = points.select(F.col(key).alias("a"), F.col(x).alias("_x"), F.col(y).alias("_y"))
     q = points.select(F.col(key).alias("b"), F.col(x).alias("_x2"), F.col(y).alias("_y2"))
     links = joins.within(p, q, "_x", "_y", "_x2", "_y2", distance).where("a <> b").select("a", "b").checkpoint()

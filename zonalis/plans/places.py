@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import learning, ranking, spatial
-from ..sources import files
+from ..sources import files, shared
 from ..streaming import events
 from .matches import _POINTS, points
 from .registry import Tables, query
@@ -50,24 +47,16 @@ def smote_points(t: Tables) -> DataFrame:
     return spatial.synthetic(points(t).where("label = 3"), "vec_id", "x", "y", 0.5)
 
 
-def _folder(t: Tables) -> str:
-    """A place that driver and executors share."""
-    root = t.spark.conf.get("spark.checkpoint.dir", None) or t.spark.sparkContext.getCheckpointDir()
-    if not root:
-        root = tempfile.mkdtemp(prefix="zonalis-")
-    return f"{root.rstrip('/')}/files-{os.urandom(6).hex()}"
-
-
 @query("SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
 def typed_csv_roundtrip(t: Tables) -> DataFrame:
-    path = f"{_folder(t)}/customer.csv"
+    path = shared.fresh(t.spark, "files") + "/customer.csv"
     files.write(t.customer, path)
     return files.read(t.spark, path)
 
 
 @query("SELECT n_nationkey, n_name, CAST(n_regionkey AS INT) AS partition_number FROM nation")
 def partition_folders(t: Tables) -> DataFrame:
-    root = _folder(t)
+    root = shared.fresh(t.spark, "files")
     for i in range(5):
         t.nation.where(F.col("n_regionkey") == i).select("n_nationkey", "n_name").write.parquet(f"{root}/partition_{i}/part.parquet")
     return files.read_partitions(t.spark, root)
