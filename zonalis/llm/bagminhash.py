@@ -33,11 +33,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import as_text, combine, mix, prefix_hash, range_hash, shuffle_partitions, stored, text_slices, words
+from .common import as_text, combine, drop_stored, free, mix, prefix_hash, range_hash, shuffle_partitions, small_batches, stored, text_slices, words
 
 SHINGLE = 5
-#: Registers beyond the bands', for closer estimates.
-EXTRA = 144
+#: Registers of the longer signatures that estimates take.
+MARKS = 400
 _U = np.uint64
 
 
@@ -134,29 +134,52 @@ def _unpack(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return u, c
 
 
-def sign(docs: DataFrame, bands: int, rows: int, spare: int = EXTRA) -> DataFrame:
-    """doc_id, content (128-bit key; empty without shingles), size (shingles), bands (a hash each), sig (16 bits of each register).  The last ``spare`` registers serve estimates alone."""
+def band_hashes(sets: list[tuple[np.ndarray, np.ndarray]], bands: int, rows: int) -> np.ndarray:
+    """A hash for each multiset and band of ``rows`` registers."""
+    sig = signatures(sets, bands * rows).reshape(len(sets), bands, rows)
+    tag, h = mix(np.arange(1, bands + 1, dtype=np.uint64)), np.zeros((len(sets), bands), np.uint64)
+    for k in range(rows):
+        h = mix(h * _U(0x9FB21C651E98DF25) + sig[:, :, k] + tag)
+    return h.view(np.int64)
+
+
+def _lists(h: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(h) + 1) * h.shape[1], pa.int32()), pa.array(h.ravel()))
+
+
+def sign(docs: DataFrame, bands: int, rows: int) -> DataFrame:
+    """doc_id, content (128-bit key; empty without shingles), size (shingles), bands (a hash each)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tag = mix(np.arange(1, bands + 1, dtype=np.uint64))
         for batch in batches:
             for some, buf, offs in text_slices(batch, "text"):
                 sets = list(multisets(buf, offs))
-                whole = signatures(sets, bands * rows + spare)
-                sig = whole[:, : bands * rows].reshape(len(sets), bands, rows)
-                h = np.zeros((len(sets), bands), np.uint64)
-                for k in range(rows):
-                    h = mix(h * _U(0x9FB21C651E98DF25) + sig[:, :, k] + tag)
                 keys = [content_key(u, c) for u, c in sets]
-                marks = mix(whole).astype(np.uint16)
-                arr = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * bands, pa.int32()), pa.array(h.view(np.int64).ravel()))
-                yield pa.RecordBatch.from_arrays([some.column(0), pa.array(keys, pa.binary()), pa.array([int(c.sum()) for _, c in sets], pa.int64()), arr, pa.array([x.tobytes() for x in marks], pa.binary())], names=["doc_id", "content", "size", "bands", "sig"])
+                yield pa.RecordBatch.from_arrays([some.column(0), pa.array(keys, pa.binary()), pa.array([int(c.sum()) for _, c in sets], pa.int64()), _lists(band_hashes(sets, bands, rows))], names=["doc_id", "content", "size", "bands"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), as_text("text").alias("text")).mapInArrow(run, "doc_id long, content binary, size long, bands array<long>")
+
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), as_text("text").alias("text")).mapInArrow(run, "doc_id long, content binary, size long, bands array<long>, sig binary")
+def _marks(sets: DataFrame, contents: DataFrame, bands: int, rows: int) -> DataFrame:
+    """content, bands, sig (16 bits of each of ``MARKS`` registers) of some contents, made again from their multisets: no other content carries a long signature."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(0, batch.num_rows, 512):
+                part = batch.slice(i, 512)
+                got = [_unpack(x) for x in part.column(1).to_pylist()]
+                sig = mix(signatures(got, MARKS)).astype(np.uint16)
+                yield pa.RecordBatch.from_arrays([part.column(0), _lists(band_hashes(got, bands, rows)), pa.array([x.tobytes() for x in sig], pa.binary())], names=["content", "bands", "sig"])
+
+    return sets.join(contents, "content", "left_semi").select("content", "packed").mapInArrow(run, "content binary, bands array<long>, sig binary")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``pairs`` (a, b: contents) with their similarity ``j``; ``sets``: content, packed."""
+    """``pairs`` (a, b: contents) with their similarity ``j``; ``sets``: content, packed.
+
+    The joins sort and merge at every size, so that a hot pivot's pairs can be
+    split and the cost grows with the input.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, held = None, None
@@ -170,8 +193,8 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 out.append(similarity(_unpack(pa_[i].as_py()), held))
             yield pa.RecordBatch.from_arrays([a, b, pa.array(out, pa.float64())], names=["a", "b", "j"])
 
-    left = pairs.join(sets.select(F.col("content").alias("a"), F.col("packed").alias("pa")), "a")
-    both = left.join(sets.select(F.col("content").alias("b"), F.col("packed").alias("pb")), "b")
+    left = pairs.join(sets.select(F.col("content").alias("a"), F.col("packed").alias("pa")).hint("merge"), "a")
+    both = left.join(sets.select(F.col("content").alias("b"), F.col("packed").alias("pb")).hint("merge"), "b")
     return both.select("a", "b", "pa", "pb").mapInArrow(run, "a binary, b binary, j double")
 
 
@@ -201,11 +224,12 @@ def components(links: DataFrame) -> DataFrame:
     return label.union(label.select(F.col("label").alias("node"), "label").distinct())
 
 
-def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int = 40, rows: int = 6, block: int = 2048) -> DataFrame:
+def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int = 36, rows: int = 6, block: int = 2048) -> DataFrame:
     """One row per document: doc_id, class_id, class_size (documents), n_links (verified links of its content), content (hex), kept (the one document of its class that stays)."""
     spark: SparkSession = docs.sparkSession
+    small_batches(spark)
     signed = stored(sign(docs, bands, rows), "signed")
-    links, label = _links(docs, signed, threshold, block)
+    links, label = _links(docs, signed, threshold, bands, rows, block)
     degree = links.select("a").union(links.select(F.col("b").alias("a"))).groupBy("a").agg(F.count("*").alias("n_links"))
     labels = label.join(degree, F.col("node") == F.col("a")).select("node", "label", "n_links")
     # documents without shingles are their own class each; others go with their content
@@ -219,13 +243,16 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int = 40, ro
     return out.select("doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.when(alone, F.lit(1)).otherwise(F.col("class_size")).cast("long").alias("class_size"), F.when(alone, F.lit(0)).otherwise(F.col("n_links")).cast("long").alias("n_links"), F.hex("content").alias("content"), (alone | (F.col("lead") & F.col("doc_id").eqNullSafe(F.col("class_id")))).alias("kept"))
 
 
-def _links(docs: DataFrame, signed: DataFrame, threshold: float, block: int) -> tuple[DataFrame, DataFrame]:
+def _links(docs: DataFrame, signed: DataFrame, threshold: float, bands: int, rows: int, block: int) -> tuple[DataFrame, DataFrame]:
     """The verified links (a, b, j) between different contents, and their components (node, label)."""
-    first = signed.where("length(content) > 0").groupBy("content").agg(F.first(F.struct("size", "bands", "sig")).alias("f"), F.min("doc_id").alias("doc_id"))
-    first = stored(first.select("content", "doc_id", "f.*"), "contents")
-    banded = first.select("content", "size", "doc_id", F.posexplode("bands").alias("band", "h"))
+    first = signed.where("length(content) > 0").groupBy("content").agg(F.first("size").alias("size"), F.first("bands").alias("bands"), F.min("doc_id").alias("doc_id"))
+    banded = stored(first.select("content", "size", "doc_id", F.posexplode("bands").alias("band", "h")), "banded")
+    free(docs.sparkSession)
     shared = stored(banded.groupBy("band", "h").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
-    members = stored(banded.join(shared, ["band", "h"]), "members")
+    free(docs.sparkSession)
+    members = stored(banded.join(shared.hint("merge"), ["band", "h"]), "members")
+    drop_stored(banded)
+    free(docs.sparkSession)
     needed = members.groupBy("content").agg(F.first("doc_id").alias("doc_id"), F.sum("n").alias("degree"))
     needed = stored(needed, "needed")
     sets = stored(_sets(docs, needed.select("content", "doc_id")), "sets")
@@ -241,7 +268,8 @@ def _links(docs: DataFrame, signed: DataFrame, threshold: float, block: int) ->
     now = known.join(label, F.col("content") == F.col("node"), "left").select("band", "h", "content", "size", F.coalesce("label", "content").alias("label"))
     now = stored(now, "labelled")
     open_ = now.groupBy("band", "h").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("n")).where("x <> y").select("band", "h", "n")
-    now = now.join(stored(open_, "open"), ["band", "h"]).join(first.select("content", "bands", "sig"), "content")
+    now = stored(now.join(stored(open_, "open"), ["band", "h"]), "opened")
+    now = now.join(stored(_marks(sets, now.select("content").distinct(), bands, rows), "marks"), "content")
     rest = _estimated(now, threshold, block)
     done = tested.select("a", "b").union(tested.select(F.col("b").alias("a"), F.col("a").alias("b")))
     more = stored(_verified(rest.join(done, ["a", "b"], "left_anti"), sets), "verified")
@@ -326,11 +354,11 @@ def _sets(docs: DataFrame, needed: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([g[0] for g in got], pa.binary()), pa.array([g[1] for g in got], pa.binary())], names=["content", "packed"])
 
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), as_text("text").alias("text"))
-    met = slim.join(needed.withColumnRenamed("doc_id", "d"), F.col("doc_id").eqNullSafe(F.col("d"))).select("text", "content")
+    met = slim.join(needed.withColumnRenamed("doc_id", "d").hint("merge"), F.col("doc_id").eqNullSafe(F.col("d"))).select("text", "content")
     return met.mapInArrow(run, "content binary, packed binary").dropDuplicates(["content"])
 
 
-def one_of_each(docs: DataFrame, threshold: float = 0.8, bands: int = 40, rows: int = 6, block: int = 2048) -> DataFrame:
+def one_of_each(docs: DataFrame, threshold: float = 0.8, bands: int = 36, rows: int = 6, block: int = 2048) -> DataFrame:
     """The rows of ``docs`` that stay, with their own columns: of each class the row of least doc_id.
 
     Rows that repeat each other in doc_id and text are one; a row without

@@ -56,6 +56,13 @@ def free(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
+def small_batches(spark: SparkSession, records: int = 1000) -> None:
+    """Rows of texts and packed sets are large: Arrow batches of at most ``records`` rows bound what a worker and its executor hold."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) > records:
+        spark.conf.set(key, str(records))
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
