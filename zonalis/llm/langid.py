@@ -23,7 +23,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_text
+from .common import as_text, small_batches
 
 LETTERS = re.compile(r"[^\W\d_]+")
 #: Bytes of text that are compressed at once, each time with the dictionary afresh, so that a long text doesn't become its own dictionary.
@@ -113,6 +113,7 @@ def classify(docs: DataFrame, model: dict[str, bytes], min_margin: float = 0.002
                 out.append((order[0], float(1 / np.exp([(best - v) / scale for v in got.values()]).sum()), float(margin), margin >= min_margin))
             yield pd.DataFrame(out, columns=["lang_pred", "score", "margin", "accepted"])
 
+    small_batches(docs.sparkSession)
     cols = [c for c in docs.columns if c not in ("lang_pred", "score", "margin", "accepted")]
     got = docs.select(*[F.col(f"`{c}`") for c in cols], predict(as_text("text")).alias("_p"))
     return got.select(*[F.col(f"`{c}`") for c in cols], "_p.*")

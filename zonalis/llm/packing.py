@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_text, range_hash, prefix_hash, shuffle_partitions, stored, text_slices, words
+from .common import as_text, range_hash, prefix_hash, shuffle_partitions, small_batches, stored, text_slices, words
 from .tokens import encoder
 
 DIMS, BITS = 4, 8
@@ -81,6 +81,7 @@ def tail_cuts(total: int, length: int) -> list[tuple[int, int]]:
 def pack(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", end_id: int = 1, length: int = 2048) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, padded (the sequence's size with padding)."""
     spark = docs.sparkSession
+    small_batches(spark)
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_text, drop_stored, free, mix, prefix_hash, range_hash, shuffle_partitions, stored, text_slices
+from .common import as_text, drop_stored, free, mix, prefix_hash, range_hash, shuffle_partitions, small_batches, stored, text_slices
 
 GRAM = 40
 _U = np.uint64
@@ -104,6 +104,7 @@ def repeated_spans(docs: DataFrame, size: int = 200, hot_rows: int = 20_000) ->
     if size < GRAM:
         raise ValueError(f"windows of at least {GRAM} bytes are asked for")
     spark = docs.sparkSession
+    small_batches(spark)
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), as_text("text").alias("text")).where("text is not null").withColumn("tag", F.hash("text"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,12 +116,13 @@ def repeated_spans(docs: DataFrame, size: int = 200, hot_rows: int = 20_000) ->
 
     every = stored(slim.select("doc_id", "text", "tag").mapInArrow(cut, "anchor long, segment long, doc_id long, tag int, s long, n int, off int"), "runs")
     groups = every.groupBy("anchor").agg(F.count("*").alias("total"), F.min("segment").alias("x"), F.max("segment").alias("y")).where("total > 1").select("anchor", (F.col("x") != F.col("y")).alias("mixed"))
+    groups = stored(groups, "anchors")  # a join of two fresh shuffles, so that a hot anchor's rows can be split
     some = stored(every.join(groups, "anchor"), "shared-runs")
     drop_stored(every)
     del groups
     free(spark)
-    counts = some.groupBy("anchor", "segment").agg(F.count("*").alias("c"))
-    whole = some.join(counts.where("c > 1"), ["anchor", "segment"]).select("doc_id", "tag", F.col("s").alias("a"), (F.col("s") + F.col("n") - 1 + size).alias("b"))
+    counts = stored(some.groupBy("anchor", "segment").agg(F.count("*").alias("c")).where("c > 1"), "counts")
+    whole = some.join(counts, ["anchor", "segment"]).select("doc_id", "tag", F.col("s").alias("a"), (F.col("s") + F.col("n") - 1 + size).alias("b"))
     # edges: different segments of anchors with a segment that stands once
     one = some.where("mixed").groupBy("anchor", "segment").agg(F.count("*").alias("c"), F.min_by(F.struct("doc_id", "tag", "s", "n", "off"), F.xxhash64("doc_id", "tag", "s")).alias("r"))
     one = stored(one, "segments")

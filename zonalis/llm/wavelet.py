@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_text, shared_dir, shuffle_partitions
+from .common import as_text, shared_dir, shuffle_partitions, small_batches
 from .tokens import encoder
 
 _MAGIC = b"ZWM1"
@@ -199,6 +199,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str = "word_bpe_49k.json
 
     schema = pa.schema([("part", pa.int32()), ("shard", pa.int32()), ("start", pa.int64()), ("n_docs", pa.int64()), ("n_tokens", pa.int64()), ("file", pa.binary())])
     spark = docs.sparkSession
+    small_batches(spark)
     dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), as_text("text").alias("text"))
     dealt = dealt.repartitionByRange(shuffle_partitions(spark), "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
     out = dealt.mapInArrow(shards, "part int, shard int, start long, n_docs long, n_tokens long, file binary")
