@@ -353,6 +353,22 @@ def test_pseudonyms(spark, odd, empty):
     assert out.columns == odd.columns and out.count() == odd.count() and pii.pseudonymise(empty).count() == 0
 
 
+def test_cards_beside_other_numbers(spark):
+    card = "4111111111111111"
+    texts = [f"{card} 12/27", "4111 1111 1111 1111 123", f"qty 2 {card}", "1234 4111-1111-1111-1111 12", f"{card} 123-45-6789", f"{card} 42.144.35.254", f"{card} 28/02/1990", f"{card} 5555-5555-5555-4444 9", "4111111111111112 12/27", "7 " * 9000 + "8"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    rows = {r["doc_id"]: r for r in pii.pseudonymise(df, counts=True).collect()}
+    got = {i: r["text"] for i, r in rows.items()}
+    for i, form in enumerate([r"(\d{16}) 12/27", r"(\d{4} \d{4} \d{4} \d{4}) 123", r"qty 2 (\d{16})", r"1234 (\d{4}-\d{4}-\d{4}-\d{4}) 12", r"(\d{16}) \d{3}-\d\d-\d{4}", r"(\d{16}) [\d.]+", r"(\d{16}) [\d/]+"]):
+        new = re.sub("[ -]", "", re.fullmatch(form, got[i])[1])
+        assert luhn(new) and new == re.match(r"\d{16}", got[0])[0] != card
+    assert "123-45-6789" not in got[4] and "42.144.35.254" not in got[5] and "28/02/1990" not in got[6]
+    a, b = re.fullmatch(r"(\d{16}) ([\d-]{19}) 9", got[7]).groups()
+    assert luhn(a) and luhn(b.replace("-", "")) and a != card and b != "5555-5555-5555-4444"
+    assert (rows[7]["n_found"], rows[7]["n_changed"], rows[8]["n_found"], rows[8]["n_changed"]) == (2, 2, 1, 0)
+    assert got[8] == texts[8] and len(got[9]) == len(texts[9])
+
+
 def test_feistel_is_a_permutation(spark):
     df = spark.range(60 * 35)
     a, b = F.floor(F.col("id") / 35), F.col("id") % 35

@@ -1,7 +1,8 @@
 """Format-preserving pseudonyms for personal data: keyed Feistel permutations within each value's format.
 
 Found in each whole text: e-mail addresses, IPv4 addresses (each part at most
-255), telephone numbers, payment cards (13 to 19 digits, Luhn), social
+255), telephone numbers, payment cards (13 to 19 digits, Luhn, whole digit groups
+even beside other numbers), social
 security numbers (issued areas), calendar dates from 1800 to 2199
 (YYYY-MM-DD, DD/MM/YYYY, DD.MM.YYYY) and credentials.  A value that fails its
 check stays as it is.  A valid one is replaced by another valid one of the
@@ -35,7 +36,11 @@ IPV4 = r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\d|\.\d)"
 DATE = r"(?<![\d/.-])(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\d/-]|\.\d)"
 SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 PHONE = r"(?<![\d+])(?:\+?1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[ .-]\d{4}(?!\d)"
-CARD = r"(?<!\d)\d(?:[ -]?\d){12,18}(?!\d)"
+#: A whole run of digit groups, up to where another value begins; the cards within it are told by ``_card``.
+CARD = rf"(?<!\d)\d(?:\d|[ -](?!{EMAIL}|{IPV4}|{DATE}|{SSN}|{PHONE})\d){{12,}}+"
+#: Usual groupings of a card number, and issuers' first digits with their lengths.
+LAYOUT = r"^(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{4}|\d{4}([ -])\d{6}\2\d{4,5}|\d{4}([ -])\d{4}\3\d{4}\3\d{4}\3\d{1,3}|\d{6}[ -]\d{13})$"
+ISSUER = r"^(?:4(?:\d{12}|\d{15}|\d{18})|(?:5[1-5]|2[2-7])\d{14}|3[47]\d{13}|3[0689]\d{12,17}|35\d{14,17}|(?:5[06-9]|6)\d{12,18})$"
 PATTERN = "|".join((EMAIL, KEY_ID, SECRET, IPV4, DATE, SSN, PHONE, CARD))
 #: Days from 1800-01-01 to 2199-12-31: a whole Gregorian cycle, 189 x 773.
 FIRST_DAY, DAY_A, DAY_B = "1800-01-01", 189, 773
@@ -46,6 +51,11 @@ def _hash(key: str, tweak: Column, i: Column, other: Column) -> Column:
     return F.conv(F.substring(F.sha2(F.concat_ws("|", F.lit(key), tweak, i.cast("string"), other), 256), 1, 15), 16, 10).cast("long")
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)``, with ``value`` worked out once."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def feistel(key: str, tweak: Column, a: Column, m: Column, b: Column, n: Column) -> Column:
     """Struct (a, b) of a permutation of the pairs a < m, b < n."""
     start = F.struct(a.cast("long").alias("a"), b.cast("long").alias("b"))
@@ -63,14 +73,15 @@ def _shift(key: str, tweak: Column, i: Column, part: Column, other: Column) -> C
     """``part`` with each character moved within its class by a byte of the keyed hash of ``other``."""
     digest = F.sha2(F.concat_ws("|", F.lit(key), tweak, i.cast("string"), other), 256)
 
-    def move(k: Column) -> Column:
+    def move(part: Column, digest: Column, k: Column) -> Column:
         c = F.ascii(F.substr(part, k, F.lit(1)))
         by = F.conv(F.substr(digest, (k - 1) % 32 * 2 + 1, F.lit(2)), 16, 10).cast("int")
         low = F.when(c < 58, 48).when(c < 91, 65).otherwise(97)
         size = F.when(c < 58, 10).otherwise(26)
         return F.char(low + (c - low + by) % size)
 
-    return F.when(F.length(part) == 0, part).otherwise(F.array_join(F.transform(F.sequence(F.lit(1), F.greatest(F.length(part), F.lit(1))), move), ""))
+    moved = lambda part, digest: F.array_join(F.transform(F.sequence(F.lit(1), F.greatest(F.length(part), F.lit(1))), lambda k: move(part, digest, k)), "")
+    return F.when(F.length(part) == 0, part).otherwise(_let(part, lambda part: _let(digest, lambda digest: moved(part, digest))))
 
 
 def scramble(key: str, tweak: Column, s: Column) -> Column:
@@ -85,30 +96,34 @@ def scramble(key: str, tweak: Column, s: Column) -> Column:
 
     # what a value's shape fixes belongs to the tweak
     done = F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), start, turn)
-    return _relay(s, F.concat(done["a"], done["b"]), "[^A-Za-z0-9]")
+    return _relay(s, _let(done, lambda x: F.concat(x["a"], x["b"])), "[^A-Za-z0-9]")
 
 
 def _relay(s: Column, core: Column, marks: str) -> Column:
     """``s`` with the characters that aren't ``marks`` replaced by those of ``core`` in turn."""
 
-    def put(k: Column) -> Column:
+    def put(s: Column, core: Column, k: Column) -> Column:
         c = F.substr(s, k, F.lit(1))
         return F.when(c.rlike(marks), c).otherwise(F.substr(core, F.length(F.regexp_replace(F.substr(s, F.lit(1), k), marks, "")), F.lit(1)))
 
-    return F.when(F.length(s) == 0, s).otherwise(F.array_join(F.transform(F.sequence(F.lit(1), F.greatest(F.length(s), F.lit(1))), put), ""))
+    laid = lambda s, core: F.array_join(F.transform(F.sequence(F.lit(1), F.greatest(F.length(s), F.lit(1))), lambda k: put(s, core, k)), "")
+    return F.when(F.length(s) == 0, s).otherwise(_let(s, lambda s: _let(core, lambda core: laid(s, core))))
 
 
 def _check_digit(digits: Column) -> Column:
     """Luhn's check digit for a payload: from its right, every other digit counts twice, the last one first."""
-    n = F.length(digits)
 
-    def worth(k: Column) -> Column:
-        d = F.ascii(F.substr(digits, k, F.lit(1))) - 48
-        twice = F.when(d > 4, 2 * d - 9).otherwise(2 * d)
-        return F.when((n - k) % 2 == 0, twice).otherwise(d)
+    def total(digits: Column) -> Column:
+        n = F.length(digits)
+
+        def worth(k: Column) -> Column:
+            d = F.ascii(F.substr(digits, k, F.lit(1))) - 48
+            twice = F.when(d > 4, 2 * d - 9).otherwise(2 * d)
+            return F.when((n - k) % 2 == 0, twice).otherwise(d)
 
-    total = F.aggregate(F.transform(F.sequence(F.lit(1), n), worth), F.lit(0), lambda x, y: x + y)
-    return ((10 - total % 10) % 10).cast("string")
+        return F.aggregate(F.transform(F.sequence(F.lit(1), n), worth), F.lit(0), lambda x, y: x + y)
+
+    return ((10 - _let(digits, total) % 10) % 10).cast("string")
 
 
 def _digits(s: Column) -> Column:
@@ -125,14 +140,58 @@ def _number(key: str, tweak: Column, digits: Column) -> Column:
     half = F.floor(F.length(digits) / 2).cast("int")
     rest = F.length(digits) - half
     got = feistel(key, tweak, F.substr(digits, F.lit(1), half), _ten(half), F.substr(digits, half + 1, rest), _ten(rest))
-    return F.concat(F.lpad(got["a"].cast("string"), half, F.lit("0")), F.lpad(got["b"].cast("string"), rest, F.lit("0")))
+    return _let(got, lambda x: F.concat(F.lpad(x["a"].cast("string"), half, F.lit("0")), F.lpad(x["b"].cast("string"), rest, F.lit("0"))))
 
 
-def _card(key: str, s: Column) -> Column:
+def _one_card(key: str, s: Column) -> Column:
     d = _digits(s)
-    load = F.substr(d, F.lit(1), F.length(d) - 1)
-    new = _number(key, F.concat(F.lit("card"), F.length(d).cast("string")), load)
-    return F.when(_check_digit(load) == F.substr(d, F.length(d), F.lit(1)), _relay(s, F.concat(new, _check_digit(new)), "[^0-9]")).otherwise(s)
+    new = _number(key, F.concat(F.lit("card"), F.length(d).cast("string")), F.substr(d, F.lit(1), F.length(d) - 1))
+    return _relay(s, _let(new, lambda x: F.concat(x, _check_digit(x))), "[^0-9]")
+
+
+def _card(key: str, s: Column) -> Column:
+    """Struct (text, n) of a run of digit groups: its cards replaced, and their number.
+
+    A card is a sub-run of whole groups with 13 to 19 digits that passes Luhn.
+    Where such sub-runs overlap, a usual grouping with an issuer's number goes
+    first, then a usual grouping, then any; then the leftmost, then the one of
+    fewer groups.
+    """
+
+    def candidates(g: Column, i: Column) -> Column:
+        """Structs (rank, size, text) of the cards that begin with group ``i``."""
+
+        def judge(c: Column) -> Column:
+            d = c["digits"]
+            layout = c["text"].rlike(LAYOUT)
+            rank = F.when(layout & d.rlike(ISSUER), 0).when(layout, 1).otherwise(2)
+            valid = _check_digit(F.substr(d, F.lit(1), F.length(d) - 1)) == F.substr(d, F.length(d), F.lit(1))
+            return F.when(valid, F.struct(rank.alias("rank"), c["size"].alias("size"), c["text"].alias("text")))
+
+        def cut(size: Column) -> Column:
+            text = F.regexp_replace(F.array_join(F.slice(g, i, size), ""), "[ -]$", "")
+            return _let(text, lambda x: F.struct(size.alias("size"), x.alias("text"), F.translate(x, " -", "").alias("digits")))
+
+        cuts = F.transform(F.sequence(F.lit(1), F.least(F.size(g) - i + 1, F.lit(19))), cut)
+        return F.array_sort(F.array_compact(F.transform(F.filter(cuts, lambda c: F.length(c["digits"]).between(13, 19)), judge)))
+
+    def swap(g: Column, found: Column) -> Column:
+        def step(state: Column, i: Column) -> Column:
+            # a better card that begins within this one goes first
+            free = F.filter(F.get(found, i - 1), lambda c: ~F.exists(F.slice(found, i + 1, c["size"] - 1), lambda later: F.coalesce(F.get(later, 0)["rank"], F.lit(2)) < c["rank"]))
+
+            def put(c: Column) -> Column:
+                last = F.regexp_extract(F.element_at(g, i + c["size"] - 1), "[ -]?$", 0)
+                return F.struct((i + c["size"]).alias("at"), F.concat(state["text"], _one_card(key, c["text"]), last).alias("text"), (state["n"] + 1).alias("n"))
+
+            kept = F.struct((i + 1).alias("at"), F.concat(state["text"], F.element_at(g, i)).alias("text"), state["n"].alias("n"))
+            return F.when(i < state["at"], state).otherwise(_let(F.get(free, 0), lambda c: F.when(c.isNull(), kept).otherwise(put(c))))
+
+        start = F.struct(F.lit(1).alias("at"), F.lit("").alias("text"), F.lit(0).alias("n"))
+        return F.aggregate(F.sequence(F.lit(1), F.size(g)), start, step, lambda x: F.struct(x["text"].alias("text"), x["n"].alias("n")))
+
+    groups = F.regexp_extract_all(s, F.lit("[0-9]+[ -]?"), F.lit(0))
+    return _let(groups, lambda g: _let(F.transform(F.sequence(F.lit(1), F.size(g)), lambda i: candidates(g, i)), lambda found: swap(g, found)))
 
 
 def _phone(key: str, s: Column) -> Column:
@@ -170,17 +229,18 @@ def _date(key: str, s: Column) -> Column:
 
 
 def pseudonym(key: str, s: Column) -> Column:
-    """The pseudonym of one found value."""
+    """Struct (text, n) of one match: its pseudonym and the number of values in it, more than one only for cards in one run."""
     name = F.regexp_extract(s, "^([^@]*)@", 1)
     secret = F.regexp_extract(s, r"^([A-Za-z_]+\s?[=:]\s?\"?)(.*?)(\"?)$", 2)
+    one = lambda text: F.struct(text.alias("text"), F.lit(1).alias("n"))
     return (
-        F.when(s.contains("@"), F.concat(scramble(key, F.lit("email"), name), F.substr(s, F.length(name) + 1, F.length(s))))
-        .when(s.rlike("^AKIA"), F.concat(F.lit("AKIA"), scramble(key, F.lit("key"), F.substr(s, F.lit(5), F.lit(16)))))
-        .when(s.rlike(r"^[A-Za-z_]+\s?[=:]"), F.concat(F.regexp_extract(s, r"^([A-Za-z_]+\s?[=:]\s?\"?)", 1), scramble(key, F.lit("secret"), secret), F.when(s.endswith('"'), '"').otherwise("")))
-        .when(s.rlike(f"^(?:{IPV4})$"), _ipv4(key, s))
-        .when(s.rlike(f"^(?:{DATE})$"), _date(key, s))
-        .when(s.rlike(f"^(?:{SSN})$"), _ssn(key, s))
-        .when(s.rlike(f"^(?:{PHONE})$"), _phone(key, s))
+        F.when(s.contains("@"), one(F.concat(scramble(key, F.lit("email"), name), F.substr(s, F.length(name) + 1, F.length(s)))))
+        .when(s.rlike("^AKIA"), one(F.concat(F.lit("AKIA"), scramble(key, F.lit("key"), F.substr(s, F.lit(5), F.lit(16))))))
+        .when(s.rlike(r"^[A-Za-z_]+\s?[=:]"), one(F.concat(F.regexp_extract(s, r"^([A-Za-z_]+\s?[=:]\s?\"?)", 1), scramble(key, F.lit("secret"), secret), F.when(s.endswith('"'), '"').otherwise(""))))
+        .when(s.rlike(f"^(?:{IPV4})$"), one(_ipv4(key, s)))
+        .when(s.rlike(f"^(?:{DATE})$"), one(_date(key, s)))
+        .when(s.rlike(f"^(?:{SSN})$"), one(_ssn(key, s)))
+        .when(s.rlike(f"^(?:{PHONE})$"), one(_phone(key, s)))
         .otherwise(_card(key, s))
     )
 
@@ -192,10 +252,12 @@ def pseudonymise(docs: DataFrame, key: str = "zonalis", counts: bool = False) ->
     work = work.withColumn("found", F.when(some, F.regexp_extract_all("t", F.lit(PATTERN), F.lit(0))))
     work = work.withColumn("new", F.when(F.size("found") > 0, F.transform("found", lambda m: pseudonym(key, m))))
     pieces = F.split(F.col("t"), PATTERN, -1)
-    joined = F.array_join(F.zip_with(pieces, F.col("new"), lambda p, m: F.concat(p, F.coalesce(m, F.lit("")))), "")
+    joined = F.array_join(F.zip_with(pieces, F.col("new"), lambda p, m: F.concat(p, F.coalesce(m["text"], F.lit("")))), "")
     text = F.when(F.col("new").isNotNull(), joined).otherwise(F.col("t"))
     out = [text.alias(c) if c == "text" else F.col(f"r.`{c}`").alias(c) for c in docs.columns]
     if counts:
-        changed = F.size(F.filter(F.zip_with("found", "new", lambda a, b: a != b), lambda x: x))
-        out += [F.when(F.col("new").isNotNull(), n).otherwise(F.lit(0)).cast("long").alias(c) for n, c in ((F.size("found"), "n_found"), (changed, "n_changed"))]
+        total = lambda c: F.aggregate(c, F.lit(0), lambda x, y: x + y)
+        n_found = total(F.transform("new", lambda m: F.greatest(m["n"], F.lit(1))))
+        changed = total(F.zip_with("found", "new", lambda a, b: F.when(a != b["text"], F.greatest(b["n"], F.lit(1))).otherwise(0)))
+        out += [F.when(F.col("new").isNotNull(), n).otherwise(F.lit(0)).cast("long").alias(c) for n, c in ((n_found, "n_found"), (changed, "n_changed"))]
     return work.select(*out)
