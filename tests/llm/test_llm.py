@@ -369,6 +369,22 @@ def test_cards_beside_other_numbers(spark):
     assert got[8] == texts[8] and len(got[9]) == len(texts[9])
 
 
+def test_whole_credentials(spark):
+    long = hashlib.sha256(b"x").hexdigest() + hashlib.md5(b"y").hexdigest()[:29]
+    values = [long, "eyJhbGciOi.eyJzdWIiOi.SflKxwRJSM", "abc1", "hunter2", "p@ssword!x1", "a b c d", "swordfish.q@mail.example.com", "q" * 100_000]
+    forms = ['token = "{}"', "token={} end", 'pwd: "{}"', "password: {}", "secret={}", "password = '{}'", "token: {}", "api_key={}"]
+    df = spark.createDataFrame([(i, f.format(v)) for i, (v, f) in enumerate(zip(values, forms))] + [(8, "the secret: it is"), (9, long[:64])], "doc_id int, text string")
+    got = {r["doc_id"]: r["text"] for r in pii.pseudonymise(df).collect()}
+    for i, (v, f) in enumerate(zip(values, forms)):
+        before, after = f.split("{}")
+        new = got[i][len(before) : len(got[i]) - len(after)]
+        assert got[i] == before + new + after and len(new) == len(v)
+        assert all(a == b for a, b in zip(v, new) if not a.isalnum())
+        at = range(0, len(v), 30)
+        assert all(v[k : k + 30] != new[k : k + 30] for k in at)
+    assert got[8] == "the secret: it is"
+
+
 def test_feistel_is_a_permutation(spark):
     df = spark.range(60 * 35)
     a, b = F.floor(F.col("id") / 35), F.col("id") % 35

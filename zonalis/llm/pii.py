@@ -4,7 +4,8 @@ Found in each whole text: e-mail addresses, IPv4 addresses (each part at most
 255), telephone numbers, payment cards (13 to 19 digits, Luhn, whole digit groups
 even beside other numbers), social
 security numbers (issued areas), calendar dates from 1800 to 2199
-(YYYY-MM-DD, DD/MM/YYYY, DD.MM.YYYY) and credentials.  A value that fails its
+(YYYY-MM-DD, DD/MM/YYYY, DD.MM.YYYY) and credentials, up to the closing quote
+or white space (of those, ASCII letters and digits are replaced).  A value that fails its
 check stays as it is.  A valid one is replaced by another valid one of the
 same format:
 
@@ -28,10 +29,14 @@ from pyspark.sql import functions as F
 from .common import as_text
 
 ROUNDS = 10
+#: Characters that one permutation of a string takes.
+BLOCK = 64
 #: Fixed formats, tried in this order at each place.
 EMAIL = r"[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,24}"
 KEY_ID = r"\bAKIA[0-9A-Z]{16}\b"
-SECRET = r"(?i:password|passwd|pwd|token|secret|api_key)\s?[=:]\s?\"?[A-Za-z0-9+/_-]{8,64}\"?"
+#: A name, then a quoted value of any length, or a bare one up to white space or a quote: 8 characters at least, or any number of them right after "=" or with a digit.
+SECRET_NAME = r"(?i:password|passwd|pwd|token|secret|api_key)\s?[=:]\s?"
+SECRET = rf"{SECRET_NAME}(?:\"(?:[^\"\\\r\n]|\\.)*+\"|'(?:[^'\\\r\n]|\\.)*+'|[\"']?(?:[^\s\"']{{8,}}|(?<=[=][\"']?)[^\s\"']+|(?=[^\s\"'0-9]*[0-9])[^\s\"']+))"
 IPV4 = r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\d|\.\d)"
 DATE = r"(?<![\d/.-])(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\d/-]|\.\d)"
 SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
@@ -86,6 +91,20 @@ def _shift(key: str, tweak: Column, i: Column, part: Column, other: Column) -> C
 
 def scramble(key: str, tweak: Column, s: Column) -> Column:
     """A permutation of the strings of letters and digits of ``s``'s shape; other characters stay in place."""
+    return F.when(F.length(s) <= BLOCK, _scramble(key, tweak, s)).otherwise(_blocks(key, tweak, s))
+
+
+def _blocks(key: str, tweak: Column, s: Column) -> Column:
+    """A long string by blocks, each with its number and the block before it in the tweak: time in proportion to the length."""
+
+    def block(b: Column, i: Column) -> Column:
+        before = F.when(i == 0, tweak).otherwise(F.concat_ws("|", tweak, i.cast("string"), F.sha2(F.get(b, i - 1), 256)))
+        return _let(before, lambda t: _scramble(key, t, F.get(b, i)))
+
+    return _let(F.regexp_extract_all(s, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0)), lambda b: F.array_join(F.transform(b, lambda _, i: block(b, i)), ""))
+
+
+def _scramble(key: str, tweak: Column, s: Column) -> Column:
     core = F.regexp_replace(s, "[^A-Za-z0-9]", "")
     half = F.floor(F.length(core) / 2).cast("int")
     start = F.struct(F.substr(core, F.lit(1), half).alias("a"), F.substr(core, half + 1, F.length(core)).alias("b"))
@@ -231,12 +250,12 @@ def _date(key: str, s: Column) -> Column:
 def pseudonym(key: str, s: Column) -> Column:
     """Struct (text, n) of one match: its pseudonym and the number of values in it, more than one only for cards in one run."""
     name = F.regexp_extract(s, "^([^@]*)@", 1)
-    secret = F.regexp_extract(s, r"^([A-Za-z_]+\s?[=:]\s?\"?)(.*?)(\"?)$", 2)
+    head = F.regexp_extract(s, rf"^{SECRET_NAME}[\"']?", 0)
     one = lambda text: F.struct(text.alias("text"), F.lit(1).alias("n"))
     return (
-        F.when(s.contains("@"), one(F.concat(scramble(key, F.lit("email"), name), F.substr(s, F.length(name) + 1, F.length(s)))))
+        F.when(s.rlike(f"^{SECRET_NAME}"), one(F.concat(head, scramble(key, F.lit("secret"), F.substr(s, F.length(head) + 1, F.length(s))))))
+        .when(s.contains("@"), one(F.concat(scramble(key, F.lit("email"), name), F.substr(s, F.length(name) + 1, F.length(s)))))
         .when(s.rlike("^AKIA"), one(F.concat(F.lit("AKIA"), scramble(key, F.lit("key"), F.substr(s, F.lit(5), F.lit(16))))))
-        .when(s.rlike(r"^[A-Za-z_]+\s?[=:]"), one(F.concat(F.regexp_extract(s, r"^([A-Za-z_]+\s?[=:]\s?\"?)", 1), scramble(key, F.lit("secret"), secret), F.when(s.endswith('"'), '"').otherwise(""))))
         .when(s.rlike(f"^(?:{IPV4})$"), one(_ipv4(key, s)))
         .when(s.rlike(f"^(?:{DATE})$"), one(_date(key, s)))
         .when(s.rlike(f"^(?:{SSN})$"), one(_ssn(key, s)))
