@@ -320,6 +320,23 @@ def test_page_text(spark):
     assert pages.extract(df.limit(0)).count() == 0
 
 
+def test_articles_that_are_no_main_text():
+    comments = "<section id=comments><article class=comment><p>Nice post, thank you very much indeed for all of it</p></article><article class=comment>Yes</article></section>"
+    w = pages.fit(pages.LABELLED)
+    for page in (
+        f"<body><main><p>The whole text.</p></main>{comments}</body>",
+        f"<body><main><p>The whole text.</p>{comments}</main></body>",
+        f"<body><div><p>The whole text.</p></div>{comments}</body>",
+        f"<body><article><p>The whole text.</p></article>{comments}</body>",
+        f"<body><article><p>The whole text.</p>{comments}</article></body>",
+        "<body><article><p>The whole text.</p></article><article class='comment-body' id='comment-7'>A comment that is longer than the text</article></body>",
+        "<body><main><p>The whole text.</p></main><div><article>A teaser that is longer than the text</article></div></body>",
+        "<body><aside>Menu<article class='post comments-open'><p>The whole text.</p></article></body>",
+    ):
+        assert pages.main_text(page, w) == "The whole text.", page
+    assert pages.main_text("<article><p>One.</p><article class=ad>Buy</article><p>Two.</p></article>", w) == "One.\nTwo."
+
+
 def test_page_tables(spark, small):
     import html as h
 

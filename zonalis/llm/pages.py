@@ -6,7 +6,9 @@ odds of standing outside the main text.  One linear scan finds the contiguous
 region of greatest sum.  Words of elements that are no article text by kind
 (menus, page headers and footers, asides, forms, scripts, adverts, notices,
 reader comments) aren't words of the sequence, and where a page marks its
-article (``article``, else ``main``) a region doesn't cross that mark.
+article (``article``, else ``main``) a region doesn't cross that mark.  An
+article that is a comment or the like, by its own class or by an element
+around it, is no such mark, nor one outside ``main``.
 
 Text: character references decoded, white space inside a block as one blank,
 blocks trimmed and joined by a newline in page order.  A null or empty page,
@@ -37,6 +39,9 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 BLOCK = frozenset("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 #: Class, id and role words of elements that are no article text.
 NOISE = re.compile(r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|sponsor(?:ed)?|promo(?:tion)?s?|banner|cookies?|consent|gdpr|notices?|alert|newsletter|subscribe|subscription|signup|sidebar|side-bar|menu|nav|navbar|navigation|breadcrumbs?|footer|masthead|site-header|page-header|topbar|comments?|commentlist|disqus|respond|replies|related|recommended|share|sharing|social|popup|modal|overlay|login|search|widget|pagination|pager|toolbar|complementary|contentinfo|skip-link|paywall)(?:$|[\s_-])", re.I)
+#: Whole class, id and role words by which an article itself is a comment, a promotion and the like.
+OWN_NOISE = re.compile(r"(?:(?:user|reader|guest|post|blog|article|single)[_-])?(?:ads?|adverts?|advertisements?|sponsor(?:ed)?|promo(?:tion)?s?|cookies?|newsletter|comments?|commentlist|disqus|respond|reply|replies|related|recommended|popup|widget|sidebar)(?:[_-](?:body|item|content|inner|box|card|list|entry|text|wrap|wrapper|block|\d+))*", re.I)
+OWN_NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 NAMED = re.compile(r"\b(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 HIDDEN = re.compile(r"(?:^|\s)(?:hidden(?:\s|=|/|$)|aria-hidden\s*=\s*[\"']?true)|display\s*:\s*none", re.I)
 WORD_SCORE = 1.0
@@ -60,22 +65,49 @@ def _noise(tag: str, attrs: str) -> bool:
     return tag not in ("html", "body", "article", "main") and any(NOISE.search(m[0] or m[1] or m[2]) for m in NAMED.findall(attrs))
 
 
+def _own_noise(attrs: str) -> bool:
+    return bool(attrs) and (bool(HIDDEN.search(attrs)) or any(OWN_NOISE.fullmatch(w) for m in OWN_NAMED.findall(attrs) for w in (m[0] or m[1] or m[2]).split()))
+
+
 def sequence(page: str, mark: str | None = "auto") -> list[tuple[str, str]]:
     """(kind, value): ``("#", text)`` of article words, ``("|", "")`` where a region may not cross, else a tag's name and ``/`` if it ends an element.
 
     Words of elements that are no article text are left out, their tags stay.
+    ``mark`` "auto": ``article``, but ``main`` where no article that counts
+    lies in it; else ``main``; else the whole page.
     """
+    if mark != "auto":
+        return _scan(page, mark)[0]
+    low = page.lower()
+    has_main = re.search(r"<main[\s>/]", low) is not None
+    worded = lambda items: any(kind == "#" and value.strip() for kind, value in items)
+    first = None
+    if re.search(r"<article[\s>/]", low):
+        first, in_main = _scan(page, "article")
+        if worded(first) and (in_main or not has_main):
+            return first
+    if has_main and worded(main := _scan(page, "main")[0]):
+        return main
+    if first is None:
+        return _scan(page, "main" if has_main else None)[0]
+    if worded(first):
+        return first
+    whole = _scan(page, None)[0]
+    return whole if worded(whole) else _scan(page, "article", True)[0]
+
+
+def _scan(page: str, mark: str | None, every: bool = False) -> tuple[list[tuple[str, str]], bool]:
+    """The sequence for one mark, and whether words in it lie in ``main``; with ``every`` all marked elements count."""
     out: list[tuple[str, str]] = []
     low = page.lower()
-    if mark == "auto":
-        mark = next((m for m in ("article", "main") if re.search(rf"<{m}[\s>/]", low)), None)
-    at, skip, inside = 0, [], 0
+    at, skip, inside, mains, in_main = 0, [], 0, 0, False
     end = len(page)
     while at < end:
         m = TOKEN.search(page, at)
         text = page[at : m.start() if m else end]
         if text and not skip and (inside or not mark):
             out.append(("#", text))
+            in_main |= mains > 0 and bool(text.strip())
         if not m:
             break
         at = m.end()
@@ -89,14 +121,18 @@ def sequence(page: str, mark: str | None = "auto") -> list[tuple[str, str]]:
                 stop = end if stop < 0 else stop
                 at = (page.find(">", stop) + 1) or end
             continue
-        if name == mark and not (not close and inside and _noise("div", attrs)):
-            if close:
-                inside = max(0, inside - 1)
-                skip = []
-            else:
-                if not inside:
-                    skip = []
-                inside += 1
+        if name == "main":
+            mains = max(0, mains + (-1 if close else 1))
+        if name == mark and not (close and name in skip):
+            # an element left unclosed before the mark doesn't hide it
+            hidden = not close and not every and bool(skip) and (inside or _closed(low, skip[0]))
+            noise = not close and not every and (_own_noise(attrs) or inside and _noise("div", attrs))
+            if hidden or noise:
+                out.append((name, ""))
+                skip.append(name)
+                continue
+            skip = []
+            inside = max(0, inside - 1) if close else inside + 1
             if inside == (0 if close else 1):
                 out.append(("|", ""))
             continue
@@ -113,9 +149,13 @@ def sequence(page: str, mark: str | None = "auto") -> list[tuple[str, str]]:
             if name in SKIP or name in ("div", "section", "ul", "ol", "table", "header", "article", "main", "span", "p", "li"):
                 if name not in ("p", "li", "span") or skip[0] == name:
                     skip.append(name)
-        elif name in SKIP or name == "header" and not inside or _noise(name, attrs):
+        elif name in SKIP or name == "header" and not inside or _noise(name, attrs) or name == "article" and _own_noise(attrs):
             skip = [name]
-    return out
+    return out, in_main
+
+
+def _closed(low: str, name: str) -> bool:
+    return len(re.findall(rf"<{re.escape(name)}[\s>/]", low)) <= low.count(f"</{name}")
 
 
 def fit(labelled: list[str]) -> dict[str, float]:
