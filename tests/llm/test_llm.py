@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import re
+import textwrap
 import zlib
 
 import duckdb
@@ -174,6 +175,28 @@ def test_licenses(spark, odd, empty):
     assert licenses.scan(odd).count() == odd.count() and licenses.scan(empty).count() == 0
 
 
+def test_wrapped_licenses(spark):
+    apache = """# Copyright 2020 Somebody
+#
+# Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance with the License.
+# You may obtain a copy of the License at
+#
+#     http://www.apache.org/licenses/LICENSE-2.0
+#
+# Unless required by applicable law or agreed to in writing, software
+# distributed under the License is distributed on an "AS IS" BASIS,
+# WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+# See the License for the specific language governing permissions and
+# limitations under the License.
+"""
+    wrap = lambda *ids: "A program\n\n" + "\n\n".join(textwrap.fill(licenses.SENTENCES[i], 60) for i in ids) + "\n"
+    texts = {1: apache, 2: wrap("mit-grant", "mit-notice"), 3: wrap("gpl-free", "gpl-hope").replace("\n", "\r\n"), 4: wrap("bsd-grant"), 5: wrap("mit-notice", "mit-grant"), 6: wrap("rights-reserved", "rights-reserved")}
+    got = {r["doc_id"]: r for r in licenses.scan(frame(spark, list(texts.items()))).collect()}
+    assert {k: r["licenses"] for k, r in got.items()} == {1: ["Apache-2.0"], 2: ["MIT"], 3: ["GPL-3.0"], 4: ["BSD-2-Clause"], 5: [], 6: ["proprietary"]}
+    assert got[1]["sentence_ids"] == ["apache-long", "apache-copy", "apache-as-is"] and got[6]["sentence_ids"] == ["rights-reserved"] * 2
+
+
 # --- decontamination, near duplicates, repeated passages -----------------------------------------
 
 

@@ -2,7 +2,9 @@
 
 A text is cut into sentences; a normalised sentence (lower case, runs of
 anything but letters, digits and plus signs as one blank) that is a known
-licence sentence becomes its identifier; the others drop out.  A licence is
+licence sentence becomes its identifier; the others drop out.  A sentence may
+be wrapped: consecutive pieces of the cut that together are a known sentence
+are that sentence.  A licence is
 found where its rule, an ordered list of identifiers, stands in the text's
 identifiers in that order, other identifiers between them allowed.
 
@@ -13,6 +15,8 @@ of a sentence count each time; ids and extra columns don't matter.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -68,14 +72,16 @@ def plain(sentence: str) -> str:
 
 
 def scan(docs: DataFrame, sentences: dict[str, str] | None = None, rules: list[tuple[str, list[str]]] | None = None) -> DataFrame:
-    """Per document: doc_id, n_sentences, sentence_ids (in text order), licenses (in the rules' order), n_licenses."""
+    """Per document: doc_id, n_sentences (pieces of the cut), sentence_ids (in text order), licenses (in the rules' order), n_licenses."""
     sentences, rules = sentences or SENTENCES, rules or RULES
     by_text = {plain(v): k for k, v in sentences.items()}
-    known = F.array(*[F.lit(k) for k in by_text])
     ident = F.create_map(*[F.lit(x) for kv in by_text.items() for x in kv])
     df = docs.select("doc_id", F.filter(F.transform(F.split(F.coalesce(as_text("text"), F.lit("")), SENTENCE_END), normalise), lambda s: s != "").alias("_s"))
-    # most texts hold no known sentence; a hashed intersection tells before any lookup
-    df = df.select("doc_id", F.size("_s").cast("long").alias("n_sentences"), F.when(F.arrays_overlap("_s", known), F.filter(F.transform("_s", lambda s: ident[s]), lambda x: x.isNotNull())).otherwise(F.array().cast("array<string>")).alias("sentence_ids"))
+    # pieces between bars; a known sentence begins and ends at a bar, and any blank of it may be one
+    wrapped = "|".join(r"[ |]".join(map(re.escape, k.split())) for k in sorted(by_text, key=len, reverse=True) if k)
+    bars = F.concat(F.lit("|"), F.array_join("_s", "|"), F.lit("|"))
+    hits = F.regexp_extract_all(bars, F.lit(rf"\|({wrapped})(?=\|)"), F.lit(1))
+    df = df.select("doc_id", F.size("_s").cast("long").alias("n_sentences"), F.transform(hits, lambda s: ident[F.translate(s, "|", " ")]).alias("sentence_ids"))
     joined = F.concat(F.lit("|"), F.array_join("sentence_ids", "|"), F.lit("|"))
     found = [F.when(joined.rlike("".join(rf"\|{i}(?=\|).*" if k + 1 < len(ids) else rf"\|{i}\|" for k, i in enumerate(ids))), F.lit(name)) for name, ids in rules]
     licenses = F.array_distinct(F.array_compact(F.array(*found)))
