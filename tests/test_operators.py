@@ -174,6 +174,30 @@ def test_clusters_and_polygons(spark):
     assert tuple(inside) == (True, False)
 
 
+def test_kriging_takes_all_donors_and_each_layers_variogram(spark):
+    import numpy as np
+
+    value = {0: lambda x, y: float((x * 7 + y * 5) % 11), 1: lambda x, y: 0.5 * x + 0.1 * y * y}
+    missing = {(3, 4), (0, 0), (6, 2)}
+    rows = [(k, x, y, None if (x, y) in missing else v(x, y)) for k, v in value.items() for x in range(8) for y in range(8)]
+    got = {(r["k"], r["x"], r["y"]): r["filled"] for r in spatial.krige(spark.createDataFrame(rows, "k int, x int, y int, v double"), ["k"], "x", "y", "v").collect()}
+    for k in value:
+        p = [(x, y, v) for kk, x, y, v in rows if kk == k and v is not None]
+        n = len(p)
+        bins = {}
+        for i in range(n):
+            for j in range(i):
+                if (h := float(np.hypot(p[i][0] - p[j][0], p[i][1] - p[j][1]))) <= 8:
+                    bins.setdefault(min(int(h), 7), []).append((h, (p[i][2] - p[j][2]) ** 2 / 2))
+        lag, semi = (np.array([np.mean([e[c] for e in bins[b]]) for b in sorted(bins)]) for c in (0, 1))
+        name, params = spatial.fit_variogram(lag, semi)
+        gamma = lambda a, b: 0.0 if a[:2] == b[:2] else float(spatial.MODELS[name](np.hypot(a[0] - b[0], a[1] - b[1]), *params))  # noqa: B023, E731
+        a = np.array([[gamma(q, r) for r in p] + [1.0] for q in p] + [[1.0] * n + [0.0]])
+        for m in missing:
+            w = np.linalg.solve(a, np.array([gamma(q, m) for q in p] + [1.0]))[:n]
+            assert got[(k, *m)] == pytest.approx(float(w @ [q[2] for q in p]), abs=1e-6)
+
+
 def test_typed_headers():
     assert files.typed_header(["a {int64}", "b c {object}"]) == "`a` bigint, `b c` string"
     assert files.typed_header(["a {int64}", "b"]) is None

@@ -70,13 +70,25 @@ def fit_variogram(lag: np.ndarray, semi: np.ndarray) -> tuple[str, tuple[float,
     return best[1], best[2]
 
 
-def krige(cells: DataFrame, layer: list[str], x: str, y: str, value: str, model: str, params: tuple[float, float, float], neighbours: int = 24) -> DataFrame:
-    """Ordinary kriging of the missing cells of each layer from their nearest observed cells.
-
-    A layer is one Arrow group, so a layer is what a task must hold; targets
-    within it are solved ``neighbours`` donors at a time.
+def _lag_bins(x: np.ndarray, y: np.ndarray, v: np.ndarray, lags: int, reach: float) -> tuple[np.ndarray, np.ndarray]:
+    """Mean distance and semivariance of the bins of ``variogram``, for the points of one layer."""
+    i, j = np.triu_indices(len(v), 1)
+    h, g = np.hypot(x[i] - x[j], y[i] - y[j]), (v[i] - v[j]) ** 2 / 2
+    h, g = h[h <= reach], g[h <= reach]
+    at = np.minimum(np.floor(h / (reach / lags)), lags - 1).astype(int)
+    n = np.bincount(at, minlength=lags)
+    have = n > 0
+    return np.bincount(at, h, lags)[have] / n[have], np.bincount(at, g, lags)[have] / n[have]
+
+
+def krige(cells: DataFrame, layer: list[str], x: str, y: str, value: str, model: str | None = None, params: tuple[float, float, float] | None = None, neighbours: int | None = None, lags: int = 8, reach: float = 8.0) -> DataFrame:
+    """Ordinary kriging of the missing cells of each layer from all its observed cells, or from the nearest ``neighbours``.
+
+    Without ``model`` and ``params`` each layer's variogram is fitted to its own
+    cells, in ``lags`` bins up to ``reach``; a layer without a pair of observed
+    cells in reach stays unfilled.  A layer is one Arrow group, so a layer is
+    what a task must hold.
     """
-    f = MODELS[model]
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
         have, miss = pdf[pdf[value].notna()], pdf[pdf[value].isna()]
@@ -85,15 +97,29 @@ def krige(cells: DataFrame, layer: list[str], x: str, y: str, value: str, model:
         if len(have) < 2 or not len(miss):
             return out
         hx, hy, hv = (have[c].to_numpy(float) for c in (x, y, value))
-        for i, tx, ty in zip(miss.index, miss[x].to_numpy(float), miss[y].to_numpy(float)):
-            d = np.hypot(hx - tx, hy - ty)
-            k = np.argsort(d, kind="stable")[:neighbours]
+        tx, ty = (miss[c].to_numpy(float) for c in (x, y))
+        name, fitted = model, params
+        if name is None or fitted is None:
+            bins = _lag_bins(hx, hy, hv, lags, reach)
+            if not len(bins[0]):
+                return out
+            name, fitted = fit_variogram(*bins)
+        f = MODELS[name]
+
+        def weighted(k: np.ndarray, px: np.ndarray, py: np.ndarray) -> np.ndarray:
             n = len(k)
-            a = np.ones((n + 1, n + 1))
-            a[:n, :n] = f(np.hypot(hx[k][:, None] - hx[k], hy[k][:, None] - hy[k]), *params)
+            a, b = np.ones((n + 1, n + 1)), np.ones((n + 1, len(px)))
+            a[:n, :n] = f(np.hypot(hx[k][:, None] - hx[k], hy[k][:, None] - hy[k]), *fitted)
             np.fill_diagonal(a, 0.0)
-            w = np.linalg.lstsq(a, np.append(f(d[k], *params), 1.0), rcond=None)[0][:n]
-            out.loc[i, "filled"] = float(w @ hv[k])
+            b[:n] = f(np.hypot(hx[k][:, None] - px, hy[k][:, None] - py), *fitted)
+            return hv[k] @ np.linalg.lstsq(a, b, rcond=None)[0][:n]
+
+        if neighbours is None or neighbours >= len(hv):
+            out.loc[miss.index, "filled"] = weighted(np.arange(len(hv)), tx, ty)
+        else:
+            for i, px, py in zip(miss.index, tx, ty):
+                k = np.argsort(np.hypot(hx - px, hy - py), kind="stable")[:neighbours]
+                out.loc[i, "filled"] = float(weighted(k, np.array([px]), np.array([py]))[0])
         return out
 
     schema = ", ".join(f"`{c.name}` {c.dataType.simpleString()}" for c in cells.schema) + ", filled double"

@@ -29,9 +29,7 @@ def variogram_bins(t: Tables) -> DataFrame:
 def kriging_fill(t: Tables) -> DataFrame:
     from .samples import _cells
 
-    v = spatial.variogram(_cells(t).where("layer = 0 and value is not null").withColumn("k", F.col("y") * 100 + F.col("x")), "k", "x", "y", "value", 8, 8.0).toPandas()
-    model, params = spatial.fit_variogram(v["lag"].to_numpy(), v["semivariance"].to_numpy())
-    return spatial.krige(_cells(t), ["layer"], "x", "y", "value", model, params).select("layer", "y", "x", F.round("filled", 6).alias("filled"))
+    return spatial.krige(_cells(t), ["layer"], "x", "y", "value").select("layer", "y", "x", F.round("filled", 6).alias("filled"))
 
 
 @query(f"""{_POINTS} SELECT vec_id, CASE WHEN x >= -0.2 AND x < 0 AND y >= -0.2 AND y < 0.05 THEN 1 WHEN x >= 0 AND x < 0.3 AND y >= -0.1 AND y < 0.1 THEN 2 END AS zone FROM p WHERE x NOT IN (-0.2, 0, 0.3) AND y NOT IN (-0.2, 0.05, -0.1, 0.1)""")
