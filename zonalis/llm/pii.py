@@ -1,29 +1,42 @@
 """Format-preserving pseudonyms for personal data: keyed Feistel permutations within each value's format.
 
 Found in each whole text: e-mail addresses, IPv4 addresses (each part at most
-255), telephone numbers, payment cards (13 to 19 digits, Luhn, whole digit groups
-even beside other numbers), social
-security numbers (issued areas), calendar dates from 1800 to 2199
-(YYYY-MM-DD, DD/MM/YYYY, DD.MM.YYYY) and credentials, up to the closing quote
-or white space (of those, ASCII letters and digits are replaced).  A value that fails its
-check stays as it is.  A valid one is replaced by another valid one of the
-same format:
+255), telephone numbers (North American ones, and international ones by their
+country's lengths), IBANs (country's length, remainder mod 97), payment cards
+(13 to 19 digits, issuer's first digits, Luhn; whole digit groups, even beside
+other numbers), social security numbers (issued areas), calendar dates from
+1800 to 2199 (YYYY-MM-DD, DD.MM.YYYY, DD/MM/YYYY, and MM/DD/YYYY where the day
+is above 12) and credentials, up to the closing quote or white space (of those,
+ASCII letters and digits are replaced).  A value that fails its check stays as
+it is, and so do four numbers that a version's name stands before or that are
+one digit each, and a date that says when something was released, published
+and the like.  A valid value is replaced by another valid one of the same
+format:
 
 * numbers and dates: their ordinal is split in two halves a < m, b < n, and
   each of ``ROUNDS`` rounds adds a keyed hash of one half to the other, mod m
   or n.  m x n is exactly the number of values of the format, so the map is a
-  permutation; a card's check digit is worked out anew.
-* e-mail names and credentials: the same on strings; digits turn within
-  digits, letters within letters of their case, marks stay.
-
-Equal values have equal pseudonyms in every document, for the same ``key``.
-DataFrame functions only.  A null text stays null; other columns pass through
-unchanged, whatever their names; rows are judged one by one.
+  permutation; check digits are worked out anew.
+* e-mail names, IBANs and credentials: the same on strings; digits turn within
+  digits, letters within letters of their case, marks stay.  An e-mail name's
+  case is laid over the pseudonym of its lower-case form, so spellings of one
+  name stay linked; the domain stays.
+
+Equal values have equal pseudonyms in every document, for the same ``key``,
+which is a secret: who has it can undo the map.  DataFrame functions only.  A
+null text stays null; other columns pass through unchanged, whatever their
+names; rows are judged one by one, so repeated rows and null ids stay, and
+where two formats fit one place the first in ``PATTERN`` counts.  Every pattern
+takes time in proportion to a text's length and a bounded stack, whatever the
+text; a run of more than 1000 digit groups is judged for cards in stretches of
+1000 groups.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import secrets
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import as_text
@@ -31,24 +44,63 @@ from .common import as_text
 ROUNDS = 10
 #: Characters that one permutation of a string takes.
 BLOCK = 64
-#: Fixed formats, tried in this order at each place.
-EMAIL = r"[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,24}"
-KEY_ID = r"\bAKIA[0-9A-Z]{16}\b"
-#: A name, then a quoted value of any length, or a bare one up to white space or a quote: 8 characters at least, or any number of them right after "=" or with a digit.
-SECRET_NAME = r"(?i:password|passwd|pwd|token|secret|api_key)\s?[=:]\s?"
-SECRET = rf"{SECRET_NAME}(?:\"(?:[^\"\\\r\n]|\\.)*+\"|'(?:[^'\\\r\n]|\\.)*+'|[\"']?(?:[^\s\"']{{8,}}|(?<=[=][\"']?)[^\s\"']+|(?=[^\s\"'0-9]*[0-9])[^\s\"']+))"
-IPV4 = r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\d|\.\d)"
-DATE = r"(?<![\d/.-])(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\d/-]|\.\d)"
+#: An IBAN's length by country.
+IBAN_LENGTHS = {
+    "AD": 24, "AE": 23, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BR": 29, "CH": 21, "CR": 22, "CY": 28, "CZ": 24, "DE": 22, "DK": 18, "EE": 20, "ES": 24, "FI": 18, "FO": 18, "FR": 27,
+    "GB": 22, "GE": 22, "GI": 23, "GL": 18, "GR": 27, "HR": 21, "HU": 28, "IE": 22, "IL": 23, "IS": 26, "IT": 27, "KW": 30, "KZ": 20, "LB": 28, "LI": 21, "LT": 20, "LU": 20, "LV": 21, "MC": 27, "MD": 24,
+    "ME": 22, "MK": 19, "MT": 31, "NL": 18, "NO": 15, "PK": 24, "PL": 28, "PT": 25, "QA": 29, "RO": 24, "RS": 22, "SA": 24, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "TN": 24, "TR": 26, "UA": 29,
+}
+#: How many digits follow a country's calling code, least and most.
+PHONE_LENGTHS = {
+    "7": (10, 10), "20": (8, 10), "27": (9, 9), "30": (10, 10), "31": (9, 9), "32": (8, 9), "33": (9, 9), "34": (9, 9), "36": (8, 9), "39": (8, 11), "40": (9, 9), "41": (9, 9), "43": (7, 13), "44": (9, 10),
+    "45": (8, 8), "46": (7, 10), "47": (8, 8), "48": (9, 9), "49": (7, 11), "51": (8, 9), "52": (10, 10), "54": (10, 11), "55": (10, 11), "56": (9, 9), "57": (10, 10), "58": (10, 10), "60": (8, 10), "61": (9, 9),
+    "62": (8, 12), "63": (10, 10), "64": (8, 10), "65": (8, 8), "66": (8, 9), "81": (9, 10), "82": (8, 10), "84": (9, 10), "86": (10, 11), "90": (10, 10), "91": (10, 10), "92": (9, 10), "212": (9, 9), "234": (8, 10),
+    "254": (9, 9), "351": (9, 9), "352": (6, 9), "353": (8, 9), "354": (7, 7), "358": (6, 11), "359": (8, 9), "370": (8, 8), "371": (8, 8), "372": (7, 8), "380": (9, 9), "385": (8, 9), "386": (8, 8), "420": (9, 9),
+    "421": (9, 9), "852": (8, 8), "886": (8, 9), "966": (9, 9), "971": (8, 9), "972": (8, 9),
+}
+#: Fixed formats.  ``RUN`` is what an e-mail's name and a credential's are made of; it is taken whole, from its start, so that no text is scanned twice.
+RUN = r"[A-Za-z0-9._%+-]++"
+RUN_START = r"(?<![A-Za-z0-9._%+-])"
+EMAIL = rf"{RUN}@(?:[A-Za-z0-9-]{{1,63}}+\.){{1,126}}[A-Za-z]{{2,24}}"
+KEY_ID = r"AKIA[0-9A-Z]{16}(?![A-Za-z0-9_])"
+#: The end of a credential's name, its mark, then a quoted value of any length, or a bare one up to white space or a quote: 8 characters at least, or any number of them right after "=" or with a digit.
+SECRET_MARK = r"(?=[\"']?\s?[=:])(?<=(?i:password|passwd|pwd|token|secret|api[_-]key))[\"']?\s?[=:]\s?"
+SECRET_VALUE = r"(?:\"(?:[^\"\\\r\n]|\\.)*+\"|'(?:[^'\\\r\n]|\\.)*+'|[\"']?(?:[^\s\"']{8,}+|(?<=[=][\"']?)[^\s\"']++|(?=[^\s\"'0-9]*+[0-9])[^\s\"']++))"
+SECRET = rf"{RUN}{SECRET_MARK}{SECRET_VALUE}"
+IBAN = r"(?=[A-Z]{2}\d\d)(?:" + "|".join(rf"(?:{'|'.join(c for c, n in IBAN_LENGTHS.items() if n == size)})\d\d(?: ?[A-Z0-9]){{{size - 4}}}" for size in sorted(set(IBAN_LENGTHS.values()))) + r")(?![A-Za-z0-9])"
+IPV4 = r"(?<![\d.])(?!\d\.\d\.\d\.\d(?!\d))(?<!(?i:\b(?:version|ver|release|build|v)[ .:#]{0,2}))(?:\d{1,3}\.){3}\d{1,3}(?!\d|\.\d)"
+#: Words before a date that is no person's.
+DATED = "released|published|updated|posted|modified|accessed|retrieved|effective|copyright|version|since"
+DATE = rf"(?=\d\d(?:\d\d-|[/.]\d))(?<![\d/.-])(?<!(?i:\b(?:{DATED})(?: on| in| at)?:? ))(?:\d{{4}}-\d{{2}}-\d{{2}}|\d{{2}}/\d{{2}}/\d{{4}}|\d{{2}}\.\d{{2}}\.\d{{4}})(?![\d/-]|\.\d)"
 SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 PHONE = r"(?<![\d+])(?:\+?1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[ .-]\d{4}(?!\d)"
-#: A whole run of digit groups, up to where another value begins; the cards within it are told by ``_card``.
-CARD = rf"(?<!\d)\d(?:\d|[ -](?!{EMAIL}|{IPV4}|{DATE}|{SSN}|{PHONE})\d){{12,}}+"
+_BY_LENGTH = {n: "|".join(c for c, m in PHONE_LENGTHS.items() if m == n) for n in PHONE_LENGTHS.values()}
+ABROAD = r"(?<![\d+])\+(?:" + "|".join(rf"(?:{codes})(?: ?\(0\))?(?:[ .()-]{{0,2}}\d){{{low},{high}}}" for (low, high), codes in _BY_LENGTH.items()) + r"|1(?:[ .-]?\d){10})(?!\d)"
+#: A run of digit groups with 13 digits or more, up to where another value begins; the cards within it are told by ``_card``.
+_GROUP = r"\d{1,19}+(?!\d)"
+CARD = rf"(?<!\d)(?=\d(?:[ -]?\d){{12}}){_GROUP}(?:[ -](?=\d)(?!{RUN_START}(?:{EMAIL}|{SECRET})|{IPV4}|{DATE}|{SSN}|{PHONE}){_GROUP}){{0,999}}+"
 #: Usual groupings of a card number, and issuers' first digits with their lengths.
 LAYOUT = r"^(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{4}|\d{4}([ -])\d{6}\2\d{4,5}|\d{4}([ -])\d{4}\3\d{4}\3\d{4}\3\d{1,3}|\d{6}[ -]\d{13})$"
 ISSUER = r"^(?:4(?:\d{12}|\d{15}|\d{18})|(?:5[1-5]|2[2-7])\d{14}|3[47]\d{13}|3[0689]\d{12,17}|35\d{14,17}|(?:5[06-9]|6)\d{12,18})$"
-PATTERN = "|".join((EMAIL, KEY_ID, SECRET, IPV4, DATE, SSN, PHONE, CARD))
+#: Most groups that a card is written in.
+CARD_GROUPS = 7
+#: Two groups: the values of all formats but cards, and a card's run.
+PATTERN = rf"({RUN_START}(?:{KEY_ID}|{IBAN}|{RUN}(?:@(?:[A-Za-z0-9-]{{1,63}}+\.){{1,126}}[A-Za-z]{{2,24}}|{SECRET_MARK}{SECRET_VALUE}))|(?=[0-9+(])(?:{IPV4}|{DATE}|{SSN}|{PHONE}|{ABROAD}))|({CARD})"
+#: Stands around matches while they are told from the rest, unless a text has it itself.
+SENTINEL = "\uffff"
 #: Days from 1800-01-01 to 2199-12-31: a whole Gregorian cycle, 189 x 773.
 FIRST_DAY, DAY_A, DAY_B = "1800-01-01", 189, 773
+#: The setting that holds the secret key of the registered queries.
+KEY_SETTING = "spark.zonalis.pii.key"
+
+
+def session_key(spark: SparkSession) -> str:
+    """The key in ``KEY_SETTING``; where it is unset, a fresh random one for this session: its pseudonyms are linked with no other session's."""
+    key = spark.conf.get(KEY_SETTING, None)
+    if not key:
+        key = secrets.token_hex(32)
+        spark.conf.set(KEY_SETTING, key)
+    return key
 
 
 def _hash(key: str, tweak: Column, i: Column, other: Column) -> Column:
@@ -90,8 +142,10 @@ def _shift(key: str, tweak: Column, i: Column, part: Column, other: Column) -> C
 
 
 def scramble(key: str, tweak: Column, s: Column) -> Column:
-    """A permutation of the strings of letters and digits of ``s``'s shape; other characters stay in place."""
-    return F.when(F.length(s) <= BLOCK, _scramble(key, tweak, s)).otherwise(_blocks(key, tweak, s))
+    """A permutation of the strings of letters and digits of ``s``'s shape, which is part of the tweak; other characters stay in place."""
+    shape = F.regexp_replace(F.regexp_replace(F.regexp_replace(s, "[0-9]", "0"), "[a-z]", "a"), "[A-Z]", "A")
+    shaped = F.concat_ws("|", tweak, F.when(F.length(s) <= BLOCK, shape).otherwise(F.sha2(shape, 256)))
+    return _let(shaped, lambda t: _blocks(key, t, s))
 
 
 def _blocks(key: str, tweak: Column, s: Column) -> Column:
@@ -113,7 +167,6 @@ def _scramble(key: str, tweak: Column, s: Column) -> Column:
         even = i % 2 == 0
         return F.struct(F.when(even, _shift(key, tweak, i, x["a"], x["b"])).otherwise(x["a"]).alias("a"), F.when(even, x["b"]).otherwise(_shift(key, tweak, i, x["b"], x["a"])).alias("b"))
 
-    # what a value's shape fixes belongs to the tweak
     done = F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), start, turn)
     return _relay(s, _let(done, lambda x: F.concat(x["a"], x["b"])), "[^A-Za-z0-9]")
 
@@ -171,54 +224,103 @@ def _one_card(key: str, s: Column) -> Column:
 def _card(key: str, s: Column) -> Column:
     """Struct (text, n) of a run of digit groups: its cards replaced, and their number.
 
-    A card is a sub-run of whole groups with 13 to 19 digits that passes Luhn.
-    Where such sub-runs overlap, a usual grouping with an issuer's number goes
-    first, then a usual grouping, then any; then the leftmost, then the one of
-    fewer groups.
+    A card is a sub-run of whole groups with 13 to 19 digits that has an
+    issuer's first digits and passes Luhn.  From left to right, a usual
+    grouping goes before another one, then one of fewer groups; an unusual one
+    gives way to a usual one that begins within it.
     """
 
-    def candidates(g: Column, i: Column) -> Column:
-        """Structs (rank, size, text) of the cards that begin with group ``i``."""
+    def best(g: Column, i: Column) -> Column:
+        """Struct (rank, size, text) of the card that begins with group ``i``, or null."""
 
         def judge(c: Column) -> Column:
             d = c["digits"]
-            layout = c["text"].rlike(LAYOUT)
-            rank = F.when(layout & d.rlike(ISSUER), 0).when(layout, 1).otherwise(2)
-            valid = _check_digit(F.substr(d, F.lit(1), F.length(d) - 1)) == F.substr(d, F.length(d), F.lit(1))
-            return F.when(valid, F.struct(rank.alias("rank"), c["size"].alias("size"), c["text"].alias("text")))
+            valid = d.rlike(ISSUER) & (_check_digit(F.substr(d, F.lit(1), F.length(d) - 1)) == F.substr(d, F.length(d), F.lit(1)))
+            return F.when(valid, F.struct(F.when(c["text"].rlike(LAYOUT), 0).otherwise(1).alias("rank"), c["size"].alias("size"), c["text"].alias("text")))
 
         def cut(size: Column) -> Column:
             text = F.regexp_replace(F.array_join(F.slice(g, i, size), ""), "[ -]$", "")
             return _let(text, lambda x: F.struct(size.alias("size"), x.alias("text"), F.translate(x, " -", "").alias("digits")))
 
-        cuts = F.transform(F.sequence(F.lit(1), F.least(F.size(g) - i + 1, F.lit(19))), cut)
-        return F.array_sort(F.array_compact(F.transform(F.filter(cuts, lambda c: F.length(c["digits"]).between(13, 19)), judge)))
+        cuts = F.transform(F.sequence(F.lit(1), F.least(F.size(g) - i + 1, F.lit(CARD_GROUPS))), cut)
+        found = F.array_min(F.transform(F.filter(cuts, lambda c: F.length(c["digits"]).between(13, 19)), judge))
+        return F.when(F.get(g, i - 1).rlike("^[2-6]") & (F.length(F.array_join(F.slice(g, i, CARD_GROUPS), "")) >= 13), found)
 
-    def swap(g: Column, found: Column) -> Column:
+    def swap(g: Column) -> Column:
         def step(state: Column, i: Column) -> Column:
-            # a better card that begins within this one goes first
-            free = F.filter(F.get(found, i - 1), lambda c: ~F.exists(F.slice(found, i + 1, c["size"] - 1), lambda later: F.coalesce(F.get(later, 0)["rank"], F.lit(2)) < c["rank"]))
-
             def put(c: Column) -> Column:
                 last = F.regexp_extract(F.element_at(g, i + c["size"] - 1), "[ -]?$", 0)
                 return F.struct((i + c["size"]).alias("at"), F.concat(state["text"], _one_card(key, c["text"]), last).alias("text"), (state["n"] + 1).alias("n"))
 
+            def later(c: Column) -> Column:
+                return (c["rank"] == 1) & (c["size"] > 1) & F.exists(F.sequence(i + 1, i + F.greatest(c["size"], F.lit(2)) - 1), lambda j: F.coalesce(best(g, j)["rank"] == 0, F.lit(False)))
+
             kept = F.struct((i + 1).alias("at"), F.concat(state["text"], F.element_at(g, i)).alias("text"), state["n"].alias("n"))
-            return F.when(i < state["at"], state).otherwise(_let(F.get(free, 0), lambda c: F.when(c.isNull(), kept).otherwise(put(c))))
+            return F.when(i < state["at"], state).otherwise(_let(best(g, i), lambda c: F.when(c.isNull() | later(c), kept).otherwise(put(c))))
 
         start = F.struct(F.lit(1).alias("at"), F.lit("").alias("text"), F.lit(0).alias("n"))
         return F.aggregate(F.sequence(F.lit(1), F.size(g)), start, step, lambda x: F.struct(x["text"].alias("text"), x["n"].alias("n")))
 
-    groups = F.regexp_extract_all(s, F.lit("[0-9]+[ -]?"), F.lit(0))
-    return _let(groups, lambda g: _let(F.transform(F.sequence(F.lit(1), F.size(g)), lambda i: candidates(g, i)), lambda found: swap(g, found)))
+    return _let(F.regexp_extract_all(s, F.lit("[0-9]+[ -]?"), F.lit(0)), swap)
 
 
 def _phone(key: str, s: Column) -> Column:
+    """A North American number's ten digits."""
     d = _digits(s)
     own = F.substr(d, F.length(d) - 9, F.lit(10))
     return _relay(s, F.concat(F.substr(d, F.lit(1), F.length(d) - 10), _number(key, F.lit("phone"), own)), "[^0-9]")
 
 
+def _abroad(key: str, s: Column) -> Column:
+    """An international number's digits behind the country's code and the first of its own; a trunk nought in brackets stays."""
+    d = _digits(F.regexp_replace(s, r"\(0\)", ""))
+    codes = F.create_map(*[x for c in PHONE_LENGTHS for x in (F.lit(c), F.lit(len(c)))])
+    fixed = 1 + F.coalesce(*[F.try_element_at(codes, F.substr(d, F.lit(1), F.lit(n))) for n in (1, 2, 3)])
+    new = F.concat(F.substr(d, F.lit(1), fixed), _number(key, F.concat(F.lit("phone"), F.substr(d, F.lit(1), fixed)), F.substr(d, fixed + 1, F.length(d))))
+    trunk = F.regexp_extract(s, r"^[^(]*\(0\)", 0)
+    code = F.regexp_extract(trunk, r"^\+\d+", 0)
+    rest = F.substr(s, F.length(trunk) + 1, F.length(s))
+    return F.when(trunk == "", _relay(s, new, "[^0-9]")).otherwise(F.concat(trunk, _relay(rest, F.substr(new, F.length(code), F.length(new)), "[^0-9]")))
+
+
+def _remainder(text: Column) -> Column:
+    """mod 97 of digits and letters, a letter as two digits from 10 on."""
+
+    def add(x: Column, c: Column) -> Column:
+        v = F.when(F.ascii(c) < 58, F.ascii(c) - 48).otherwise(F.ascii(c) - 55)
+        return ((x * F.when(v > 9, 100).otherwise(10) + v) % 97).cast("int")
+
+    return F.aggregate(F.split(text, ""), F.lit(0), lambda x, c: F.when(c == "", x).otherwise(add(x, c)))
+
+
+def _lettered(key: str, s: Column) -> Column:
+    """A value of letters and digits: the part of it that is scrambled, and what then stands around; null for any other value.
+
+    An e-mail name's case lies over the pseudonym of its lower-case form; an
+    IBAN's two check digits are worked out anew.
+    """
+    head = F.regexp_extract(s, rf"^{RUN}[\"']?\s?[=:]\s?[\"']?", 0)
+    name = F.regexp_extract(s, "^([^@]*)@", 1)
+    plain = F.translate(s, " ", "")
+    part = lambda kind, before, core: F.struct(F.lit(kind).alias("kind"), before.alias("before"), core.alias("core"))
+    parts = (
+        F.when(s.rlike(f"^{KEY_ID}$"), part("key", F.lit("AKIA"), F.substr(s, F.lit(5), F.lit(16))))
+        .when(s.rlike(f"^(?:{IBAN})$"), part("iban", F.substr(plain, F.lit(1), F.lit(2)), F.substr(plain, F.lit(5), F.length(plain))))
+        .when(s.rlike(f"^{RUN}@"), part("email", F.lit(""), F.lower(name)))
+        .when(head != "", part("secret", head, F.substr(s, F.length(head) + 1, F.length(s))))
+    )
+
+    def made(x: Column, new: Column) -> Column:
+        checked = F.concat(x["before"], F.lpad((98 - _remainder(F.concat(new, x["before"], F.lit("00")))).cast("string"), 2, "0"), new)
+        iban = F.when(_remainder(F.concat(x["core"], F.substr(plain, F.lit(1), F.lit(4)))) == 1, _relay(s, checked, " ")).otherwise(s)
+        cased = F.array_join(F.zip_with(F.split(new, ""), F.split(name, ""), lambda a, b: F.when(F.ascii(b).between(65, 90), F.upper(a)).otherwise(a)), "")
+        email = F.concat(F.when(name == x["core"], new).otherwise(cased), F.substr(s, F.length(name) + 1, F.length(s)))
+        return F.when(x["kind"] == "iban", iban).when(x["kind"] == "email", email).otherwise(F.concat(x["before"], new))
+
+    tweak = lambda x: F.when(x["kind"] == "iban", F.concat(x["kind"], x["before"])).otherwise(x["kind"])
+    return _let(parts, lambda x: F.when(x.isNotNull(), _let(scramble(key, tweak(x), x["core"]), lambda new: made(x, new))))
+
+
 def _ipv4(key: str, s: Column) -> Column:
     p = F.transform(F.split(s, r"\."), lambda x: x.cast("int"))
     got = feistel(key, F.lit("ipv4"), F.get(p, 0) * 256 + F.get(p, 1), F.lit(65536), F.get(p, 2) * 256 + F.get(p, 3), F.lit(65536))
@@ -236,47 +338,55 @@ def _ssn(key: str, s: Column) -> Column:
 
 
 def _date(key: str, s: Column) -> Column:
-    iso = s.rlike("^[0-9]{4}-")
-    text = F.when(iso, s).otherwise(F.concat_ws("-", F.substring(s, 7, 4), F.substring(s, 4, 2), F.substring(s, 1, 2)))
+    """One permutation of the days, whatever the form; a slashed date whose second number is above 12 has the month first."""
+    iso, first = s.rlike("^[0-9]{4}-"), s.rlike("^[0-9]{2}/(?:1[3-9]|[23][0-9])/")
+    a, b = F.substring(s, 1, 2), F.substring(s, 4, 2)
+    text = F.when(iso, s).when(first, F.concat_ws("-", F.substring(s, 7, 4), a, b)).otherwise(F.concat_ws("-", F.substring(s, 7, 4), b, a))
     day = F.try_to_date(text, "yyyy-MM-dd")
     at = F.datediff(day, F.lit(FIRST_DAY).cast("date"))
     got = feistel(key, F.lit("date"), F.floor(at / DAY_B), F.lit(DAY_A), at % DAY_B, F.lit(DAY_B))
     new = F.date_add(F.lit(FIRST_DAY).cast("date"), (got["a"] * DAY_B + got["b"]).cast("int"))
     mark = F.substring(s, 3, 1)
-    shown = F.when(iso, F.date_format(new, "yyyy-MM-dd")).otherwise(F.concat_ws("", F.date_format(new, "dd"), mark, F.date_format(new, "MM"), mark, F.date_format(new, "yyyy")))
+    two = F.when(first, F.date_format(new, "MM/dd")).otherwise(F.concat_ws("", F.date_format(new, "dd"), mark, F.date_format(new, "MM")))
+    shown = F.when(iso, F.date_format(new, "yyyy-MM-dd")).otherwise(F.concat_ws("", two, mark, F.date_format(new, "yyyy")))
     return F.when(day.isNotNull() & (at >= 0) & (at < DAY_A * DAY_B), shown).otherwise(s)
 
 
 def pseudonym(key: str, s: Column) -> Column:
-    """Struct (text, n) of one match: its pseudonym and the number of values in it, more than one only for cards in one run."""
-    name = F.regexp_extract(s, "^([^@]*)@", 1)
-    head = F.regexp_extract(s, rf"^{SECRET_NAME}[\"']?", 0)
-    one = lambda text: F.struct(text.alias("text"), F.lit(1).alias("n"))
-    return (
-        F.when(s.rlike(f"^{SECRET_NAME}"), one(F.concat(head, scramble(key, F.lit("secret"), F.substr(s, F.length(head) + 1, F.length(s))))))
-        .when(s.contains("@"), one(F.concat(scramble(key, F.lit("email"), name), F.substr(s, F.length(name) + 1, F.length(s)))))
-        .when(s.rlike("^AKIA"), one(F.concat(F.lit("AKIA"), scramble(key, F.lit("key"), F.substr(s, F.lit(5), F.lit(16))))))
-        .when(s.rlike(f"^(?:{IPV4})$"), one(_ipv4(key, s)))
-        .when(s.rlike(f"^(?:{DATE})$"), one(_date(key, s)))
-        .when(s.rlike(f"^(?:{SSN})$"), one(_ssn(key, s)))
-        .when(s.rlike(f"^(?:{PHONE})$"), one(_phone(key, s)))
-        .otherwise(_card(key, s))
+    """The pseudonym of one value that is no card."""
+    whole = lambda pattern: s.rlike(f"^(?:{pattern})$")
+    numbers = (
+        F.when(whole(IPV4), _ipv4(key, s))
+        .when(whole(DATE), _date(key, s))
+        .when(whole(SSN), _ssn(key, s))
+        .when(whole(PHONE) | whole(r"\+1(?:[ .-]?\d){10}"), _phone(key, s))
+        .otherwise(_abroad(key, s))
     )
+    return F.coalesce(_lettered(key, s), numbers)
 
 
-def pseudonymise(docs: DataFrame, key: str = "zonalis", counts: bool = False) -> DataFrame:
-    """``docs`` with personal data in ``text`` replaced; with ``counts`` also n_found and n_changed."""
+def pseudonymise(docs: DataFrame, key: str, counts: bool = False) -> DataFrame:
+    """``docs`` with personal data in ``text`` replaced; with ``counts`` also n_found and n_changed, which replace columns of those names."""
+    if not key:
+        raise ValueError("a secret key is asked for")
     work = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("r"), as_text("text").alias("t"))
-    some = F.col("t").rlike("[0-9@]|(?i:password|passwd|pwd|token|secret|api_key)")
-    work = work.withColumn("found", F.when(some, F.regexp_extract_all("t", F.lit(PATTERN), F.lit(0))))
-    work = work.withColumn("new", F.when(F.size("found") > 0, F.transform("found", lambda m: pseudonym(key, m))))
-    pieces = F.split(F.col("t"), PATTERN, -1)
-    joined = F.array_join(F.zip_with(pieces, F.col("new"), lambda p, m: F.concat(p, F.coalesce(m["text"], F.lit("")))), "")
-    text = F.when(F.col("new").isNotNull(), joined).otherwise(F.col("t"))
-    out = [text.alias(c) if c == "text" else F.col(f"r.`{c}`").alias(c) for c in docs.columns]
+    # rest, value, run of cards, rest, ...: one scan, but for texts that hold the sentinel
+    marked = F.split(F.regexp_replace("t", PATTERN, f"{SENTINEL}$1{SENTINEL}$2{SENTINEL}"), SENTINEL, -1)
+    rest, value, run = F.split("t", PATTERN, -1), F.regexp_extract_all("t", F.lit(PATTERN), F.lit(1)), F.regexp_extract_all("t", F.lit(PATTERN), F.lit(2))
+    apart = F.slice(F.flatten(F.transform(rest, lambda x, i: F.array(x, F.coalesce(F.get(value, i), F.lit("")), F.coalesce(F.get(run, i), F.lit(""))))), 1, 3 * F.size(rest) - 2)
+    work = work.withColumn("parts", F.when(F.col("t").contains(SENTINEL), apart).otherwise(marked))
+    some = F.size("parts") > 1
+
+    def new(p: Column, i: Column) -> Column:
+        kept = F.struct(p.alias("text"), F.lit(0).alias("n"))
+        return F.when((i % 3 == 0) | (p == ""), kept).when(i % 3 == 1, F.struct(pseudonym(key, p).alias("text"), F.lit(1).alias("n"))).otherwise(_card(key, p))
+
+    work = work.withColumn("new", F.when(some, F.transform("parts", new)))
+    text = F.when(some, F.array_join(F.transform("new", lambda x: x["text"]), "")).otherwise(F.col("t"))
+    out = [text.alias(c) if c == "text" else F.col(f"r.`{c}`").alias(c) for c in docs.columns if not (counts and c in ("n_found", "n_changed"))]
     if counts:
         total = lambda c: F.aggregate(c, F.lit(0), lambda x, y: x + y)
-        n_found = total(F.transform("new", lambda m: F.greatest(m["n"], F.lit(1))))
-        changed = total(F.zip_with("found", "new", lambda a, b: F.when(a != b["text"], F.greatest(b["n"], F.lit(1))).otherwise(0)))
-        out += [F.when(F.col("new").isNotNull(), n).otherwise(F.lit(0)).cast("long").alias(c) for n, c in ((n_found, "n_found"), (changed, "n_changed"))]
+        n_found = total(F.transform("new", lambda x, i: F.when((i % 3 == 2) & (x["text"] != ""), F.greatest(x["n"], F.lit(1))).otherwise(x["n"])))
+        changed = total(F.zip_with("parts", "new", lambda a, b: F.when(a != b["text"], b["n"]).otherwise(0)))
+        out += [F.when(some, n).otherwise(F.lit(0)).cast("long").alias(c) for n, c in ((n_found, "n_found"), (changed, "n_changed"))]
     return work.select(*out)

@@ -64,10 +64,10 @@ def op7_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_feistel_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .pii import pseudonymise
+    from .pii import pseudonymise, session_key
 
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
-    return pseudonymise(docs, counts=True)
+    return pseudonymise(docs, session_key(spark), counts=True)
 
 
 def op9_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
