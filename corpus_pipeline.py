@@ -17,7 +17,7 @@ from zonalis.llm.common import stored
 from zonalis.llm.decontaminate import clean
 from zonalis.llm.langid import fit, told
 from zonalis.llm.packing import pack
-from zonalis.llm.pii import pseudonymise
+from zonalis.llm.pii import pseudonymise, session_key
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,7 +38,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data replaced by pseudonyms; n_chars follows the new text."""
-    got = pseudonymise(docs)
+    got = pseudonymise(docs, session_key(spark))
     return got.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else got
 
 
