@@ -330,6 +330,25 @@ def test_repeated_passages(spark, odd, empty, hot_rows):
     assert suffixes.remove_repeats(empty).count() == 0
 
 
+def test_rows_are_told_apart(spark):
+    """Many rows of one null or repeated doc_id; a hash of the texts can't stand for the row."""
+    a, b = prose(150, 21), prose(150, 22)
+    rows = [(None, a), (None, b + a[:250]), (7, a[30:] + " end"), (7, prose(120, 23)), (None, prose(200, 24)), (None, None)] + [(None, prose(60, 100 + i)) for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = repeats([(d, (t or "").encode()) for d, t in rows])
+    assert collections.Counter(map(tuple, suffixes.remove_repeats(df).collect())) == want
+
+
+def test_window_classes_by_bytes(monkeypatch):
+    """Digits whose hashes all collide are told apart by their bytes."""
+    data = b"a" * 199 + b"b" + b"a" * 199 + b"c" + b"a" * 199 + b"b"
+    buf, pos = np.frombuffer(data, np.uint8), np.array([0, 200, 400])
+    for broken in (False, True):
+        if broken:
+            monkeypatch.setattr(suffixes, "range_hash", lambda prefix, start, end: np.zeros(len(start), np.uint64))
+        assert suffixes.window_classes(np.zeros(3, np.int64), pos, buf, suffixes.prefix_hash(buf), 200).tolist() == [True, False, True]
+
+
 # --- pages, personal data -----------------------------------------------------------------------------
 
 

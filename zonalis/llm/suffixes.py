@@ -9,16 +9,22 @@ windows of different anchors are never compared.
 
 1. Each text is cut into runs of window starts that share an anchor (about one
    run for 80 bytes).  A run's *segment* is all its windows' bytes.
-2. Runs whose anchor stands nowhere else are dropped.  Runs whose whole segment
-   stands twice are repeated in full.
-3. What is left are edges of passages: one run of each different segment goes,
-   with its bytes, to its anchor's group, where the windows are ordered digit
-   by digit, singletons leaving after each.  A group of more than ``hot_rows``
-   segments is counted window by window instead, spread over all partitions.
-
-Nulls are empty; texts below ``size`` bytes keep everything.  Rows that share
-a doc_id are told apart by their text; rows that share both repeat each other
-and get equal results.  Null doc_ids are kept.  Extra columns are ignored.
+2. Runs whose anchor stands nowhere else are dropped.  Segments of one anchor
+   that agree in length and in 64 bits of hash besides the anchor's 64 are one
+   suffix class before any pass: a run whose segment stands twice is repeated
+   in full, and one run of each different segment goes on, so that copies cost
+   no bytes of shuffle.
+3. What goes on are edges of passages: their bytes go to their anchor's group,
+   where the windows are ordered digit by digit, singletons leaving after each;
+   what is left is compared byte by byte.  A group of more than ``hot_rows``
+   segments would be one task's; its windows are dealt by 128 bits of their
+   digits' hashes over all partitions instead, with the same result.
+
+Rows get a lasting number first, so null and repeated doc_ids are told apart;
+rows that share doc_id and text repeat each other and get equal results.
+Nulls are empty; texts below ``size`` bytes keep everything; a very long text
+is one row's bytes in memory, its hashes 8 bytes for each of its own.  Extra
+columns are ignored, whatever their names; an empty table gives no row.
 """
 
 from __future__ import annotations
@@ -68,8 +74,8 @@ def runs(buf: np.ndarray, offs: np.ndarray, size: int) -> tuple[np.ndarray, ...]
     return row, s - offs[row], starts, a[lead] - s, grams[a[lead]], range_hash(prefix, s, s + starts - 1 + size)
 
 
-def window_classes(group: np.ndarray, pos: np.ndarray, prefix: np.ndarray, size: int) -> np.ndarray:
-    """Which windows (starts ``pos``) equal another of their group: passes over digits of GRAM bytes, the first digit first."""
+def window_classes(group: np.ndarray, pos: np.ndarray, buf: np.ndarray, prefix: np.ndarray, size: int) -> np.ndarray:
+    """Which windows (starts ``pos``) equal another of their group: passes over digits of GRAM bytes, the first digit first, by the digits' hashes; then by bytes."""
     alive, cls = np.arange(len(pos)), group
     for at in range(0, size, GRAM):
         start = pos[alive] + at
@@ -83,78 +89,100 @@ def window_classes(group: np.ndarray, pos: np.ndarray, prefix: np.ndarray, size:
         keep = order[many]
         cls = number[many]
         alive = alive[keep]
+    # each window against the first of its class, eight bytes at a time; the classes stand together
     out = np.zeros(len(pos), bool)
-    out[alive] = True
+    if len(alive):
+        lead = np.flatnonzero(np.append(True, cls[1:] != cls[:-1]))
+        count = np.diff(np.append(lead, len(cls)))
+        first = np.repeat(pos[alive[lead]], count)
+        word = np.ndarray(len(buf) - 7, "<u8", buf, strides=(1,))
+        same = np.ones(len(alive), bool)
+        for at in [*range(0, size - 7, 8), size - 8]:
+            same &= word[pos[alive] + at] == word[first + at]
+        if not same.all():  # a collision: those windows by their bytes alone
+            left = np.flatnonzero(~np.repeat(np.logical_and.reduceat(same, lead), count))
+            seen: dict[tuple[int, bytes], list[int]] = {}
+            for i in left.tolist():
+                seen.setdefault((int(cls[i]), buf[pos[alive[i]] : pos[alive[i]] + size].tobytes()), []).append(i)
+            same[left] = False
+            same[[i for x in seen.values() if len(x) > 1 for i in x]] = True
+        out[alive[same]] = True
     return out
 
 
 def _windows(batch: pa.RecordBatch, size: int):
-    """Of context rows: the row of each window, its start in the text, its distance to the anchor, its place in the bytes, prefix sums."""
+    """Of context rows: the row of each window, its start in the text, its distance to the anchor, its place in the bytes, the bytes, prefix sums."""
     ctx = batch.column(batch.schema.get_field_index("bytes"))
     n, s, off = (batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("n", "s", "off"))
     base = np.cumsum(n + size - 1) - (n + size - 1)
     buf = np.frombuffer(b"".join(ctx.to_pylist()), np.uint8)
     row = np.repeat(np.arange(len(n)), n)
     j = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-    return row, s[row] + j, off[row] - j, base[row] + j, prefix_hash(buf)
+    return row, s[row] + j, off[row] - j, base[row] + j, buf, prefix_hash(buf)
+
 
+def _rows(docs: DataFrame) -> DataFrame:
+    """row (a lasting number), doc_id, text."""
+    small_batches(docs.sparkSession)
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(as_text("text"), F.lit("")).alias("text"))
+    return stored(slim.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text"), "rows")
 
-def repeated_spans(docs: DataFrame, size: int = 200, hot_rows: int = 20_000) -> DataFrame:
-    """doc_id, tag (of the text), a, b: stretches [a, b) of bytes that repeated windows cover, not yet merged."""
+
+def repeated_spans(rows: DataFrame, size: int = 200, hot_rows: int = 20_000) -> DataFrame:
+    """row, a, b: stretches [a, b) of bytes that repeated windows cover, not yet merged; ``rows``: row, text."""
     if size < GRAM:
         raise ValueError(f"windows of at least {GRAM} bytes are asked for")
-    spark = docs.sparkSession
+    spark = rows.sparkSession
     small_batches(spark)
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), as_text("text").alias("text")).where("text is not null").withColumn("tag", F.hash("text"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for some, buf, offs in text_slices(batch, "text"):
                 row, s, n, off, anchor, segment = runs(buf, offs, size)
-                at = pa.array(row)
-                yield pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64)), pa.array(segment.view(np.int64)), some.column(0).take(at), some.column(2).take(at), pa.array(s), pa.array(n, pa.int32()), pa.array(off, pa.int32())], names=["anchor", "segment", "doc_id", "tag", "s", "n", "off"])
+                yield pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64)), pa.array(segment.view(np.int64)), some.column(0).take(pa.array(row)), pa.array(s), pa.array(n, pa.int32()), pa.array(off, pa.int32())], names=["anchor", "segment", "row", "s", "n", "off"])
 
-    every = stored(slim.select("doc_id", "text", "tag").mapInArrow(cut, "anchor long, segment long, doc_id long, tag int, s long, n int, off int"), "runs")
+    every = stored(rows.select("row", "text").mapInArrow(cut, "anchor long, segment long, row long, s long, n int, off int"), "runs")
     groups = every.groupBy("anchor").agg(F.count("*").alias("total"), F.min("segment").alias("x"), F.max("segment").alias("y")).where("total > 1").select("anchor", (F.col("x") != F.col("y")).alias("mixed"))
     groups = stored(groups, "anchors")  # a join of two fresh shuffles, so that a hot anchor's rows can be split
     some = stored(every.join(groups, "anchor"), "shared-runs")
     drop_stored(every)
     del groups
     free(spark)
-    counts = stored(some.groupBy("anchor", "segment").agg(F.count("*").alias("c")).where("c > 1"), "counts")
-    whole = some.join(counts, ["anchor", "segment"]).select("doc_id", "tag", F.col("s").alias("a"), (F.col("s") + F.col("n") - 1 + size).alias("b"))
+    key = ["anchor", "segment", "n"]
+    counts = stored(some.groupBy(*key).agg(F.count("*").alias("c")).where("c > 1"), "counts")
+    whole = some.join(counts, key).select("row", F.col("s").alias("a"), (F.col("s") + F.col("n") - 1 + size).alias("b"))
     # edges: different segments of anchors with a segment that stands once
-    one = some.where("mixed").groupBy("anchor", "segment").agg(F.count("*").alias("c"), F.min_by(F.struct("doc_id", "tag", "s", "n", "off"), F.xxhash64("doc_id", "tag", "s")).alias("r"))
+    one = some.where("mixed").groupBy(*key).agg(F.count("*").alias("c"), F.min(F.struct("row", "s", "off")).alias("r"))
     one = stored(one, "segments")
     open_ = one.groupBy("anchor").agg(F.min("c").alias("least"), F.count("*").alias("rows")).where("least = 1").select("anchor", (F.col("rows") > hot_rows).alias("hot"))
-    need = one.join(open_, "anchor").select("anchor", "hot", (F.col("c") == 1).alias("single"), "r.*")
-    by_doc = need.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("anchor", "hot", "single", "s", "n", "off")).alias("runs"))
+    need = one.join(open_, "anchor").select("anchor", "hot", (F.col("c") == 1).alias("single"), "r.row", "r.s", "n", "r.off")
+    by_row = need.groupBy("row").agg(F.collect_list(F.struct("anchor", "hot", "single", "s", "n", "off")).alias("runs"))
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                d, tag, text, wanted = (c[i].as_py() for c in batch.columns)
+                row, text, wanted = (c[i].as_py() for c in batch.columns)
                 data = text.encode("utf-8", "surrogatepass")
-                out = [(w["anchor"], w["hot"], w["single"], d, tag, w["s"], w["n"], w["off"], data[w["s"] : w["s"] + w["n"] - 1 + size]) for w in wanted]
+                out = [(w["anchor"], w["hot"], w["single"], row, w["s"], w["n"], w["off"], data[w["s"] : w["s"] + w["n"] - 1 + size]) for w in wanted]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=fields)
 
-    fields = ["anchor", "hot", "single", "doc_id", "tag", "s", "n", "off", "bytes"]
-    types = [pa.int64(), pa.bool_(), pa.bool_(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
-    met = slim.join(by_doc.withColumnRenamed("doc_id", "d").withColumnRenamed("tag", "t"), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("tag") == F.col("t"))).select("doc_id", "tag", "text", "runs")
-    edges = stored(met.mapInArrow(fetch, "anchor long, hot boolean, single boolean, doc_id long, tag int, s long, n int, off int, bytes binary"), "edges")
+    fields = ["anchor", "hot", "single", "row", "s", "n", "off", "bytes"]
+    types = [pa.int64(), pa.bool_(), pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+    met = rows.select("row", "text").join(by_row, "row").select("row", "text", "runs")
+    edges = stored(met.mapInArrow(fetch, "anchor long, hot boolean, single boolean, row long, s long, n int, off int, bytes binary"), "edges")
+    drop_stored(one)
     free(spark)
 
     def spans(batch: pa.RecordBatch, group: np.ndarray) -> pa.RecordBatch:
-        row, start, far, pos, prefix = _windows(batch, size)
-        hit = window_classes(group[row] * (size + 1) + far, pos, prefix, size)
+        row, start, far, pos, buf, prefix = _windows(batch, size)
+        hit = window_classes(group[row] * (size + 1) + far, pos, buf, prefix, size)
         single = batch.column(2).to_numpy(zero_copy_only=False)
         at = np.flatnonzero(hit & single[row])
         new = np.ones(len(at), bool)
         new[1:] = (row[at[1:]] != row[at[:-1]]) | (at[1:] != at[:-1] + 1)
         lead = np.flatnonzero(new)
         last = np.append(lead[1:], len(at))[: len(lead)] - 1
-        rows = pa.array(row[at[lead]])
-        return pa.RecordBatch.from_arrays([batch.column(3).take(rows), batch.column(4).take(rows), pa.array(start[at[lead]]), pa.array(start[at[last]] + size)], names=["doc_id", "tag", "a", "b"])
+        return pa.RecordBatch.from_arrays([batch.column(3).take(pa.array(row[at[lead]])), pa.array(start[at[lead]]), pa.array(start[at[last]] + size)], names=["row", "a", "b"])
 
     def resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -184,7 +212,7 @@ def repeated_spans(docs: DataFrame, size: int = 200, hot_rows: int = 20_000) ->
         for batch in batches:
             for i in range(0, batch.num_rows, 2048):
                 part = batch.slice(i, 2048)
-                row, start, far, pos, prefix = _windows(part, size)
+                row, start, far, pos, _, prefix = _windows(part, size)
                 anchor = part.column(0).to_numpy().view(np.uint64)[row]
                 digits = np.stack([mix(anchor + far.astype(np.uint64)), *[range_hash(prefix, pos + at, pos + min(at + GRAM, size)) for at in range(0, size, GRAM)]])
                 h = np.zeros((2, len(row)), np.uint64)
@@ -192,23 +220,23 @@ def repeated_spans(docs: DataFrame, size: int = 200, hot_rows: int = 20_000) ->
                     h[0] = mix(h[0] * _U(0x9FB21C651E98DF25) + d)
                     h[1] = mix(h[1] * _U(0xC2B2AE3D27D4EB4F) ^ d)
                 at = pa.array(row)
-                yield pa.RecordBatch.from_arrays([pa.array(h[0].view(np.int64)), pa.array(h[1].view(np.int64)), part.column(2).take(at), part.column(3).take(at), part.column(4).take(at), pa.array(start)], names=["x", "y", "single", "doc_id", "tag", "a"])
+                yield pa.RecordBatch.from_arrays([pa.array(h[0].view(np.int64)), pa.array(h[1].view(np.int64)), part.column(2).take(at), part.column(3).take(at), pa.array(start)], names=["x", "y", "single", "row", "a"])
 
-    cool = edges.where("not hot").repartition(shuffle_partitions(spark), "anchor").sortWithinPartitions("anchor").mapInArrow(resolve, "doc_id long, tag int, a long, b long")
+    cool = edges.where("not hot").repartition(shuffle_partitions(spark), "anchor").sortWithinPartitions("anchor").mapInArrow(resolve, "row long, a long, b long")
     out = whole.unionByName(cool)
     if not edges.where("hot").isEmpty():
-        hot = edges.where("hot").mapInArrow(single_windows, "x long, y long, single boolean, doc_id long, tag int, a long")
+        hot = edges.where("hot").mapInArrow(single_windows, "x long, y long, single boolean, row long, a long")
         twice = hot.groupBy("x", "y").agg(F.count("*").alias("c")).where("c > 1").select("x", "y")
-        out = out.unionByName(hot.where("single").join(twice, ["x", "y"]).select("doc_id", "tag", "a", (F.col("a") + size).alias("b")))
+        out = out.unionByName(hot.where("single").join(twice, ["x", "y"]).select("row", "a", (F.col("a") + size).alias("b")))
     return stored(out.distinct(), "spans")
 
 
 def remove_repeats(docs: DataFrame, size: int = 200, hot_rows: int = 20_000, text: bool = False) -> DataFrame:
     """Per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256; with ``text`` also the spans and the bytes kept."""
-    found = repeated_spans(docs, size, hot_rows).groupBy("doc_id", "tag").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(as_text("text"), F.lit("")).alias("text")).withColumn("tag", F.hash("text"))
+    rows = _rows(docs)
+    found = repeated_spans(rows, size, hot_rows).groupBy("row").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
     free(docs.sparkSession)
-    met = slim.join(found.select(F.col("doc_id").alias("d"), F.col("tag").alias("t"), "spans"), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("tag") == F.col("t")), "left").select("doc_id", "text", "spans")
+    met = rows.join(found, "row", "left").select("doc_id", "text", "spans")
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
