@@ -12,6 +12,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from tests.llm.conftest import frame, prose
 from tests.llm.plain_pii import plain
@@ -45,9 +46,14 @@ def test_cached_ids_equal_the_librarys(name):
     @settings(max_examples=150, deadline=None)
     @given(st.lists(st.text(alphabet=st.one_of(st.sampled_from(" \n\t.,'aBcéßΣİ 　\x1c 1%<|endoftext|>"), st.characters(codec="utf-8"))), max_size=4))
     def same(texts):
-        assert [x.tolist() for x in enc.encode(texts)] == [enc.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        assert [x.tolist() for x in enc.encode(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
 
+    library = Tokenizer.from_file(tokens.tokenizer_path(name))
     same()
+    rng, pieces = np.random.default_rng(1), ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "hello", " ", "world", "<|", "|>", "\n", "é", "Σ"]
+    for _ in range(300):
+        texts = ["".join(rng.choice(pieces, rng.integers(0, 6))) for _ in range(4)]
+        assert [x.tolist() for x in enc.encode(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
 
 
 @settings(max_examples=40, deadline=None)
@@ -102,6 +108,21 @@ def test_packing(spark, odd, empty):
     assert packing.pack(empty).count() == 0
 
 
+def test_neighbours_share_sequences(spark):
+    """Documents of a topic's words, of any length, lie in the same sequences far more often than by chance."""
+    rng = np.random.default_rng(2)
+    rows = []
+    for d in range(400):
+        topic = [f"w{d % 20}x{k}" for k in range(30)] + [f"common{k}" for k in range(5)]
+        rows.append((d, " ".join(rng.choice(topic, rng.integers(60, 600)))))
+    got = packing.pack(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "sequence_id").collect()
+    by = collections.defaultdict(list)
+    for r in got:
+        by[r["sequence_id"]].append(r["doc_id"] % 20)
+    pairs = [(x, y) for v in by.values() for i, x in enumerate(v) for y in v[i + 1 :]]
+    assert np.mean([x == y for x, y in pairs]) > 0.25  # 0.05 by chance
+
+
 def test_hilbert_neighbours():
     cells = np.array([[x, y] for x in range(8) for y in range(8)])
     key = packing.hilbert_index(cells, 3)

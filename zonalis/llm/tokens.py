@@ -4,7 +4,8 @@ The library spends microseconds a pretoken on merges; natural text repeats its
 pretokens, so each worker keeps the ids of those it has seen.  A pretoken is
 encoded by the library's own model; only the splitting is done here, by the
 splitter's published pattern, and tests hold the ids against the library's.
-Strings of special tokens inside a text are ordinary text.
+A text that holds the string of an added token, such as a special one, is
+encoded by the library as a whole.
 """
 
 from __future__ import annotations
@@ -56,7 +57,6 @@ class CachedEncoder:
 
         path = tokenizer_path(name)
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         pre = spec["pre_tokenizer"]
@@ -81,6 +81,8 @@ class CachedEncoder:
                 raise ValueError(f"{path}: an inverted split is asked for")
             pattern = split["pattern"]["Regex"]
         self.find = regex.compile(pattern).findall
+        added = [t["content"] for t in spec.get("added_tokens") or []]
+        self.added = regex.compile("|".join(map(regex.escape, added)), regex.IGNORECASE if self.normal else 0).search if added else lambda text: None
 
     def piece(self, p: str) -> bytes:
         """Ids of one pretoken, by the library's model."""
@@ -124,6 +126,10 @@ class CachedEncoder:
         out: list[np.ndarray] = []
         part, size = [], 0
         for text in texts:
+            if text and self.added(text):
+                out += (self._encode(part) if part else []) + [np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype)]
+                part, size = [], 0
+                continue
             data = (text or "").encode("utf-8", "surrogatepass") if not self.normal else self._normal(text or "").encode("utf-8", "surrogatepass")
             part.append(data)
             size += len(data)
