@@ -69,6 +69,21 @@ def test_wavelet_matrix(ids):
     assert m.count(49_408) == m.count(65_535) == 0
 
 
+def test_wavelet_blocks():
+    """Over several blocks, and few of them are decompressed for one answer."""
+    ids = np.random.default_rng(4).zipf(1.3, 100_000).astype(np.int64) % 49_408
+    data = wavelet.WaveletMatrix.build(ids.astype(np.uint16), [None, 5], [60_000, 40_000]).to_bytes()
+    m = wavelet.WaveletMatrix.from_bytes(data)
+    still = lambda: sum(isinstance(b, memoryview) for level in m.blocks for b in level)
+    depth, all_ = len(m.blocks), still()
+    assert m.access(77_777) == ids[77_777] and still() >= all_ - depth
+    for i in (0, 1, 32_767, 32_768, 65_536, 99_999):
+        t = int(ids[i])
+        assert m.access(i) == t and m.rank(t, i) == (ids[:i] == t).sum() and m.select(t, m.rank(t, i)) == i
+        assert m.count(t) == (ids == t).sum()
+    assert m.decode().tolist() == ids.tolist() and [(d, a, len(x)) for d, a, x in m.documents()] == [(None, 0, 60_000), (5, 60_000, 40_000)]
+
+
 def test_shards_give_back_every_document(spark, odd, empty):
     rows = wavelet.wavelet_tokens(odd, shard_tokens=500).collect()
     enc = tokens.CachedEncoder("word_bpe_49k.json")

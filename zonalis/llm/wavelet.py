@@ -1,14 +1,18 @@
 """Token-ID output: one wavelet matrix per shard, in one compressed file.
 
 A shard's file holds the ids of consecutive documents as bit-planes (a wavelet
-matrix): ``access(i)``, ``rank(id, i)`` (how often an id stands before i),
-``count(id)`` and ``select(id, k)`` (where the k-th stands) read it with a few
-rank or select steps a plane; ``decode()`` gives all ids.
+matrix).  Each plane is compressed in blocks, and a directory holds where each
+block begins and how many ones stand before it: ``access(i)``, ``rank(id, i)``
+(how often an id stands before i), ``count(id)`` and ``select(id, k)`` (where
+the k-th stands) decompress a block or two of each plane; ``decode()`` gives
+all ids.
 
 Nulls and empty texts are documents of the end id alone.  Null doc_ids come
 first; rows that share a doc_id stand side by side in the order of their text,
-each a document of its own.  Extra columns are ignored.  An empty table writes
-no shard and gives no rows.
+each a document of its own.  A document is never cut, so a very long one makes
+one shard of about two bytes an id: below the 2 GB of a cell, as its text is.
+Extra columns are ignored, whatever their names.  An empty table writes no
+shard and gives no rows.
 """
 
 from __future__ import annotations
@@ -27,79 +31,103 @@ from pyspark.sql import functions as F
 from .common import as_text, shared_dir, shuffle_partitions, small_batches
 from .tokens import encoder
 
-_MAGIC = b"ZWM1"
-_BLOCK = 512  # bits between rank samples
+_MAGIC = b"ZWM2"
+#: Bytes of a plane's block, and its bits.
+BLOCK = 4096
+_BITS = BLOCK * 8
 
 
 class WaveletMatrix:
-    """Planes from the highest bit down; ``zeros[l]``: how many zeros plane l has, which the next plane has first."""
+    """Planes from the highest bit down; ``zeros[l]``: how many zeros plane l has, which the next plane has first.
 
-    def __init__(self, n: int, planes: list[np.ndarray], zeros: list[int], doc_ids: np.ndarray, sizes: np.ndarray, null_docs: np.ndarray):
-        self.n, self.planes, self.zeros = n, planes, zeros
+    ``blocks[l]``: the plane's blocks, as bits or, from a file, compressed
+    until they are asked for; ``ones[l]``: ones before each block, and in all.
+    """
+
+    def __init__(self, n: int, blocks: list[list], ones: list[np.ndarray], zeros: list[int], doc_ids: np.ndarray, sizes: np.ndarray, null_docs: np.ndarray):
+        self.n, self.blocks, self.ones, self.zeros = n, blocks, ones, zeros
         self.doc_ids, self.sizes, self.null_docs = doc_ids, sizes, null_docs
-        self._ranks: list[np.ndarray | None] = [None] * len(planes)
 
     @classmethod
     def build(cls, ids: np.ndarray, doc_ids: list[int | None], sizes: list[int]) -> WaveletMatrix:
         x = ids.astype(np.uint32) if ids.dtype.itemsize > 2 else ids.astype(np.uint16)
         depth = max(1, int(x.max()).bit_length()) if len(x) else 1
-        planes, zeros = [], []
+        blocks, ones, zeros = [], [], []
         for level in range(depth - 1, -1, -1):
             bit = (x >> level & 1).astype(bool)
-            planes.append(np.packbits(bit, bitorder="little"))
+            plane = np.packbits(bit, bitorder="little")
+            blocks.append([plane[i : i + BLOCK] for i in range(0, len(plane), BLOCK)])
+            ones.append(np.concatenate([[0], np.cumsum([int(np.bitwise_count(b).sum()) for b in blocks[-1]])]).astype(np.int64))
             low = x[~bit]
             zeros.append(len(low))
             x = np.concatenate([low, x[bit]])
         null = np.array([d is None for d in doc_ids], bool)
-        return cls(len(ids), planes, zeros, np.array([d or 0 for d in doc_ids], np.int64), np.array(sizes, np.int64), null)
+        return cls(len(ids), blocks, ones, zeros, np.array([d or 0 for d in doc_ids], np.int64), np.array(sizes, np.int64), null)
 
     def to_bytes(self) -> bytes:
+        """Head (id count, documents, planes, sizes of three lists, zeros), directory (ones and byte lengths of the blocks), lists, blocks."""
         press = zstandard.ZstdCompressor(level=3).compress
-        parts = [press(p.tobytes()) for p in (self.doc_ids, self.sizes, self.null_docs, *self.planes)]
-        head = struct.pack(f"<4sQQI{len(self.zeros)}Q{len(parts)}Q", _MAGIC, self.n, len(self.doc_ids), len(self.planes), *self.zeros, *map(len, parts))
-        return head + b"".join(parts)
+        lists = [press(p.tobytes()) for p in (self.doc_ids, self.sizes, self.null_docs)]
+        packed = [[press(bytes(self._block(level, k))) for k in range(len(self.blocks[level]))] for level in range(len(self.blocks))]
+        head = struct.pack(f"<4sQQI3Q{len(self.zeros)}Q", _MAGIC, self.n, len(self.doc_ids), len(self.blocks), *map(len, lists), *self.zeros)
+        directory = b"".join(o.astype("<u4" if self.n < 1 << 32 else "<u8").tobytes() + np.array([len(x) for x in p], "<u4").tobytes() for o, p in zip(self.ones, packed))
+        return b"".join([head, directory, *lists, *(x for p in packed for x in p)])
 
     @classmethod
     def from_bytes(cls, data: bytes) -> WaveletMatrix:
-        magic, n, docs, depth = struct.unpack_from("<4sQQI", data)
+        """Reads the head and the directory; blocks stay compressed."""
+        magic, n, docs, depth, *lists = struct.unpack_from("<4sQQI3Q", data)
         if magic != _MAGIC:
             raise ValueError("not a wavelet-matrix file")
-        at = struct.calcsize("<4sQQI")
-        sizes = struct.unpack_from(f"<{2 * depth + 3}Q", data, at)
-        at += 8 * len(sizes)
-        parts = []
-        for size in sizes[depth:]:
-            parts.append(zstandard.ZstdDecompressor().decompress(data[at : at + size]))
+        at = struct.calcsize("<4sQQI3Q")
+        zeros = list(struct.unpack_from(f"<{depth}Q", data, at))
+        at += 8 * depth
+        count, kind = -(-n // _BITS), np.dtype("<u4" if n < 1 << 32 else "<u8")
+        ones, lengths = [], []
+        for _ in range(depth):
+            ones.append(np.frombuffer(data, kind, count + 1, at).astype(np.int64))
+            at += kind.itemsize * (count + 1)
+            lengths.append(np.frombuffer(data, "<u4", count, at))
+            at += 4 * count
+        view, parts, blocks = memoryview(data), [], []
+        for size in lists:
+            parts.append(zstandard.ZstdDecompressor().decompress(view[at : at + size]))
             at += size
-        doc_ids, lengths, null = np.frombuffer(parts[0], np.int64), np.frombuffer(parts[1], np.int64), np.frombuffer(parts[2], bool)
-        return cls(n, [np.frombuffer(p, np.uint8) for p in parts[3:]], list(sizes[:depth]), doc_ids, lengths, null)
+        for sizes in lengths:
+            stop = at + np.cumsum(sizes.astype(np.int64))
+            blocks.append([view[b - s : b] for b, s in zip(stop.tolist(), sizes.tolist())])
+            at = int(stop[-1]) if count else at
+        return cls(n, blocks, ones, zeros, np.frombuffer(parts[0], np.int64), np.frombuffer(parts[1], np.int64), np.frombuffer(parts[2], bool))
 
     # rank and select of one plane
 
-    def _samples(self, level: int) -> np.ndarray:
-        if self._ranks[level] is None:
-            ones = np.add.reduceat(np.bitwise_count(self.planes[level]), np.arange(0, len(self.planes[level]), _BLOCK // 8), dtype=np.int64) if self.n else np.zeros(0, np.int64)
-            self._ranks[level] = np.concatenate([[0], np.cumsum(ones)])
-        return self._ranks[level]
+    def _block(self, level: int, k: int) -> np.ndarray:
+        got = self.blocks[level][k]
+        if isinstance(got, memoryview):
+            got = self.blocks[level][k] = np.frombuffer(zstandard.ZstdDecompressor().decompress(got), np.uint8)
+        return got
 
     def _bit(self, level: int, i: int) -> int:
-        return int(self.planes[level][i >> 3]) >> (i & 7) & 1
+        return int(self._block(level, i // _BITS)[i % _BITS >> 3]) >> (i & 7) & 1
 
     def _rank1(self, level: int, i: int) -> int:
         """Ones before i."""
-        block = i // _BLOCK
-        n = int(self._samples(level)[block])
-        tail = self.planes[level][block * _BLOCK // 8 : (i + 7) >> 3]
-        n += int(np.bitwise_count(tail).sum())
-        return n - (int(tail[-1]) >> (i & 7)).bit_count() if i & 7 and len(tail) else n
+        k, rest = divmod(i, _BITS)
+        n = int(self.ones[level][k])
+        if rest:
+            part = self._block(level, k)
+            n += int(np.bitwise_count(part[: rest >> 3]).sum())
+            if rest & 7:
+                n += (int(part[rest >> 3]) & (1 << (rest & 7)) - 1).bit_count()
+        return n
 
     def _select(self, level: int, bit: int, k: int) -> int:
         """Where the k-th (from 0) such bit stands."""
-        ones = self._samples(level)
-        before = ones if bit else np.arange(len(ones)) * _BLOCK - ones
+        ones = self.ones[level]
+        before = ones if bit else np.minimum(np.arange(len(ones)) * _BITS, self.n) - ones
         block = int(np.searchsorted(before, k, "right")) - 1
-        bits = np.unpackbits(self.planes[level][block * _BLOCK // 8 : (block + 1) * _BLOCK // 8], bitorder="little")
-        return block * _BLOCK + int(np.flatnonzero(bits == bit)[k - int(before[block])])
+        bits = np.unpackbits(self._block(level, block), bitorder="little")
+        return block * _BITS + int(np.flatnonzero(bits == bit)[k - int(before[block])])
 
     # the sequence
 
@@ -115,7 +143,7 @@ class WaveletMatrix:
 
     def _span(self, token: int, i: int) -> tuple[int, int]:
         """Where ``token``'s stretch of the last plane begins, and where its copies before i end."""
-        depth, lo = len(self.planes), 0
+        depth, lo = len(self.blocks), 0
         if token >> depth:
             return 0, 0
         for level, zeros in enumerate(self.zeros):
@@ -135,19 +163,20 @@ class WaveletMatrix:
         if not 0 <= k < hi - lo:
             raise IndexError(k)
         i = lo + k
-        for level in range(len(self.planes) - 1, -1, -1):
-            bit = token >> len(self.planes) - 1 - level & 1
+        for level in range(len(self.blocks) - 1, -1, -1):
+            bit = token >> len(self.blocks) - 1 - level & 1
             i = self._select(level, bit, i - self.zeros[level] if bit else i)
         return i
 
     def decode(self) -> np.ndarray:
         """All ids, from the last plane back to the first."""
-        x = np.zeros(self.n, np.uint16 if len(self.planes) <= 16 else np.uint32)
-        for level in range(len(self.planes) - 1, -1, -1):
-            bit = np.unpackbits(self.planes[level], count=self.n, bitorder="little").astype(bool)
+        x = np.zeros(self.n, np.uint16 if len(self.blocks) <= 16 else np.uint32)
+        for level in range(len(self.blocks) - 1, -1, -1):
+            plane = np.concatenate([self._block(level, k) for k in range(len(self.blocks[level]))]) if self.n else np.zeros(0, np.uint8)
+            bit = np.unpackbits(plane, count=self.n, bitorder="little").astype(bool)
             up = np.empty_like(x)
             up[~bit] = x[: self.zeros[level]]
-            up[bit] = x[self.zeros[level] :] | x.dtype.type(1 << len(self.planes) - 1 - level)
+            up[bit] = x[self.zeros[level] :] | x.dtype.type(1 << len(self.blocks) - 1 - level)
             x = up
         return x
 
