@@ -9,6 +9,7 @@ import zlib
 import duckdb
 import numpy as np
 import pytest
+import regex
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -163,7 +164,10 @@ def test_language_odd_rows(spark, odd, empty):
     rows = langid.classify(odd.select("doc_id", "text"), model).collect()
     assert len(rows) == odd.count()
     for r in rows:
-        assert (r["lang_pred"] == "und") == (not re.search(r"[^\W\d_]", r["text"] or ""))
+        assert (r["lang_pred"] == "und") == (not regex.search(r"\p{L}", r["text"] or ""))
+    marks = frame(spark, [(1, "² ½ ① ٣ Ⅷ"), (2, "x²")]).withColumn("_p", F.lit(3))
+    got = {r["doc_id"]: r for r in langid.classify(marks, model).collect()}
+    assert got[1]["lang_pred"] == "und" != got[2]["lang_pred"] and got[1]["_p"] == 3
     assert langid.classify(empty, langid.fit(empty)).count() == 0
     told = langid.told(odd, model)
     assert told.columns == odd.columns
@@ -240,7 +244,7 @@ def test_wrapped_licenses(spark):
 def leaks(docs, items, window=10):
     where = collections.defaultdict(set)
     for i, t in items:
-        w = words(t)
+        w = words(t) if i is not None else []
         n = min(window, len(w))
         for s in range(len(w) - n + 1 if n else 0):
             where[tuple(w[s : s + n])].add(str(i))
@@ -337,8 +341,12 @@ def test_near_duplicates_odd_rows(spark, odd, empty):
     one = bagminhash.one_of_each(odd)
     assert one.columns == odd.columns
     left = collections.Counter((r["doc_id"], r["text"]) for r in one.collect())
-    assert max(left.values()) == 1
-    assert {k[0] for k in left} == {1, 2, 3, 4, None, 5, 6, 7, 8, 9} and left[2, prose(60, 77)] == 1
+    # rows without shingles all stay; of the others one of each class
+    alone = collections.Counter((r["doc_id"], r["text"]) for r in odd.collect() if not r["text"])
+    assert all(n == max(1, alone[k]) for k, n in left.items()) and alone - left == collections.Counter()
+    assert {k[0] for k in left} >= {1, 2, 3, 4, None, 5, 6, 7, 8, 9} - {2} and left[2, prose(60, 77)] == 1
+    nulls = frame(spark, [(None, prose(60, i % 50)) for i in range(300)])
+    assert bagminhash.one_of_each(nulls).count() == 50
     assert bagminhash.near_duplicates(empty).count() == 0 and bagminhash.one_of_each(empty).count() == 0
 
 

@@ -19,9 +19,12 @@ those within four standard errors of the threshold are compared too.  A link
 is kept only if the exact multiset overlap reaches ``threshold``.
 
 Result: one row per document with the smallest doc_id of its class.  Null and
-empty texts have no shingle and stay alone.  Rows that share a doc_id and a
-content count as copies of each other.  A null doc_id is a member like any
-other; a class of nulls alone has a null class_id.
+empty texts have no shingle and stay alone.  Rows get a lasting number first,
+so rows that share a doc_id, or have none, are told apart and are copies of
+each other if their contents are.  A null doc_id is a member like any other; a
+class of nulls alone has a null class_id.  Of each class one row stays: that of
+least doc_id, nulls last, the earliest of equal ones.  Extra columns are
+ignored, whatever their names; an empty table gives no row.
 """
 
 from __future__ import annotations
@@ -147,17 +150,22 @@ def _lists(h: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.arange(len(h) + 1) * h.shape[1], pa.int32()), pa.array(h.ravel()))
 
 
-def sign(docs: DataFrame, bands: int, rows: int) -> DataFrame:
-    """doc_id, content (128-bit key; empty without shingles), size (shingles), bands (a hash each)."""
+def numbered(docs: DataFrame) -> DataFrame:
+    """row (a lasting number), doc_id, text."""
+    return stored(docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), as_text("text").alias("text")), "rows")
+
+
+def sign(rows_: DataFrame, bands: int, rows: int) -> DataFrame:
+    """row, doc_id, content (128-bit key; empty without shingles), size (shingles), bands (a hash each)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for some, buf, offs in text_slices(batch, "text"):
                 sets = list(multisets(buf, offs))
                 keys = [content_key(u, c) for u, c in sets]
-                yield pa.RecordBatch.from_arrays([some.column(0), pa.array(keys, pa.binary()), pa.array([int(c.sum()) for _, c in sets], pa.int64()), _lists(band_hashes(sets, bands, rows))], names=["doc_id", "content", "size", "bands"])
+                yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), pa.array(keys, pa.binary()), pa.array([int(c.sum()) for _, c in sets], pa.int64()), _lists(band_hashes(sets, bands, rows))], names=["row", "doc_id", "content", "size", "bands"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), as_text("text").alias("text")).mapInArrow(run, "doc_id long, content binary, size long, bands array<long>")
+    return rows_.select("row", "doc_id", "text").mapInArrow(run, "row long, doc_id long, content binary, size long, bands array<long>")
 
 
 def _marks(sets: DataFrame, contents: DataFrame, bands: int, rows: int) -> DataFrame:
@@ -225,37 +233,41 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, bands: int = 36, rows: int = 6, block: int = 2048) -> DataFrame:
-    """One row per document: doc_id, class_id, class_size (documents), n_links (verified links of its content), content (hex), kept (the one document of its class that stays)."""
-    spark: SparkSession = docs.sparkSession
-    small_batches(spark)
-    signed = stored(sign(docs, bands, rows), "signed")
-    links, label = _links(docs, signed, threshold, bands, rows, block)
+    """One row per document: doc_id, class_id, class_size (documents), n_links (links of its content verified in the search), content (hex), kept (the one document of its class that stays)."""
+    small_batches(docs.sparkSession)
+    return _classes(numbered(docs), threshold, bands, rows, block).drop("row")
+
+
+def _classes(numbered_: DataFrame, threshold: float, bands: int, rows: int, block: int) -> DataFrame:
+    signed = stored(sign(numbered_, bands, rows), "signed")
+    links, label = _links(numbered_, signed, threshold, bands, rows, block)
     degree = links.select("a").union(links.select(F.col("b").alias("a"))).groupBy("a").agg(F.count("*").alias("n_links"))
     labels = label.join(degree, F.col("node") == F.col("a")).select("node", "label", "n_links")
     # documents without shingles are their own class each; others go with their content
-    plain = signed.where("length(content) > 0").groupBy("content").agg(F.min("doc_id").alias("low"), F.count("*").alias("n"))
+    order = F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "row")
+    plain = signed.where("length(content) > 0").groupBy("content").agg(F.min(order).alias("low"), F.count("*").alias("n"))
     contents = plain.join(labels, plain["content"] == labels["node"], "left").select("content", "low", "n", F.coalesce("label", "content").alias("label"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
     contents = stored(contents, "contents")
-    classes = contents.groupBy("label").agg(F.min("low").alias("class_id"), F.sum("n").alias("class_size"), F.min(F.when(F.col("low").isNotNull(), F.struct("low", "content"))).alias("top"))
-    known = contents.join(classes, "label").select("content", "class_id", "class_size", "n_links", F.coalesce(F.col("top.content") == F.col("content"), F.lit(True)).alias("lead"))
-    out = signed.select("doc_id", "content").join(known, "content", "left")
+    classes = contents.groupBy("label").agg(F.min("low").alias("low"), F.sum("n").alias("class_size"))
+    known = contents.drop("low").join(classes, "label").select("content", F.col("low.doc_id").alias("class_id"), F.col("low.row").alias("lead"), "class_size", "n_links")
+    out = signed.select("row", "doc_id", "content").join(known, "content", "left")
     alone = F.length("content") == 0
-    return out.select("doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.when(alone, F.lit(1)).otherwise(F.col("class_size")).cast("long").alias("class_size"), F.when(alone, F.lit(0)).otherwise(F.col("n_links")).cast("long").alias("n_links"), F.hex("content").alias("content"), (alone | (F.col("lead") & F.col("doc_id").eqNullSafe(F.col("class_id")))).alias("kept"))
+    return out.select("row", "doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.when(alone, F.lit(1)).otherwise(F.col("class_size")).cast("long").alias("class_size"), F.when(alone, F.lit(0)).otherwise(F.col("n_links")).cast("long").alias("n_links"), F.hex("content").alias("content"), (alone | (F.col("lead") == F.col("row"))).alias("kept"))
 
 
-def _links(docs: DataFrame, signed: DataFrame, threshold: float, bands: int, rows: int, block: int) -> tuple[DataFrame, DataFrame]:
+def _links(numbered_: DataFrame, signed: DataFrame, threshold: float, bands: int, rows: int, block: int) -> tuple[DataFrame, DataFrame]:
     """The verified links (a, b, j) between different contents, and their components (node, label)."""
-    first = signed.where("length(content) > 0").groupBy("content").agg(F.first("size").alias("size"), F.first("bands").alias("bands"), F.min("doc_id").alias("doc_id"))
-    banded = stored(first.select("content", "size", "doc_id", F.posexplode("bands").alias("band", "h")), "banded")
-    free(docs.sparkSession)
+    first = signed.where("length(content) > 0").groupBy("content").agg(F.first("size").alias("size"), F.first("bands").alias("bands"), F.min("row").alias("row"))
+    banded = stored(first.select("content", "size", "row", F.posexplode("bands").alias("band", "h")), "banded")
+    free(signed.sparkSession)
     shared = stored(banded.groupBy("band", "h").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
-    free(docs.sparkSession)
+    free(signed.sparkSession)
     members = stored(banded.join(shared.hint("merge"), ["band", "h"]), "members")
     drop_stored(banded)
-    free(docs.sparkSession)
-    needed = members.groupBy("content").agg(F.first("doc_id").alias("doc_id"), F.sum("n").alias("degree"))
+    free(signed.sparkSession)
+    needed = members.groupBy("content").agg(F.first("row").alias("row"), F.sum("n").alias("degree"))
     needed = stored(needed, "needed")
-    sets = stored(_sets(docs, needed.select("content", "doc_id")), "sets")
+    sets = stored(_sets(numbered_, needed.select("content", "row")), "sets")
     # each bucket's pivot is its member of most company: the text that a group's copies were made from lies nearest to most of them
     known = members.select("band", "h", "content", "size").join(needed.select("content", "degree"), "content")
     known = stored(known, "known")
@@ -343,49 +355,23 @@ def _estimated(now: DataFrame, threshold: float, block: int) -> DataFrame:
     return rows.repartition(shuffle_partitions(now.sparkSession), *key).sortWithinPartitions(*key).mapInArrow(compare, "a binary, b binary")
 
 
-def _sets(docs: DataFrame, needed: DataFrame) -> DataFrame:
-    """content, packed: the multisets of the contents in ``needed`` (content, doc_id)."""
+def _sets(numbered_: DataFrame, needed: DataFrame) -> DataFrame:
+    """content, packed: the multisets of the contents in ``needed`` (content, row), each from one row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for some, buf, offs in text_slices(batch, "text"):
-                want = some.column(1).to_pylist()
-                got = [(k, _pack(u, c)) for (u, c), k in zip(multisets(buf, offs), want) if content_key(u, c) == k]
-                yield pa.RecordBatch.from_arrays([pa.array([g[0] for g in got], pa.binary()), pa.array([g[1] for g in got], pa.binary())], names=["content", "packed"])
+                got = [_pack(u, c) for u, c in multisets(buf, offs)]
+                yield pa.RecordBatch.from_arrays([some.column(1), pa.array(got, pa.binary())], names=["content", "packed"])
 
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), as_text("text").alias("text"))
-    met = slim.join(needed.withColumnRenamed("doc_id", "d").hint("merge"), F.col("doc_id").eqNullSafe(F.col("d"))).select("text", "content")
-    return met.mapInArrow(run, "content binary, packed binary").dropDuplicates(["content"])
+    met = numbered_.select("row", "text").join(needed.hint("merge"), "row").select("text", "content")
+    return met.mapInArrow(run, "content binary, packed binary")
 
 
 def one_of_each(docs: DataFrame, threshold: float = 0.8, bands: int = 36, rows: int = 6, block: int = 2048) -> DataFrame:
-    """The rows of ``docs`` that stay, with their own columns: of each class the row of least doc_id.
-
-    Rows that repeat each other in doc_id and text are one; a row without
-    shingles stays.  The classes' doc_ids are joined with the rows by doc_id
-    and a hash of the text, for a doc_id may stand in several rows.
-    """
-    got = near_duplicates(docs, threshold, bands, rows, block)
-    stay = stored(got.where("kept").groupBy("doc_id").agg(F.collect_set("content").alias("contents"), F.count("*").alias("n")), "stay")
-    named = stay.select(F.col("doc_id").alias("_stay"), "contents", "n")
-    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row_"), F.col("doc_id").cast("long").alias("_id"))
-    met = row.join(named, F.col("_id").eqNullSafe(F.col("_stay")))
-    # a doc_id with several rows that stay, or with rows that go, is looked at again by content
-    several = docs.groupBy(F.col("doc_id").cast("long").alias("_many")).agg(F.count("*").alias("c")).where("c > 1")
-    if several.isEmpty():
-        return met.select("_row_.*")
-    several = stored(several, "several").select("_many")
-    plain = met.join(several, F.col("_id").eqNullSafe(F.col("_many")), "left_anti").select("_row_.*")
-    again = met.join(several, F.col("_id").eqNullSafe(F.col("_many")), "left_semi").select("_row_", "contents", F.col("_row_.text").cast("string").alias("text"))
-
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for some, buf, offs in text_slices(batch, "text"):
-                keys = [content_key(u, c).hex().upper() for u, c in multisets(buf, offs)]
-                yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), pa.array(keys, pa.string())], names=["_row_", "contents", "content"])
-
-    kind = again.schema["_row_"].dataType.simpleString()
-    chosen = again.mapInArrow(keyed, f"_row_ {kind}, contents array<string>, content string").where(F.array_contains("contents", F.col("content")))
-    # one row of those alike, by partial aggregation; rows without shingles all stay
-    first = chosen.where("content <> ''").groupBy(F.col("_row_.doc_id").alias("d"), "content").agg(F.min_by("_row_", F.xxhash64("_row_")).alias("_row_")).select("_row_.*")
-    return plain.unionByName(first).unionByName(chosen.where("content = ''").select("_row_.*"))
+    """The rows of ``docs`` that stay, with their own columns: of each class one row, as the module says; every row without shingles."""
+    small_batches(docs.sparkSession)
+    whole = stored(docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("r")), "rows")
+    slim = whole.select("row", F.col("r.doc_id").cast("long").alias("doc_id"), F.col("r.text").cast("string").alias("text"))
+    stay = _classes(slim, threshold, bands, rows, block).where("kept").select("row")
+    return whole.join(stay, "row", "left_semi").select("r.*")

@@ -15,7 +15,9 @@ the blocks' hits meet by document row.
 
 Nulls and texts without a word have n_words 0 and no hit; an item without a
 word has no window; equal items are each reported.  Null doc_ids and repeated
-rows are kept, each judged by itself.  Extra columns are ignored.
+rows are kept, each judged by itself.  An item without an id can't be named,
+so it is no item.  A very long text is one row's words in memory.  Extra
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -93,7 +95,7 @@ class ItemIndex:
 def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[object, str]]]:
     """The items in blocks; a block's texts alone are held on the driver."""
     part, size = [], 0
-    for r in benchmark.select("item_id", as_text("text").alias("text")).orderBy("item_id", "text").toLocalIterator():
+    for r in benchmark.select("item_id", as_text("text").alias("text")).where("item_id is not null").orderBy("item_id", "text").toLocalIterator():
         part.append((r["item_id"], r["text"]))
         size += len(r["text"] or "") + 16
         if size >= block_bytes:

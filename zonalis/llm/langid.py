@@ -7,9 +7,12 @@ smallest sum wins; a relative margin below ``min_margin`` is narrow and the
 text is rejected (``accepted`` false), though the likeliest value is still
 reported.
 
-Null texts and texts without a letter are ``und`` with score 0, rejected.
-Rows are judged one by one: repeats, null ids and extra columns pass through
-unchanged.  Without any labelled text every row is ``und``.
+Letters are those of Unicode's category L.  Null texts and texts without a
+letter are ``und`` with score 0, rejected; of equal sizes the first language by
+name wins.  Rows are judged one by one: repeats, null ids and extra columns pass
+through unchanged, but for columns of the results' names, which are replaced.
+A very long text is one row in memory and is compressed block by block.
+Without any labelled text every row is ``und``.
 """
 
 from __future__ import annotations
@@ -19,8 +22,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import as_text, small_batches
@@ -32,7 +36,10 @@ BLOCK = 1024
 
 def letters(text: str | None) -> str:
     """Lower-cased words of letters, joined by single blanks."""
-    return " ".join(LETTERS.findall(text.lower())) if text else ""
+    if not text:
+        return ""
+    runs = LETTERS.findall(text.lower())
+    return " ".join(w for w in (r if r.isalpha() else "".join(filter(str.isalpha, r)) for r in runs) if w)
 
 
 def compressors(model: dict[str, bytes], level: int) -> dict[str, zstandard.ZstdCompressor]:
@@ -53,38 +60,54 @@ def fit(labelled: DataFrame, sample_docs: int = 400, dict_bytes: int = 112_640,
     """Dictionaries from ``labelled`` (text, lang).
 
     The sample is bounded: about ``sample_docs`` different texts a language,
-    those whose hashes are smallest, of which a dictionary takes equal shares
-    up to ``dict_bytes``.  Texts that another language's first dictionary
-    shortens more are then left out (mixed or mislabelled texts) and the
-    dictionaries are made again.
+    those whose hashes are smallest.  Their letters, whole texts, are cut into
+    pieces of ``BLOCK`` bytes, and of a language's pieces those of smallest
+    hash fill a dictionary of ``dict_bytes``: no part of a text goes before
+    another.  Pieces that another language's first dictionary shortens more
+    (of mixed or mislabelled texts) are then left out and the dictionaries are
+    made again from as many.
     """
+    spark = labelled.sparkSession
+    small_batches(spark)
     known = labelled.select(as_text("text").alias("text"), as_text("lang").alias("lang")).where("text is not null and lang is not null")
     known = known.withColumn("h", F.xxhash64("text"))
     counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).collect()}
     if not counts:
         return {}
-    shares = F.create_map(*[x for lang, n in sorted(counts.items()) for x in (F.lit(lang), F.lit(min(1.0, 2.0 * sample_docs / max(n, 1))))])
-    drawn = known.where((F.col("h") / F.lit(2.0**64) + 0.5) < shares[F.col("lang")])
-    rows = drawn.groupBy("lang", "h").agg(F.first("text").alias("text")).orderBy("lang", "h").toLocalIterator()
-    texts: dict[str, list[str]] = {}
-    for r in rows:
-        if len(texts.setdefault(r["lang"], [])) < sample_docs and (x := letters(r["text"])):
-            texts[r["lang"]].append(x)
-
-    def content(some: list[str]) -> bytes:
-        share = max(200, dict_bytes // max(1, len(some)))
-        return " ".join(x[:share] for x in some).encode()[-dict_bytes:]
+    shares = F.create_map(*[x for lang, n in sorted(counts.items()) for x in (F.lit(lang), F.lit(min(1.0, float(sample_docs) / max(n, 1))))])
+    drawn = known.where((F.col("h") / F.lit(2.0**64) + 0.5) <= shares[F.col("lang")])
 
-    first = {lang: content(x) for lang, x in texts.items() if x}
-    by_lang = compressors(first, level)
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lang, text in zip(*(c.to_pylist() for c in batch.columns)):
+                data = letters(text).encode("utf-8", "surrogatepass")
+                pieces = [data[i : i + BLOCK] for i in range(0, len(data), BLOCK)]
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(pieces), pa.string()), pa.array(pieces, pa.binary())], names=["lang", "piece"])
+
+    pieces = drawn.select("lang", "text").mapInArrow(cut, "lang string, piece binary").distinct().withColumn("h", F.xxhash64("piece"))
+    most = 2 * -(-dict_bytes // BLOCK)
+    first = Window.partitionBy("lang").orderBy("h", "piece")
+    rows = pieces.withColumn("k", F.row_number().over(first)).where(F.col("k") <= most).orderBy("lang", "k").collect()
+    texts: dict[str, list[bytes]] = {}
+    for r in rows:
+        texts.setdefault(r["lang"], []).append(bytes(r["piece"]))
+
+    def content(some: list[bytes]) -> bytes:
+        out, size = [], 0
+        for x in some:
+            if size + len(x) + 1 > dict_bytes:
+                break
+            out.append(x)
+            size += len(x) + 1
+        return b" ".join(out or some[:1])
+
+    by_lang = compressors({lang: content(x) for lang, x in texts.items()}, level)
     out = {}
-    for lang in first:
-        clean = []
-        for x in texts[lang]:
-            got = sizes(x.encode()[: 4 * BLOCK], by_lang)
-            if got[lang] == min(got.values()):
-                clean.append(x)
-        out[lang] = content(clean or texts[lang])
+    for lang, some in texts.items():
+        got = [sizes(x, by_lang) for x in some]
+        # a piece within the first dictionary is nearly free in its own language: it must be so in no other
+        clean = [x for x, g in zip(some, got) if g[lang] == min(g.values())]
+        out[lang] = content(clean or some)
     return out
 
 
@@ -115,8 +138,11 @@ def classify(docs: DataFrame, model: dict[str, bytes], min_margin: float = 0.002
 
     small_batches(docs.sparkSession)
     cols = [c for c in docs.columns if c not in ("lang_pred", "score", "margin", "accepted")]
-    got = docs.select(*[F.col(f"`{c}`") for c in cols], predict(as_text("text")).alias("_p"))
-    return got.select(*[F.col(f"`{c}`") for c in cols], "_p.*")
+    name = "_p"
+    while name in cols:
+        name += "_"
+    got = docs.select(*[F.col(f"`{c}`") for c in cols], predict(as_text("text")).alias(name))
+    return got.select(*[F.col(f"`{c}`") for c in cols], f"{name}.*")
 
 
 def told(docs: DataFrame, model: dict[str, bytes]) -> DataFrame:

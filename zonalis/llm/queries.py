@@ -112,7 +112,7 @@ SELECT doc_id, n_sentences, replace(ids, '|', ',') AS sentence_ids, coalesce(arr
 
 #: The other operators have no SQL: their tests hold them against brute force, round trips or held-out accuracy.
 ORACLE_SQL: dict[str, str] = {
-    "op3_decontamination": f"""WITH d AS (SELECT doc_id, {_words("text")} AS w FROM documents), b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_words("text")} AS w FROM benchmark),
+    "op3_decontamination": f"""WITH d AS (SELECT doc_id, {_words("text")} AS w FROM documents), b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_words("text")} AS w FROM benchmark WHERE item_id IS NOT NULL),
 v AS (SELECT item, w, least(10, len(w)) AS n FROM b WHERE len(w) > 0), win AS (SELECT item, n, array_to_string(w[s : s + n - 1], ' ') AS k FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS s FROM v)),
 lens AS (SELECT DISTINCT n FROM win), dw AS (SELECT doc_id, n, s, array_to_string(w[s : s + n - 1], ' ') AS k FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d, lens WHERE len(w) >= n)),
 hit AS (SELECT DISTINCT doc_id, s, dw.n, item FROM dw JOIN win ON dw.k = win.k AND dw.n = win.n),
