@@ -20,17 +20,15 @@ MODELS: dict[str, Callable] = {
 }
 
 
-def impute(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Missing numbers by the exact median of their column."""
+def medians(df: DataFrame, columns: list[str]) -> dict[str, float]:
+    """The exact median of each column that has one."""
     m = df.agg(*[F.percentile(c, F.lit(0.5)).alias(c) for c in columns]).first()
-    return df.na.fill({c: float(m[c]) for c in columns if m[c] is not None})
+    return {c: float(m[c]) for c in columns if m[c] is not None}
 
 
-def prepared(df: DataFrame, columns: list[str], target: str) -> DataFrame:
-    """Imputed, assembled and scaled ``x``, and ``label`` with classes in alphabetical order."""
-    stages = [StringIndexer(inputCol=target, outputCol="label", stringOrderType="alphabetAsc"), VectorAssembler(inputCols=columns, outputCol="_v"), StandardScaler(inputCol="_v", outputCol="x", withMean=True)]
-    d = impute(df, columns)
-    return Pipeline(stages=stages).fit(d).transform(d).drop("_v")
+def labelled(df: DataFrame, target: str) -> DataFrame:
+    """Adds ``label``: classes in alphabetical order."""
+    return StringIndexer(inputCol=target, outputCol="label", stringOrderType="alphabetAsc").fit(df).transform(df)
 
 
 def folds(df: DataFrame, key: str, target: str, k: int, seed: int = 0) -> DataFrame:
@@ -39,12 +37,21 @@ def folds(df: DataFrame, key: str, target: str, k: int, seed: int = 0) -> DataFr
     return df.withColumn("fold", (F.row_number().over(w) - 1) % k)
 
 
-def out_of_fold(df: DataFrame, key: str, models: list[str], k: int) -> DataFrame:
-    """Long table (row, model, class, p): each row scored by a model that didn't see its fold."""
+def out_of_fold(df: DataFrame, key: str, models: list[str], k: int, columns: list[str]) -> DataFrame:
+    """Long table (row, model, class, p): each row scored by a model that didn't see its fold.
+
+    Medians that stand for missing numbers, and the scale, are those of the
+    training rows alone.
+    """
     out = None
-    for name in models:
-        for i in range(k):
-            got = MODELS[name]().fit(df.where(F.col("fold") != i)).transform(df.where(F.col("fold") == i))
+    for i in range(k):
+        train, rest = df.where(F.col("fold") != i), df.where(F.col("fold") == i)
+        fill = medians(train, columns)
+        if fill:
+            train, rest = train.na.fill(fill), rest.na.fill(fill)
+        for name in models:
+            stages = [VectorAssembler(inputCols=columns, outputCol="_v"), StandardScaler(inputCol="_v", outputCol="x", withMean=True), MODELS[name]()]
+            got = Pipeline(stages=stages).fit(train).transform(rest)
             long = got.select(F.col(key).alias("row"), F.lit(name).alias("model"), F.posexplode(vector_to_array("probability")).alias("class", "p"))
             out = long if out is None else out.unionByName(long)
     return out

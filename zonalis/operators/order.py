@@ -5,18 +5,41 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.shared import root
 
-def numbered(df: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """Adds each row's global position in the order of ``keys``, without one task holding all rows.
 
-    Rows are range-partitioned and numbered within their partition; only a
-    count for each partition is gathered to shift them.
+def running(df: DataFrame, keys: list[str], weight: Column, name: str) -> DataFrame:
+    """Adds the sum of ``weight`` over all rows before each in the order of ``keys``, without one task holding all rows.
+
+    Rows are range-partitioned and stored with their partition's number, so
+    that every later reading has the same; sums run within a partition, and
+    only a sum for each partition is gathered to shift them.
     """
-    parts = df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_p", F.spark_partition_id())
-    local = parts.withColumn("_i", F.row_number().over(Window.partitionBy("_p").orderBy(*keys)))
-    sizes = local.groupBy("_p").agg(F.count("*").alias("_n"))
-    before = sizes.withColumn("_b", F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1))).drop("_n")  # a row for each partition
-    return local.join(F.broadcast(before), "_p").withColumn(name, F.col("_i") + F.coalesce("_b", F.lit(0))).drop("_p", "_i", "_b")
+    root(df.sparkSession)
+    parts = df.withColumn("_w", weight).repartitionByRange(*keys).withColumn("_p", F.spark_partition_id()).checkpoint()
+    local = parts.withColumn("_i", F.coalesce(F.sum("_w").over(Window.partitionBy("_p").orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    sizes = parts.groupBy("_p").agg(F.sum("_w").alias("_n"))
+    shift = sizes.withColumn("_b", F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1))).drop("_n")  # a row for each partition
+    return local.join(F.broadcast(shift), "_p").withColumn(name, F.col("_i") + F.coalesce("_b", F.lit(0))).drop("_p", "_i", "_b", "_w")
+
+
+def numbered(df: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """Adds each row's global position in the order of ``keys``, from 1."""
+    return running(df, keys, F.lit(1), name).withColumn(name, F.col(name) + 1)
+
+
+def mean_ranks(df: DataFrame, column: str) -> DataFrame:
+    """value, _c (its rows), _rank (the mean rank of its rows), from counts of equal values; nulls have no rank."""
+    freq = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("_c"))
+    return running(freq, [column], F.col("_c"), "_rank").withColumn("_rank", F.col("_rank") + (F.col("_c") + 1) / F.lit(2.0))
+
+
+def with_percent_rank(df: DataFrame, column: str, out: str) -> DataFrame:
+    """Adds the mean-tie rank of ``column`` among all rows over the number of its non-null values; null for null."""
+    ranks = mean_ranks(df.select(column), column)
+    n = df.agg(F.count(column).alias("_n"))
+    met = df.join(ranks, column, "left").crossJoin(F.broadcast(n))  # one row
+    return met.withColumn(out, F.col("_rank") / F.col("_n")).drop("_c", "_rank", "_n")
 
 
 def average_rank(by: list[str], value: Column, ascending: bool = True) -> Column:

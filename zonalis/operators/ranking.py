@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import borda
-from .order import average_rank
 
 #: Least Borda score and largest rank range of the two upper levels.
 LEVELS = {"HIGH": (90.0, 2.0), "MEDIUM": (75.0, 4.0)}
@@ -16,9 +15,16 @@ LEAST_SUPPORT = 100
 
 
 def ranks(long: DataFrame) -> DataFrame:
-    """Adds rank (mean of ties, best 1) within row and model, n_classes and the Borda score."""
-    n = F.count("*").over(Window.partitionBy("row", "model"))
-    return long.withColumn("rank", average_rank(["row", "model"], F.col("p"), False)).withColumn("n_classes", n).withColumn("borda", borda(F.col("rank"), F.col("n_classes").cast("double")))
+    """Adds rank (mean of ties, best 1) within row and model, n_classes and the Borda score.
+
+    A row's probabilities by one model are few: they are gathered once and a
+    rank is counted within them, in one exchange and without sorting by p.
+    """
+    p = F.col("_all")
+    above, same = F.size(F.filter(p, lambda x: x > F.col("p"))), F.size(F.filter(p, lambda x: x == F.col("p")))
+    own = long.withColumn("_all", F.collect_list("p").over(Window.partitionBy("row", "model")))
+    own = own.withColumn("rank", above + (same + 1) / F.lit(2.0)).withColumn("n_classes", F.size("_all").cast("long")).drop("_all")
+    return own.withColumn("borda", borda(F.col("rank"), F.col("n_classes").cast("double")))
 
 
 def vote(long: DataFrame) -> DataFrame:

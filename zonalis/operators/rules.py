@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import case, label_text, reasons
-from .order import percent_rank_mean
+from .order import with_percent_rank
 
 #: Weights of the three risks, bands of the score, boundaries of data reliability and geometry risk.
 WEIGHTS = {"confidence": 0.60, "data": 0.25, "geometry": 0.15}
@@ -39,7 +39,7 @@ def risks(df: DataFrame, confidence: str, reliability: str, complexity: str) ->
     known = F.when(F.col(reliability).between(0.0, 1.0), F.col(reliability))
     c = F.upper(F.trim(F.col(confidence)))
     out = df.withColumn("confidence_risk", F.when(c == "HIGH", 0.0).when(c == "MEDIUM", 0.5).when(c == "LOW", 1.0)).withColumn("data_risk", 1 - known)
-    out = out.withColumn("geometry_risk", percent_rank_mean([], F.when(F.col(complexity) >= 0, F.col(complexity))))
+    out = with_percent_rank(out.withColumn("_g", F.when(F.col(complexity) >= 0, F.col(complexity))), "_g", "geometry_risk").drop("_g")
     score = 100 * sum((F.col(f"{k}_risk") * w for k, w in WEIGHTS.items()), F.lit(0.0))
     out = out.withColumn("_score", score)
     out = out.withColumn("inspection_score", F.when(F.col("_score").isNotNull(), F.round(F.greatest(F.least("_score", F.lit(100.0)), F.lit(0.0)), 2))).drop("_score")

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import special
+from .order import mean_ranks
 
 
 def pearson(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -17,18 +18,10 @@ def pearson(df: DataFrame, columns: list[str]) -> DataFrame:
     return row.select(F.explode(F.array(*[F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.col(f"r{i}").alias("r"), F.col(f"n{i}").alias("n")) for i, (a, b) in enumerate(pairs)])).alias("e")).select("e.*")
 
 
-def _mean_ranks(df: DataFrame, column: str, by: list[str] | None = None) -> DataFrame:
-    """value -> mean rank, from counts of equal values: a running sum over the distinct values, not over the rows."""
-    by = by or []
-    freq = df.where(F.col(column).isNotNull()).groupBy(*by, column).agg(F.count("*").alias("_c"))
-    w = Window.partitionBy(*by).orderBy(column).rowsBetween(Window.unboundedPreceding, -1)
-    return freq.withColumn("_rank", F.coalesce(F.sum("_c").over(w), F.lit(0)) + (F.col("_c") + 1) / 2)
-
-
 def spearman(df: DataFrame, a: str, b: str) -> DataFrame:
     """Rank correlation over the rows where both are present."""
     d = df.where(F.col(a).isNotNull() & F.col(b).isNotNull()).select(a, b)
-    ra, rb = _mean_ranks(d, a).select(a, F.col("_rank").alias("_a")), _mean_ranks(d, b).select(b, F.col("_rank").alias("_b"))
+    ra, rb = mean_ranks(d, a).select(a, F.col("_rank").alias("_a")), mean_ranks(d, b).select(b, F.col("_rank").alias("_b"))
     return d.join(ra, a).join(rb, b).agg(F.lit(a).alias("x"), F.lit(b).alias("y"), F.corr("_a", "_b").alias("rho"), F.count("*").alias("n"))
 
 
@@ -60,7 +53,7 @@ def anova(df: DataFrame, group: str, value: str) -> DataFrame:
 def kruskal(df: DataFrame, group: str, value: str) -> DataFrame:
     """One row: H with tie correction, epsilon squared."""
     d = df.where(F.col(group).isNotNull() & F.col(value).isNotNull()).select(group, value)
-    ranks = _mean_ranks(d, value)
+    ranks = mean_ranks(d, value)
     ties = ranks.agg(F.sum(F.col("_c").cast("double") ** 3 - F.col("_c")).alias("t"), F.sum("_c").alias("n"), F.count("*").alias("_k"))
     g = d.join(ranks.select(value, "_rank"), value).groupBy(group).agg(F.count("*").alias("m"), F.sum("_rank").alias("s"))
     h = g.agg(F.sum(F.col("s") ** 2 / F.col("m")).alias("q"), F.count("*").alias("k")).crossJoin(ties)  # one row each

@@ -20,6 +20,8 @@ REDUCERS = {
     "p75": lambda v: F.percentile(v, F.lit(0.75)),
     "p90": lambda v: F.percentile(v, F.lit(0.90)),
 }
+#: The reducers that are quantiles.
+QUANTILES = {"median": 0.5, "p10": 0.10, "p25": 0.25, "p75": 0.75, "p90": 0.90}
 ALIASES = {"average": "mean", "avg": "mean", "std": "sd", "stdev": "sd", "stddev": "sd", "minimum": "min", "maximum": "max", "n": "count"}
 
 
@@ -43,7 +45,11 @@ def reducers(names: list[str]) -> list[str]:
 def pooled(df: DataFrame, keys: list[str], value: str, stats: list[str]) -> DataFrame:
     """One row per key: the statistics of all its samples pooled (never an average of averages)."""
     v = finite(F.col(value).cast("double"))
-    return df.groupBy(*keys).agg(*[REDUCERS[s](v).alias(s) for s in reducers(stats)])
+    names = reducers(stats)
+    at = {n: QUANTILES[n] for n in names if n in QUANTILES}
+    quantiles = [F.percentile(v, F.array(*map(F.lit, at.values()))).alias("_q")] if at else []  # one buffer of values for all of them
+    out = df.groupBy(*keys).agg(*[REDUCERS[s](v).alias(s) for s in names if s not in at], *quantiles)
+    return out.select(*keys, *[F.col("_q")[list(at).index(s)].alias(s) if s in at else F.col(s) for s in names])
 
 
 def bracketed_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float], accuracy: int = 1000) -> DataFrame:
