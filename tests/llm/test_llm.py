@@ -238,6 +238,19 @@ def test_wrapped_licenses(spark):
     assert got[1]["sentence_ids"] == ["apache-long", "apache-copy", "apache-as-is"] and got[6]["sentence_ids"] == ["rights-reserved"] * 2
 
 
+def test_each_license_is_named_once(spark):
+    """Each rule's sentences, wrapped at 70 columns and commented, give its licence alone."""
+    rows, want = [], {}
+    for k, (name, ids) in enumerate(licenses.RULES):
+        for j, mark in enumerate(("", "# ", " * ", "// ")):
+            text = "\n\n".join(licenses.SENTENCES[i] for i in ids)
+            lines = [x for part in text.split("\n\n") for x in [*textwrap.wrap(part, 70, break_long_words=False, break_on_hyphens=False), ""]]
+            rows.append((k * 10 + j, "Some program.\n\n" + "\n".join((mark + x).rstrip() for x in lines) + "\n"))
+            want[k * 10 + j] = [name]
+    got = {r["doc_id"]: r["licenses"] for r in licenses.scan(frame(spark, rows)).collect()}
+    assert got == want
+
+
 # --- decontamination, near duplicates, repeated passages -----------------------------------------
 
 

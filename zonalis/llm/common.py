@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-import atexit
 import gc
 import os
-import shutil
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -15,24 +12,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.shared import root
+
 #: Bytes of text that one vectorised step handles; bounds a worker's memory.
 SLICE_BYTES = 1 << 20
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh path below the folder that driver and executors share (``spark.checkpoint.dir``).
-
-    Where the setting is absent, a local master gets a temporary folder; any
-    other master raises, for executors would not see a folder of the driver.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        root = tempfile.mkdtemp(prefix="zonalis-")
-        atexit.register(shutil.rmtree, root, ignore_errors=True)
-        spark.sparkContext.setCheckpointDir(root)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the folder that driver and executors share."""
+    return f"{root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:

@@ -94,10 +94,11 @@ def _words(column: str) -> str:
 
 def _license_sql() -> str:
     """The scan in SQL, from the same fixed table and rules."""
-    from .licenses import RULES, SENTENCES, plain
+    from .licenses import RULES, SENTENCES, longer, plain
 
     known = ", ".join(f"('{plain(v)}', '{k}')" for k, v in SENTENCES.items())
-    rules = ", ".join(f"CASE WHEN regexp_matches(j, '{'([|].*)?'.join(f'[|]{i}' for i in ids)}[|]') THEN '{name}' END" for name, ids in RULES)
+    stands = [f"regexp_matches(j, '{'([|].*)?'.join(f'[|]{i}' for i in ids)}[|]')" for _, ids in RULES]
+    rules = ", ".join(f"CASE WHEN {' AND NOT '.join([own, *(stands[j] for j in above)])} THEN '{name}' END" for (name, _), own, above in zip(RULES, stands, longer(RULES)))
     cut = r"regexp_split_to_array(regexp_replace(coalesce(text, ''), '([.!?])\s+', '\1' || chr(10), 'g'), '[;:]?\s*\n\s*')"
     norm = r"trim(regexp_replace(lower(s), '[^\pL\pN+]+', ' ', 'g'))"
     return f"""WITH known(sentence, id) AS (VALUES {known}),
