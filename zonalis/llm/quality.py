@@ -156,8 +156,9 @@ def quality(docs: DataFrame, share: float = 0.75, cutoff: float = CUTOFF, least:
     small = sizes.count() <= BROADCAST_ROWS
     rows = _join(fit, sizes.select("g"), small, ["g"])
     params = stored(estimates(rows, small, share, steps), "estimates")
-    # each document by its narrowest group that has an estimate
-    for i, k in enumerate(keys):
+    # each document by its narrowest group that has an estimate; all rows are one group and need no look-up
+    stats = stats.withColumn("g0", keys[2])
+    for i, k in enumerate(keys[:2]):
         known = params.select(F.col("g").alias(f"g{2 - i}"), F.lit(True).alias(f"has{2 - i}"))
         stats = stats.withColumn(f"g{2 - i}", k)
         stats = stats.join(F.broadcast(known) if small else known, f"g{2 - i}", "left")
