@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from zonalis.functions import scalar, special
-from zonalis.operators import cleaning, joins, order, profile, ranking, reshape, rules, spatial, stats, zonal
+from zonalis.operators import cleaning, joins, order, outliers, profile, ranking, reshape, rules, spatial, stats, zonal
 from zonalis.sources import files
 from zonalis.streaming import events
 
@@ -142,6 +142,65 @@ def test_outlier_vote_is_a_strict_majority(spark):
     assert {r["i"]: r["is_outlier"] for r in stats.outlier_vote(df, ["a", "b", "c"]).collect()} == {1: False, 2: True, 3: False, 4: True}
 
 
+def test_five_votes_find_planted_rows_whatever_the_partitioning(spark):
+    rows = [(i, float(i * 37 % 101) / 10, float(i * 53 % 89) / 10) for i in range(400)] + [(1000, 90.0, -80.0), (1001, None, float("nan")), (1002, None, 4.0)]
+    df = spark.createDataFrame(rows, "id int, a double, b double")
+    got = {r["id"]: r for r in outliers.five_votes(df.repartition(5), ["a", "b"]).collect()}
+    assert got[1000]["is_outlier"] and got[1000]["votes"] == 5
+    assert (got[1001]["available"], got[1001]["is_outlier"], got[1001]["vote_iqr"]) == (0, False, None)
+    assert got[1002]["available"] == 5 and not got[1002]["is_outlier"]
+    assert 0 < sum(bool(r["vote_iforest"]) for r in got.values()) <= 21
+    again = {r["id"]: r for r in outliers.five_votes(df.coalesce(1), ["a", "b"]).collect()}
+    assert {k: r["vote_iforest"] for k, r in got.items()} == {k: r["vote_iforest"] for k, r in again.items()}
+
+
+@pytest.mark.parametrize("rows", [[], [(1, 2.0, 3.0)], [(1, 5.0, 5.0)] * 9, [(1, None, None)] * 4])
+def test_five_votes_of_empty_and_constant_tables(spark, rows):
+    got = outliers.five_votes(spark.createDataFrame(rows, "id int, a double, b double"), ["a", "b"]).collect()
+    assert len(got) == len(rows) and not any(r["is_outlier"] or r["available"] for r in got)
+
+
+def test_noise_equals_all_pairs(spark):
+    pts = [(round((i * 7919 % 997) / 199, 3), round((i * 104729 % 991) / 301, 3)) for i in range(300)] + [(1.0, 1.0)] * 30 + [(9.0, 9.0)] * 4
+    near = {p: [q for q in pts if (p[0] - q[0]) ** 2 + (p[1] - q[1]) ** 2 <= 0.0225] for p in pts}
+    want = {p for p in pts if not any(len(near[q]) >= 5 for q in near[p])}
+    got = outliers.noise(spark.createDataFrame(pts, "x double, y double"), "x", "y", 0.15, 5).collect()
+    assert want and len(want) < len(set(pts)) and {tuple(r) for r in got} == want and len(got) == len(want)
+
+
+def test_multiplier_search_equals_plain_search(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    truth = rng.choice(3, 300, p=[0.7, 0.2, 0.1])
+    p = rng.dirichlet([2, 2, 2], 300) + 0.35 * np.eye(3)[truth] + np.array([0.3, 0.0, 0.0])
+    p /= p.sum(axis=1, keepdims=True)
+
+    def score(w):
+        y = (p * np.array(w)).argmax(axis=1)
+        f1 = [2 * ((y == c) & (truth == c)).sum() / ((y == c).sum() + (truth == c).sum()) for c in range(3)]
+        return float(np.mean(f1)), float((y == truth).mean())
+
+    w, start = [1.0] * 3, score([1.0] * 3)
+    best = start
+    for _ in range(2):
+        for c in range(3):
+            options = [(score([*w[:c], g, *w[c + 1 :]]), g) for g in (0.8, 1.0, 1.2, 1.5, 2.0)]
+            for s, g in options:
+                if s[1] >= start[1] - 0.02 and s > best:
+                    best, w = s, [*w[:c], g, *w[c + 1 :]]
+    df = spark.createDataFrame([(int(t), [float(x) for x in r]) for t, r in zip(truth, p)], "t int, p array<double>")
+    got, before, after = ranking.search_multipliers(df, "t", "p", 3)
+    assert got == w and w != [1.0] * 3
+    assert before == pytest.approx(start) and after == pytest.approx(best) and after[0] > before[0]
+
+
+def test_outlier_adjustment(spark):
+    cases = [("VERY_HIGH", "DECLARATION_CONFLICT", True, "VERY_HIGH", "DECLARATION_CONFLICT", False), ("VERY_LOW", "NONE", True, "LOW", "NONE", True), ("LOW", "NONE", True, "LOW_MEDIUM", "INSUFFICIENT_EO_EVIDENCE", True), ("UNKNOWN", "INSUFFICIENT_EO_EVIDENCE", True, "UNKNOWN", "INSUFFICIENT_EO_EVIDENCE", False), ("LOW", "NONE", None, "LOW", "NONE", False)]
+    got = rules.adjust(spark.createDataFrame([(i, *c[:3]) for i, c in enumerate(cases)], "i int, need string, chk string, out boolean"), "need", "chk", "out").orderBy("i").collect()
+    assert [(r["need"], r["chk"], r["outlier_adjusted"]) for r in got] == [c[3:] for c in cases]
+
+
 def test_special_functions():
     assert special.chi2_quantile(0.975, 2) == pytest.approx(7.377758908, abs=1e-6)
     assert special.chi2_sf(3.841458821, 1) == pytest.approx(0.05, abs=1e-8)

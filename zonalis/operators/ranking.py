@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import borda
+from ..sources import shared
 
 #: Least Borda score and largest rank range of the two upper levels.
 LEVELS = {"HIGH": (90.0, 2.0), "MEDIUM": (75.0, 4.0)}
@@ -90,3 +91,49 @@ def auc_ovr(long: DataFrame, truth: str) -> DataFrame:
     g = r.groupBy("class").agg(F.sum(F.col("_rank") * F.col("pos")).alias("_s"), F.sum("pos").alias("positives"), F.sum("n").alias("_n"))
     neg = F.col("_n") - F.col("positives")
     return g.select("class", "positives", F.when((F.col("positives") > 0) & (neg > 0), (F.col("_s") - F.col("positives") * (F.col("positives") + 1) / 2) / (F.col("positives") * neg)).alias("auc"))
+
+
+def _score(conf: dict[tuple[int, int], int]) -> tuple[float, float]:
+    """Macro F1 over the classes that occur, and accuracy, of one confusion matrix."""
+    n = sum(conf.values())
+    seen = {c for pair in conf for c in pair}
+    f1 = [2 * conf.get((c, c), 0) / sum(k * ((a == c) + (b == c)) for (a, b), k in conf.items()) for c in seen]
+    return (sum(f1) / len(f1), sum(k for (a, b), k in conf.items() if a == b) / n) if n else (0.0, 0.0)
+
+
+def search_multipliers(df: DataFrame, truth: str, p: str, classes: int, grid: tuple[float, ...] = (0.8, 1.0, 1.2, 1.5, 2.0), max_drop: float = 0.02, iterations: int = 2) -> tuple[list[float], tuple[float, float], tuple[float, float]]:
+    """Class multipliers of best macro F1 (ties: accuracy) whose accuracy falls by ``max_drop`` at most, and (F1, accuracy) before and after.
+
+    ``p`` holds an array of probabilities, ``truth`` the class's place in it; of
+    equal products the first class is predicted.  The classes are searched one
+    after the other until a round changes none.  A class's whole grid is one
+    pass over the stored rows, and a confusion matrix for each candidate is all
+    that reaches the driver.
+    """
+    rows = shared.stored(df.select(F.col(truth).cast("int").alias("t"), F.col(p).alias("p")).where("t is not null and p is not null"), "out-of-fold")
+
+    def tried(trials: list[list[float]]) -> list[tuple[float, float]]:
+        def predicted(w: list[float]):
+            a = F.zip_with("p", F.array(*[F.lit(float(x)) for x in w]), lambda x, y: x * y)
+            return F.array_position(a, F.array_max(a)).cast("int") - 1
+
+        long = rows.select("t", F.posexplode(F.array(*[predicted(w) for w in trials])).alias("i", "y"))
+        conf: list[dict] = [{} for _ in trials]
+        for r in long.groupBy("i", "t", "y").agg(F.count("*").alias("n")).collect():  # trials x classes x classes
+            conf[r["i"]][r["t"], r["y"]] = r["n"]
+        return [_score(c) for c in conf]
+
+    weights = [1.0] * classes
+    before = best = tried([weights])[0]
+    for _ in range(iterations):
+        changed = False
+        for c in range(classes):
+            trials = [[*weights[:c], float(x), *weights[c + 1 :]] for x in grid]
+            kept = weights
+            for trial, got in zip(trials, tried(trials)):
+                if got[1] >= before[1] - max_drop and got > best:
+                    best, kept = got, trial
+            changed, weights = changed or kept != weights, kept
+        if not changed:
+            break
+    return weights, before, best

@@ -76,17 +76,45 @@ def outlier_escalation(t: Tables) -> DataFrame:
     return s.select("id", F.col("inspection_need").alias("need"), rules.escalate(F.col("inspection_need"), F.col("is_outlier")).alias("raised"))
 
 
-@query(_SCORED + """SELECT id, coalesce(nullif(array_to_string(list_filter([
+_RAISED = _SCORED + """, o AS (SELECT * REPLACE (CASE WHEN is_outlier THEN coalesce(MAP {'VERY_LOW': 'LOW', 'LOW': 'LOW_MEDIUM', 'LOW_MEDIUM': 'MEDIUM', 'MEDIUM': 'MEDIUM_HIGH', 'MEDIUM_HIGH': 'HIGH', 'HIGH': 'VERY_HIGH'}[need], need) ELSE need END AS need), is_outlier AND need NOT IN ('VERY_HIGH', 'UNKNOWN') AS adjusted, need AS before FROM c),
+e AS (SELECT * REPLACE (CASE WHEN adjusted AND check_type = 'NONE' AND need NOT IN ('VERY_LOW', 'LOW') THEN 'INSUFFICIENT_EO_EVIDENCE' ELSE check_type END AS check_type), NOT lacking AND status IN ('SAME', 'DIFFERENT') AND class_valid AS applied FROM o)
+"""
+
+
+def raised(t: Tables) -> DataFrame:
+    return rules.adjust(scored(t), "inspection_need", "check_type", "is_outlier")
+
+
+@query(_RAISED + """SELECT id, coalesce(nullif(array_to_string(list_filter([
  CASE WHEN status = 'DIFFERENT' THEN CASE WHEN check_type = 'DECLARATION_CONFLICT' AND need = 'VERY_HIGH' THEN 'STRONG_DECLARATION_CONFLICT' WHEN check_type = 'DECLARATION_CONFLICT' THEN 'DECLARATION_CONFLICT' ELSE 'DECLARATION_PREDICTION_DIFFERENCE' END END,
  CASE WHEN check_type = 'INSUFFICIENT_EO_EVIDENCE' THEN check_type END,
  CASE WHEN confidence IS NULL THEN 'INVALID_MODEL_CONFIDENCE' WHEN confidence <> 'HIGH' THEN confidence || '_MODEL_CONFIDENCE' END,
  CASE WHEN reliability IS NULL THEN 'MISSING_DATA_RELIABILITY' WHEN reliability < 0.6 THEN 'LOW_DATA_RELIABILITY' WHEN reliability <= 0.8 THEN 'MEDIUM_DATA_RELIABILITY' END,
  CASE WHEN geometry_risk IS NULL THEN 'MISSING_GEOMETRY_COMPLEXITY' WHEN geometry_risk >= 0.75 THEN 'HIGH_GEOMETRY_COMPLEXITY' WHEN geometry_risk >= 0.5 THEN 'MEDIUM_GEOMETRY_COMPLEXITY' END,
- CASE WHEN rule IN ('CLASS_RELIABILITY_UNAVAILABLE', 'NO_DECLARATION') THEN rule END], lambda x: x IS NOT NULL), '|'), ''), 'NONE') AS reasons FROM c""")
+ CASE WHEN rule IN ('CLASS_RELIABILITY_UNAVAILABLE', 'NO_DECLARATION') THEN rule END,
+ CASE WHEN applied AND class_level IN ('LOW', 'MEDIUM') THEN class_level || '_CLASS_RELIABILITY' END,
+ CASE WHEN adjusted THEN 'OUTLIER_PRIORITY_INCREASE' END], lambda x: x IS NOT NULL), '|'), ''), 'NONE') AS reasons FROM e""")
 def reason_codes(t: Tables) -> DataFrame:
-    s = scored(t)
-    c = rules.reason_codes(*[F.col(x) for x in ("status", "check_type", "inspection_need", "confidence", "reliability", "geometry_risk", "inspection_rule")])
-    return s.select("id", c.alias("reasons"))
+    c = rules.reason_codes(*[F.col(x) for x in ("status", "check_type", "inspection_need", "confidence", "reliability", "geometry_risk", "inspection_rule", "class_reliability_applied", "class_level", "outlier_adjusted")])
+    return raised(t).select("id", c.alias("reasons"))
+
+
+@query(_RAISED + "SELECT id, before, need, adjusted, check_type, upper(left(need, 1)) || lower(replace(need[2:], '_', '')) AS shown FROM e")
+def outlier_adjustment(t: Tables) -> DataFrame:
+    """Raised bands, the check that follows, and the band's shown name without its signs."""
+    shown = rules.priority_label(F.col("inspection_need"))
+    return raised(t).select("id", F.col("need_before_outlier").alias("before"), F.col("inspection_need").alias("need"), F.col("outlier_adjusted").alias("adjusted"), "check_type", F.initcap(F.regexp_replace(F.lower(shown), "[ \u2013]", "")).alias("shown"))
+
+
+@query(_SCORED + """, w AS (SELECT *, id % 3 <> 0 AS sw FROM c), x AS (SELECT *, CASE WHEN (NOT sw OR class_level = 'HIGH') AND confidence = 'HIGH' AND hd THEN CASE WHEN gg THEN 1 ELSE 2 END WHEN sw AND class_level = 'MEDIUM' AND confidence = 'HIGH' AND hd THEN CASE WHEN gg THEN 3 ELSE 4 END
+ WHEN (NOT sw OR class_level = 'HIGH') AND confidence = 'MEDIUM' AND hd THEN CASE WHEN gg THEN 5 ELSE 6 END WHEN sw AND class_level = 'MEDIUM' AND confidence = 'MEDIUM' AND hd THEN 7 WHEN sw AND class_level = 'LOW' THEN 8 WHEN confidence = 'LOW' THEN 9 ELSE 10 END AS fit FROM w)
+SELECT id, CASE WHEN lacking THEN 'REQUIRED_EVIDENCE_UNAVAILABLE' WHEN status = 'NO_DECLARATION' THEN status WHEN sw AND NOT class_valid THEN 'CLASS_RELIABILITY_UNAVAILABLE' ELSE 'R' || lpad(CAST(fit + CASE status WHEN 'SAME' THEN 0 ELSE 10 END AS VARCHAR), 2, '0') END AS rule,
+ sw AND NOT lacking AND status IN ('SAME', 'DIFFERENT') AND class_valid AS applied FROM x""")
+def inspection_rules_switched(t: Tables) -> DataFrame:
+    """The decision table with class reliability switched off for every third row."""
+    d = scored(t).drop("inspection_rule", "inspection_need", "class_reliability_applied").withColumn("sw", F.col("id") % 3 != 0)
+    d = rules.decide(d, "status", "confidence", "reliability", "geometry_risk", "class_level", "class_valid", switch="sw")
+    return d.select("id", F.col("inspection_rule").alias("rule"), F.col("class_reliability_applied").alias("applied"))
 
 
 @query(_SCORED + "SELECT need, check_type, count(*) AS n, round(count(*) * 100.0 / sum(count(*)) OVER (), 4) AS share, round(median(raw), 4) AS median_score FROM c GROUP BY need, check_type")
@@ -184,6 +212,15 @@ def prob_multipliers(t: Tables) -> DataFrame:
     return q.select("row", F.array_position("q", F.array_max("q")).cast("int").alias("prediction"), F.round(F.array_max("q"), 6).alias("probability"))
 
 
+@query()
+def multiplier_search(t: Tables) -> DataFrame:
+    """Multipliers by coordinate search over the classes, and macro F1 and accuracy before and after."""
+    mean = probabilities(t).groupBy("row", "class").agg(F.avg("p").alias("p"), F.first("truth").alias("truth"))
+    arr = mean.groupBy("row").agg((F.substring(F.first("truth"), 1, 1).cast("int") - 1).alias("truth"), F.transform(F.array_sort(F.collect_list(F.struct("class", "p"))), lambda x: x["p"]).alias("p"))
+    w, before, after = ranking.search_multipliers(arr, "truth", "p", 5)
+    return t.spark.createDataFrame([(i + 1, x, *before, *after) for i, x in enumerate(w)], "class int, multiplier double, f1_before double, accuracy_before double, f1_after double, accuracy_after double")
+
+
 _VOTED = _PROBS + ", m AS (SELECT row, any_value(truth) AS truth, class, avg(p) AS p FROM p GROUP BY row, class), y AS (SELECT row, CAST(left(any_value(truth), 1) AS INT) AS truth, arg_min(class, (-round(p, 12), class)) AS predicted FROM m GROUP BY row)"
 
 

@@ -195,6 +195,15 @@ def spatial_mean_fill_5x5_staged(t: Tables) -> DataFrame:
     return cleaning.spatial_mean(a, ["layer"], "y", "x", "f3", 5).select("layer", "y", "x", F.round("filled", 6).alias("filled"))
 
 
+@query(_ALL + ", d AS (" + _MEAN.format(keep="", v="value", o="f", s="c", r=1) + "), d5 AS (" + _MEAN.format(keep="", v="f", o="f5", s="d", r=2) + "), d7 AS (" + _MEAN.format(keep="", v="f5", o="f7", s="d5", r=3) + ") SELECT layer, y, x, round(f9, 6) AS filled FROM (" + _MEAN.format(keep="", v="f7", o="f9", s="d7", r=4) + ")")
+def spatial_mean_fill_all_stages(t: Tables) -> DataFrame:
+    """Windows of 3, 5, 7 and 9, each over what the one before filled."""
+    d, v = _cells(t), "value"
+    for size in (3, 5, 7, 9):
+        d, v = cleaning.spatial_mean(d, ["layer"], "y", "x", v, size, f"f{size}"), f"f{size}"
+    return d.select("layer", "y", "x", F.round(v, 6).alias("filled"))
+
+
 @query(_ALL + " SELECT a.layer, a.y, a.x, max(CASE WHEN b.value > 0.2 THEN 1 ELSE 0 END) AS masked FROM c a JOIN c b ON a.layer = b.layer AND abs(a.y - b.y) <= 1 AND abs(a.x - b.x) <= 1 GROUP BY a.layer, a.y, a.x")
 def mask_dilation(t: Tables) -> DataFrame:
     c = _cells(t).withColumn("flag", F.when(F.col("value") > 0.2, 1).otherwise(0))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import special
-from ..operators import cleaning, order, stats
+from ..operators import cleaning, order, outliers, stats
 from .profiles import _HOLES, holes
 from .registry import Tables, query
 
@@ -123,6 +123,25 @@ def outlier_vote(t: Tables) -> DataFrame:
     return v.agg(F.count("*").alias("n"), F.count_if("is_outlier").alias("outliers"), F.sum("votes").cast("long").alias("votes"))
 
 
+_STANDARD = "WITH s AS (SELECT avg(p_size) AS ma, stddev_pop(p_size) AS sa, avg(p_retailprice) AS mb, stddev_pop(p_retailprice) AS sb FROM part), z AS (SELECT p_partkey, (p_size - ma) / sa AS x, (p_retailprice - mb) / sb AS y FROM part, s)"
+
+
+@query(_STANDARD + """, m AS (SELECT a.p_partkey, b.p_partkey AS other FROM z a JOIN z b ON b.x BETWEEN a.x - 0.06 AND a.x + 0.06 AND b.y BETWEEN a.y - 0.06 AND a.y + 0.06 AND (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= 0.0036),
+c AS (SELECT p_partkey FROM m GROUP BY p_partkey HAVING count(*) >= 8) SELECT p_partkey, p_partkey NOT IN (SELECT m.p_partkey FROM m JOIN c ON c.p_partkey = m.other) AS noise FROM z""")
+def density_noise(t: Tables) -> DataFrame:
+    """Parts that density clustering (0.06, eight points) of two standardised columns leaves over."""
+    z = outliers.standardised(t.part, ["p_size", "p_retailprice"])
+    d = t.part.select("p_partkey", z["p_size"].alias("x"), z["p_retailprice"].alias("y"))
+    lone = outliers.noise(d, "x", "y", 0.06, 8).withColumn("noise", F.lit(True))
+    return d.join(lone, ["x", "y"], "left").select("p_partkey", F.coalesce("noise", F.lit(False)).alias("noise"))
+
+
+@query()
+def outlier_vote_five(t: Tables) -> DataFrame:
+    """Votes of all five methods; the forest's random trees have no SQL."""
+    return outliers.five_votes(t.part.select("p_partkey", "p_size", "p_retailprice"), ["p_size", "p_retailprice"])
+
+
 @query()
 def test_p_values(t: Tables) -> DataFrame:
     """p-values of the three tests above; their tails have no SQL."""

@@ -7,7 +7,7 @@ import os
 import shutil
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def root(spark: SparkSession) -> str:
@@ -26,3 +26,10 @@ def root(spark: SparkSession) -> str:
 
 def fresh(spark: SparkSession, name: str) -> str:
     return f"{root(spark)}/{name}-{os.urandom(6).hex()}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read again: its lineage ends there, and lost executors lose nothing."""
+    at = fresh(df.sparkSession, name)
+    df.write.parquet(at)
+    return df.sparkSession.read.schema(df.schema).parquet(at)
