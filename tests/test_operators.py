@@ -1,6 +1,7 @@
 """Hand-computed cases."""
 
 import datetime as dt
+import math
 
 import pytest
 from pyspark.sql import functions as F
@@ -80,6 +81,15 @@ def test_asof_and_nearest(spark):
     assert got == {1: (3, 2.0), 2: (3, 92.0), 3: (None, None)}  # a tie takes the smallest id
 
 
+def test_nearest_2d_reaches_far_and_breaks_ties(spark):
+    left = spark.createDataFrame([(1, 0.0, 0.0), (2, 500.0, -300.0), (3, None, 1.0)], "k int, x double, y double")
+    right = spark.createDataFrame([(8, 3.0, 4.0), (7, -3.0, 4.0), (9, 3.1, 4.0)], "id int, rx double, ry double")
+    near = lambda r, **o: {x["k"]: (x["id"], x["distance"] and round(x["distance"], 3)) for x in joins.nearest_2d(left, r, ["k"], "x", "y", "rx", "ry", ["id"], ["id"], **o).collect()}
+    assert near(right) == {1: (7, 5.0), 2: (9, round(math.hypot(500 - 3.1, -300 - 4), 3)), 3: (None, None)}
+    assert near(right, most=5.0) == {1: (7, 5.0), 2: (None, None), 3: (None, None)}
+    assert near(right.limit(0)) == {1: (None, None), 2: (None, None), 3: (None, None)}
+
+
 def test_lookup_rejects_repeated_keys(spark):
     df = spark.createDataFrame([(1,), (3,)], "k int")
     table = spark.createDataFrame([(1, "x"), (2, "y")], "k int, v string")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import joins
+
 
 def fences(df: DataFrame, keys: list[str], value: str, k: float = 1.5, q: tuple[float, float] = (0.25, 0.75)) -> DataFrame:
     """q1, q3, lower, upper and n of each key."""
@@ -83,6 +85,15 @@ def spatial_mean(df: DataFrame, keys: list[str], y: str, x: str, value: str, siz
     return d.withColumn(out, F.coalesce(F.col(value), F.when(F.col("_n") > 0, F.col("_s") / F.col("_n")))).drop("_s", "_n")
 
 
+def nearest_fill(df: DataFrame, keys: list[str], y: str, x: str, value: str, spacing: tuple[float, float] = (1.0, 1.0), most: float | None = None, out: str = "filled") -> DataFrame:
+    """Missing cells from the nearest observed cell of their layer (ties: least y, then x), ``spacing`` being the size of a step in y and x."""
+    d = df.withColumn("_py", F.col(y) * spacing[0]).withColumn("_px", F.col(x) * spacing[1])
+    donors = d.where(F.col(value).isNotNull()).select(*keys, F.col("_py").alias("_qy"), F.col("_px").alias("_qx"), F.col(value).alias("_near"))
+    gaps = d.where(F.col(value).isNull()).select(*keys, y, x, "_py", "_px")
+    got = joins.nearest_2d(gaps, donors, [*keys, y, x], "_px", "_py", "_qx", "_qy", ["_qy", "_qx"], ["_near"], keys, most)
+    return df.join(got.select(*keys, y, x, "_near"), [*keys, y, x], "left").withColumn(out, F.coalesce(value, "_near")).drop("_near")
+
+
 def dilate(df: DataFrame, keys: list[str], y: str, x: str, flag: str, size: int = 3, out: str = "dilated") -> DataFrame:
     """A flag spread to its square neighbourhood."""
     r = size // 2

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources import shared
+
 
 def asof(left: DataFrame, right: DataFrame, by: list[str], time: str, values: list[str], direction: str = "backward", allow_exact: bool = True) -> DataFrame:
     """Each left row with the latest earlier (or next later) right row of its key.
@@ -54,12 +56,12 @@ def cells(x: str, y: str, size: float) -> list[Column]:
     return [F.floor(F.col(x) / size).cast("long").alias("_cx"), F.floor(F.col(y) / size).cast("long").alias("_cy")]
 
 
-def within(left: DataFrame, right: DataFrame, x: str, y: str, rx: str, ry: str, radius: float) -> DataFrame:
-    """Pairs at most ``radius`` apart, with ``distance``: the right side is copied to the nine cells around it, the join is on cells."""
+def within(left: DataFrame, right: DataFrame, x: str, y: str, rx: str, ry: str, radius: float, by: list[str] | None = None) -> DataFrame:
+    """Pairs at most ``radius`` apart (and equal in ``by``), with ``distance``: the right side is copied to the nine cells around it, the join is on cells."""
     l = left.select("*", *cells(x, y, radius))
     around = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)]))
     r = right.select("*", *cells(rx, ry, radius)).select("*", around.alias("_o")).withColumn("_cx", F.col("_cx") + F.col("_o.i")).withColumn("_cy", F.col("_cy") + F.col("_o.j")).drop("_o")
-    out = l.join(r, ["_cx", "_cy"]).withColumn("distance", F.hypot(F.col(x) - F.col(rx), F.col(y) - F.col(ry)))
+    out = l.join(r, [*(by or []), "_cx", "_cy"]).withColumn("distance", F.hypot(F.col(x) - F.col(rx), F.col(y) - F.col(ry)))
     return out.where(F.col("distance") <= radius).drop("_cx", "_cy")
 
 
@@ -70,6 +72,38 @@ def idw(targets: DataFrame, donors: DataFrame, key: str, x: str, y: str, rx: str
     return targets.select(key).join(got, key, "left")
 
 
+def nearest_2d(left: DataFrame, right: DataFrame, keys: list[str], x: str, y: str, rx: str, ry: str, ties: list[str], values: list[str], by: list[str] | None = None, most: float | None = None) -> DataFrame:
+    """Each left row (unique by ``keys``) with ``values`` of the right row nearest to it, and ``distance``; of equal distances the least ``ties``.
+
+    The first radius is that of a disc for each right row on average; rows
+    without a neighbour try again with the radius doubled, so a far one costs
+    no near one anything.  Beyond ``most`` (none: anywhere) the result is null,
+    as it is for a row without coordinates.
+    """
+    by = by or []
+    box = lambda d, a, b: d.agg(F.min(a).alias("a"), F.max(a).alias("b"), F.min(b).alias("c"), F.max(b).alias("d"), F.count("*").alias("n")).first()
+    p, q = box(left, x, y), box(right, rx, ry)
+    found = left.sparkSession.createDataFrame([], left.select(*keys).schema)
+    near = F.struct("distance", *ties, *[F.col(v).alias(f"_v{i}") for i, v in enumerate(values)])
+    empty = right.limit(0).select(F.lit(0.0).alias("distance"), *ties, *values).select(near.alias("_b"))
+    found = found.join(empty, F.lit(False), "left")
+    if None not in (p["a"], p["c"], q["a"], q["c"]):
+        wide, high = max(p["b"], q["b"]) - min(p["a"], q["a"]), max(p["d"], q["d"]) - min(p["c"], q["c"])
+        end = float((wide * wide + high * high) ** 0.5) * 1.000001 or 1.0
+        end = end if most is None else min(end, most)
+        radius = min(end, max(end / 2**20, float(max(wide, 1e-9) * max(high, 1e-9) / q["n"]) ** 0.5))
+        rest = shared.stored(left.select(*keys, *[c for c in by if c not in keys], *[c for c in (x, y) if c not in keys]), "targets")
+        slim = right.select(*dict.fromkeys([*by, rx, ry, *ties, *values]))
+        while True:
+            got = shared.stored(within(rest, slim, x, y, rx, ry, radius, by).groupBy(*keys).agg(F.min(near).alias("_b")), "nearest")
+            found = found.unionByName(got)
+            rest = shared.stored(rest.join(got, keys, "left_anti"), "targets")
+            if radius >= end or rest.isEmpty():
+                break
+            radius = min(end, radius * 2)
+    return left.join(found, keys, "left").select(*left.columns, *[F.col(f"_b._v{i}").alias(v) for i, v in enumerate(values)], F.col("_b.distance").alias("distance"))
+
+
 def unique_key(df: DataFrame, keys: list[str], what: str = "right side") -> DataFrame:
     """``df`` itself; a repeated key is an error when the plan runs (no job of its own, one window less than a check by count)."""
     n = F.count("*").over(Window.partitionBy(*keys))

@@ -78,6 +78,16 @@ def nearest_point_join(t: Tables) -> DataFrame:
     return left.select("vec_id").join(best, "vec_id", "left").select("vec_id", "b.near_id", F.round("b.distance", 6).alias("distance"))
 
 
+@query(_POINTS + """, d AS (SELECT a.vec_id, b.vec_id AS near_id, sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) AS dist FROM p a JOIN p b ON b.label = 0 AND b.vec_id % 40 = 0 WHERE a.label <> 0)
+SELECT vec_id, arg_min(near_id, (dist, near_id)) AS near_id, round(min(dist), 6) AS distance FROM d GROUP BY vec_id""")
+def nearest_point_anywhere(t: Tables) -> DataFrame:
+    """The nearest of few sites, however far it lies."""
+    p = points(t)
+    sites = p.where("label = 0 and vec_id % 40 = 0").select(F.col("vec_id").alias("near_id"), F.col("x").alias("rx"), F.col("y").alias("ry"))
+    got = joins.nearest_2d(p.where("label <> 0"), sites, ["vec_id"], "x", "y", "rx", "ry", ["near_id"], ["near_id"])
+    return got.select("vec_id", "near_id", F.round("distance", 6).alias("distance"))
+
+
 @query(_POINTS + """, b AS (SELECT min(x) AS x0, min(y) AS y0, (max(x) - min(x)) / 8 AS w, (max(y) - min(y)) / 6 AS h FROM p)
 SELECT vec_id, CAST(least(greatest(floor((x - x0) / w), 0), 7) AS BIGINT) AS col, CAST(least(greatest(floor((y - y0) / h), 0), 5) AS BIGINT) AS row FROM p, b""")
 def grid_assign(t: Tables) -> DataFrame:

@@ -204,6 +204,15 @@ def spatial_mean_fill_all_stages(t: Tables) -> DataFrame:
     return d.select("layer", "y", "x", F.round(v, 6).alias("filled"))
 
 
+@query(_ALL + """, g2 AS (SELECT layer, y, x, CASE WHEN (y * 7 + x * 5) % 6 = 0 THEN value END AS value FROM c), h AS (SELECT a.layer, a.y, a.x, b.y AS oy, b.x AS ox, b.value AS v, sqrt((a.y - b.y) * (a.y - b.y) * 4 + (a.x - b.x) * (a.x - b.x)) AS h FROM g2 a JOIN g2 b ON a.layer = b.layer AND b.value IS NOT NULL WHERE a.value IS NULL),
+n AS (SELECT layer, y, x, arg_min(v, (h, oy, ox)) AS near FROM h WHERE h <= 6 GROUP BY layer, y, x)
+SELECT g2.layer, g2.y, g2.x, round(coalesce(value, near), 6) AS filled FROM g2 LEFT JOIN n USING (layer, y, x)""")
+def nearest_fill_anisotropic(t: Tables) -> DataFrame:
+    """Gaps from the nearest observed cell within 6, a step in y being twice one in x."""
+    d = _cells(t).withColumn("value", F.when((F.col("y") * 7 + F.col("x") * 5) % 6 == 0, F.col("value")))
+    return cleaning.nearest_fill(d, ["layer"], "y", "x", "value", (2.0, 1.0), 6.0).select("layer", "y", "x", F.round("filled", 6).alias("filled"))
+
+
 @query(_ALL + " SELECT a.layer, a.y, a.x, max(CASE WHEN b.value > 0.2 THEN 1 ELSE 0 END) AS masked FROM c a JOIN c b ON a.layer = b.layer AND abs(a.y - b.y) <= 1 AND abs(a.x - b.x) <= 1 GROUP BY a.layer, a.y, a.x")
 def mask_dilation(t: Tables) -> DataFrame:
     c = _cells(t).withColumn("flag", F.when(F.col("value") > 0.2, 1).otherwise(0))
