@@ -2,6 +2,7 @@
 
 import datetime as dt
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -232,6 +233,51 @@ def test_scalars(spark):
         df.select(scalar.radar_index("R", F.lit(-1.0), F.lit(1.0))).collect()
 
 
+def by_pairs(rows, distance):
+    """Least key of each component, by all pairs."""
+    label = {k: k for k, _, _ in rows}
+    links = [(a, b) for a, x, y in rows for b, u, v in rows if math.sqrt((x - u) ** 2 + (y - v) ** 2) <= distance]
+    moved = True
+    while moved:
+        moved = False
+        for a, b in links:
+            if label[a] > label[b]:
+                label[a], moved = label[b], True
+    return label
+
+
+@pytest.mark.parametrize("block", [4, 4096])
+def test_clusters_equal_all_pairs(spark, block):
+    rnd = random.Random(7)
+    ring = lambda r, n: [(5 + r * math.cos(i * 2 * math.pi / n), 5 + r * math.sin(i * 2 * math.pi / n)) for i in range(n)]
+    clouds = [
+        [(rnd.uniform(-6, 6), rnd.uniform(-6, 6)) for _ in range(80)],
+        [(i * 1.0, j * 1.0) for i in range(8) for j in range(8)],
+        [(x + rnd.uniform(0, 0.3), rnd.uniform(0, 0.3)) for x in (0.0, 1.28) for _ in range(60)],
+        [(x, rnd.uniform(0, 0.3)) for x in (0.0, 1.0000001) for _ in range(60)],
+        [*ring(0.2, 90), *ring(1.19999, 120), *ring(2.3, 60)],
+    ]
+    places = [(x + 100 * i, y) for i, c in enumerate(clouds) for x, y in c]
+    rows = [(k, *p) for k, p in zip(rnd.sample(range(len(places)), len(places)), places)]
+    got = {r["id"]: (r["cluster"], r["size"]) for r in spatial.clusters(spark.createDataFrame(rows, "id long, x double, y double"), "id", "x", "y", 1.0, block).collect()}
+    want = by_pairs(rows, 1.0)
+    sizes = {c: list(want.values()).count(c) for c in set(want.values())}
+    assert got == {k: (c, sizes[c]) for k, c in want.items()}
+
+
+def test_clusters_of_odd_rows_crowds_and_chains(spark):
+    inf, nan = float("inf"), float("nan")
+    odd = [(1, 0.0, 0.0), (2, nan, 0.0), (3, nan, 0.0), (4, inf, 0.0), (5, inf, 0.0), (6, None, 0.0), (None, 0.0, 0.0), (7, 1e300, -1e300), (8, 1e300, -1e300), (9, 0.5, -0.0), (10, 8.0, 8.0), (10, 1.0, 0.0)]
+    got = {r["id"]: (r["cluster"], r["size"]) for r in spatial.clusters(spark.createDataFrame(odd, "id long, x double, y double"), "id", "x", "y", 0.6).collect()}
+    assert got == {1: (1, 3), 9: (1, 3), 10: (1, 3), 2: (2, 1), 3: (3, 1), 4: (4, 1), 5: (5, 1), 6: (6, 1), 7: (7, 2), 8: (7, 2), None: (None, 1)}
+    # 60,000 places in reach of each other are 1.8 billion pairs; a chain is as long as a component can be
+    n = F.col("id")
+    crowd = spark.range(60_000).select("id", (n % 251 / 1e4).alias("x"), (n / 1e7).alias("y"))
+    chain = spark.range(60_000, 63_000).select("id", (F.lit(1000.0) + n * 7919 % 3000 * 0.99).alias("x"), F.lit(50.0).alias("y"))
+    got = spatial.clusters(crowd.union(chain), "id", "x", "y", 1.0).groupBy("cluster", "size").agg(F.count("*").alias("n"))
+    assert sorted(map(tuple, got.collect())) == [(0, 60_000, 60_000), (60_000, 3000, 3000)]
+
+
 def test_clusters_and_polygons(spark):
     pts = spark.createDataFrame([(i, float(i % 10) + (100 if i >= 10 else 0), 0.0) for i in range(15)], "id long, x double, y double")
     got = {r["id"]: r["cluster"] for r in spatial.clusters(pts, "id", "x", "y", 1.0).collect()}

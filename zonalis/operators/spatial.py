@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -11,29 +13,126 @@ from pyspark.sql import functions as F
 
 from ..sources import shared
 from . import joins
+from .zonal import finite
 
 
-def clusters(points: DataFrame, key: str, x: str, y: str, distance: float) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
+    """node, label of every linked node: the smallest node of its connected component.
+
+    Alternating large-star and small-star steps over ``links`` (a, b); each is
+    written to the shared folder, so no plan holds an earlier one.
+    """
+    spread = lambda d: d.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
+    edges = shared.stored(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
+    state = spread(edges)
+    while state["n"]:
+        both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").union(low.select("u", F.col("m").alias("v")))
+        edges = shared.stored(small.distinct(), "edges")
+        was, state = state, spread(edges)
+        if state == was:
+            break
+    label = edges.groupBy("u").agg(F.min("v").alias("label")).select(F.col("u").alias("node"), "label")
+    return label.union(label.select(F.col("label").alias("node"), "label").distinct())
+
+
+def _corner(side: float, prefix: str = "c") -> list[Column]:
+    """The lower corner of the cell of (x, y), exact for a ``side`` that is a power of two; where doubles lie further apart, the place itself."""
+    at = lambda v: F.when(F.abs(v) < side * 2.0**52, F.floor(F.col(v) / side) * F.lit(side)).otherwise(F.col(v))
+    return [at("x").alias(f"{prefix}x"), at("y").alias(f"{prefix}y")]
+
+
+def _boxes(spots: DataFrame, by: list[str]) -> DataFrame:
+    """By cell: its least key a, places n, and w, the places furthest left, right, down and up."""
+    p, q = F.struct("x", "y"), F.struct("y", "x")
+    g = spots.groupBy(*by).agg(F.min("a").alias("a"), F.count("*").alias("n"), F.min(p).alias("l"), F.max(p).alias("r"), F.min(q).alias("d"), F.max(q).alias("u"))
+    return g.select(*by, "a", "n", F.array(*[F.struct(f"{s}.x", f"{s}.y") for s in "lrdu"]).alias("w"))
+
+
+def _apart(dx: Column, dy: Column) -> Column:
+    return F.sqrt(dx * dx + dy * dy)
+
+
+def _judged(w: Column, v: Column, distance: float) -> tuple[Column, Column]:
+    """Of two boxes, whether places of theirs surely are linked, and whether any can be; rounding is monotonic, so both are exact."""
+    ends = [(w[i][c], w[i + 1][c], v[i][c], v[i + 1][c]) for i, c in ((0, "x"), (2, "y"))]
+    least = _apart(*[F.greatest(c - b, a - d, F.lit(0.0)) for a, b, c, d in ends])
+    most = _apart(*[F.greatest(d - a, b - c) for a, b, c, d in ends])
+    seen = F.exists(w, lambda p: F.exists(v, lambda q: _apart(p["x"] - q["x"], p["y"] - q["y"]) <= distance))
+    return (most <= distance) | seen, least <= distance
+
+
+def clusters(points: DataFrame, key: str, x: str, y: str, distance: float, block: int = 4096) -> DataFrame:
     """key, cluster (its smallest key), size: connected components of the points at most ``distance`` apart.
 
-    Links come from a join on cells; labels go down the links by minimum, each
-    round a shuffle, with checkpoints that survive lost executors.
+    A cell's points all lie within the distance, so cells are what is linked:
+    first by their boxes and outermost places, then, between cells of different
+    components only, by all pairs of places.  Two cells of more than ``block``
+    pairs are cut into quarters until their boxes decide or few pairs are left,
+    so no crowd is multiplied out.  A repeated key is one node with several
+    places; keys that are null or without a finite place are their own cluster.
     """
-    shared.root(points.sparkSession)  # sets the checkpoint folder
-    p = points.select(F.col(key).alias("a"), F.col(x).alias("_x"), F.col(y).alias("_y"))
-    q = points.select(F.col(key).alias("b"), F.col(x).alias("_x2"), F.col(y).alias("_y2"))
-    links = joins.within(p, q, "_x", "_y", "_x2", "_y2", distance).where("a <> b").select("a", "b").checkpoint()
-    label = p.select("a", F.col("a").alias("l")).checkpoint()
-    while True:
-        # the neighbours' least label, then that label's own: paths halve
-        near = links.join(label.select(F.col("a").alias("b"), F.col("l").alias("m")), "b").groupBy("a").agg(F.min("m").alias("m"))
-        step = label.join(near, "a", "left").select("a", F.col("l").alias("was"), F.least("l", "m").alias("l"))
-        jump = step.join(step.select(F.col("a").alias("l"), F.col("l").alias("j")), "l", "left").select("a", "was", F.least("l", "j").alias("l")).checkpoint()
-        label = jump.select("a", "l")
-        if jump.where("l <> was").isEmpty():
+    if not distance > 0:
+        raise ValueError("distance must be above nought")
+    side = 2.0 ** math.floor(math.log2(distance / 1.4143))
+    rows = points.select(F.col(key).alias("a"), finite(F.col(x).cast("double")).alias("x"), finite(F.col(y).cast("double")).alias("y"))
+    rows = shared.stored(rows.select("a", "x", "y", *_corner(side)), "places")
+    have = rows.where("a is not null and x is not null and y is not null")
+    spots = shared.stored(have.groupBy("cx", "cy", "x", "y").agg(F.min("a").alias("a")), "spots")
+    cells = shared.stored(_boxes(spots, ["cx", "cy"]), "cells")
+
+    gap = lambda i: max(abs(i) - 1, 0) * side
+    around = [(i, j) for i in range(4) for j in range(-3, 4) if (i, j) > (0, 0) and math.hypot(gap(i), gap(j)) <= distance]
+    side_of = lambda d, s, a="a": d.select(F.col(a).alias(s), F.col("cx").alias(f"{s}x"), F.col("cy").alias(f"{s}y"), F.col("n").alias(f"{s}n"), F.col("w").alias(f"{s}w"))
+    offset = F.explode(F.array(*[F.struct(F.lit(i * side).alias("x"), F.lit(j * side).alias("y")) for i, j in around]))
+    left = side_of(cells, "a").select("*", offset.alias("o")).withColumn("bx", F.col("ax") + F.col("o.x")).withColumn("by", F.col("ay") + F.col("o.y")).drop("o")
+    sure, can = _judged(F.col("aw"), F.col("bw"), distance)
+    places = ["ax", "ay", "bx", "by", (F.col("an").cast("double") * F.col("bn")).alias("n")]
+    pairs = shared.stored(left.join(side_of(cells, "b"), ["bx", "by"]).where(can).select("a", "b", *places, sure.alias("sure")), "pairs")
+    moved = have.groupBy("a").agg(*[f(c).alias(f"{n}{c}") for n, f in (("l", F.min), ("h", F.max)) for c in ("cx", "cy")]).where("lcx <> hcx or lcy <> hcy")
+    homes = have.join(moved.select("a"), "a", "left_semi").join(cells.select("cx", "cy", F.col("a").alias("node")), ["cx", "cy"])
+    links = pairs.where("sure").select("a", "b").union(homes.select("a", F.col("node").alias("b")))
+    label = shared.stored(components(links), "labels")
+
+    of = lambda s: label.select(F.col("node").alias(s), F.col("label").alias(f"l{s}"))
+    rest = pairs.where("not sure").join(of("a"), "a", "left").join(of("b"), "b", "left").withColumn("a", F.coalesce("la", "a")).withColumn("b", F.coalesce("lb", "b"))
+    rest = shared.stored(rest.where("a <> b").select("a", "b", "ax", "ay", "bx", "by", "n"), "rest")
+    more = []
+    for level in range(41):  # at the last, places that halving hardly parts: all their pairs
+        if rest.isEmpty():
+            break
+        few = rest if level == 40 else rest.where(F.col("n") <= block)
+        p, q = (spots.select(*_corner(side, s), F.col("x").alias(f"{s}_x"), F.col("y").alias(f"{s}_y")) for s in "ab")
+        tested = few.join(p, ["ax", "ay"]).join(q, ["bx", "by"]).where(_apart(F.col("a_x") - F.col("b_x"), F.col("a_y") - F.col("b_y")) <= distance)
+        found = tested.select("a", "b")
+        many = rest.where(F.col("n") > block)
+        if level == 40 or many.isEmpty():
+            more.append(shared.stored(found.distinct(), "found"))
             break
-    size = label.groupBy("l").agg(F.count("*").alias("size"))
-    return label.join(size, "l").select(F.col("a").alias(key), F.col("l").alias("cluster"), "size")
+        touched = many.select(F.col("ax").alias("px"), F.col("ay").alias("py")).union(many.select("bx", "by")).distinct()
+        inner = spots.select("a", "x", "y", *_corner(side, "p")).join(touched, ["px", "py"])
+        side /= 2
+        inner = shared.stored(_boxes(inner.select("a", "x", "y", "px", "py", *_corner(side)), ["px", "py", "cx", "cy"]), "quarters")
+        p, q = (inner.select(F.col("px").alias(f"{s}x"), F.col("py").alias(f"{s}y"), F.struct("cx", "cy", "n", "w").alias(f"{s}q")) for s in "ab")
+        both = many.select("a", "b", "ax", "ay", "bx", "by").join(p, ["ax", "ay"]).join(q, ["bx", "by"])
+        sure, can = _judged(F.col("aq.w"), F.col("bq.w"), distance)
+        quarters = [F.col(f"{s}q.c{c}").alias(f"{s}{c}") for s in "ab" for c in "xy"]
+        both = shared.stored(both.where(can).select("a", "b", *quarters, (F.col("aq.n").cast("double") * F.col("bq.n")).alias("n"), sure.alias("sure")), "pairs")
+        more.append(shared.stored(found.union(both.where("sure").select("a", "b")).distinct(), "found"))
+        rest = shared.stored(both.where("not sure").drop("sure").join(more[-1], ["a", "b"], "left_anti"), "rest")
+
+    lead = cells.select("cx", "cy", F.col("a").alias("node")).join(label, "node", "left").select("cx", "cy", F.coalesce("label", "node").alias("l"))
+    if more:
+        last = components(reduce(DataFrame.union, more))
+        lead = lead.join(last.select(F.col("node").alias("l"), "label"), "l", "left").select("cx", "cy", F.coalesce("label", "l").alias("l"))
+    alone = rows.where("a is null or x is null or y is null").select("a", F.lit(None).cast(rows.schema["a"].dataType).alias("l"))
+    known = have.select("a", "cx", "cy").join(lead, ["cx", "cy"]).select("a", "l").union(alone)
+    known = shared.stored(known.groupBy("a").agg(F.min("l").alias("l")).select("a", F.coalesce("l", "a").alias("l")), "clusters")
+    size = known.groupBy("l").agg(F.count("*").alias("size")).withColumnRenamed("l", "m")
+    return known.join(size, F.col("l").eqNullSafe(F.col("m"))).select(F.col("a").alias(key), F.col("l").alias("cluster"), "size")
 
 
 def variogram(points: DataFrame, key: str, x: str, y: str, value: str, lags: int, reach: float) -> DataFrame:
