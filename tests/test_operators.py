@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from zonalis.functions import scalar, special
-from zonalis.operators import cleaning, joins, order, outliers, profile, ranking, reshape, rules, spatial, stats, zonal
+from zonalis.operators import cleaning, joins, order, outliers, profile, ranking, reshape, rules, spatial, stats, tiling, zonal
 from zonalis.sources import files
 from zonalis.streaming import events
 
@@ -233,6 +233,34 @@ def test_scalars(spark):
         df.select(scalar.radar_index("R", F.lit(-1.0), F.lit(1.0))).collect()
 
 
+def test_tiles_of_large_tables_copies_and_odd_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    rnd = random.Random(5)
+    places = [(rnd.gauss(0, 1), rnd.uniform(-1, 1)) for _ in range(1500)] + [(7.0, 0.5)] * 2500  # most rows at the largest x
+    odd = [(nan, 0.0), (None, 0.0), (0.0, inf)]
+    df = spark.createDataFrame([(i + 2**60, *p) for i, p in enumerate(places + odd)], "id long, x double, y double")
+
+    def halved(at, name):
+        w, h = (max(places[i][c] for i in at) - min(places[i][c] for i in at) for c in (0, 1))
+        if len(at) <= 60 or not (w or h):
+            return {i + 2**60: name for i in at}
+        c = 0 if w >= h else 1
+        v = sorted(places[i][c] for i in at)
+        m = v[(len(v) - 1) // 2]
+        low = {i for i in at if (places[i][c] < m if m == v[-1] else places[i][c] <= m)}
+        return halved(sorted(low), name + "0") | halved([i for i in at if i not in low], name + "1")
+
+    want = halved(range(len(places)), "r") | {len(places) + i + 2**60: None for i in range(len(odd))}
+    for whole in (50_000, 400):  # in one task; large tiles level by level
+        assert {r["id"]: r["tile"] for r in tiling.tiles(df, "id", "x", "y", 60, whole).collect()} == want
+
+
+def test_tile_medians_are_exact(spark):
+    rows = spark.range(60_000).select(F.concat(F.lit("r"), (F.col("id") % 2).cast("string")).alias("tile"), F.lit(30_000).cast("long").alias("n"), (F.col("id") * 7919 % 60_000).cast("double").alias("v"))
+    want = {r["tile"]: r["m"] for r in rows.groupBy("tile").agg(F.sort_array(F.collect_list("v"))[14_999].alias("m")).collect()}
+    assert {r["tile"]: r["m"] for r in tiling._medians(rows).collect()} == want
+
+
 def by_pairs(rows, distance):
     """Least key of each component, by all pairs."""
     label = {k: k for k, _, _ in rows}
