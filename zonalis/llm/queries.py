@@ -82,11 +82,17 @@ def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(_read(spark, sf_dir, "documents"))
 
 
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .multiindex import near_duplicates
+
+    return near_duplicates(_read(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_language_id, op2_mcd_quality, op3_decontamination, op4_bagminhash, op5_license_rules, op6_page_text, op7_curve_packing, op8_feistel_pii, op9_wavelet_tokens, op10_repeated_passages, pipeline)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_language_id, op2_mcd_quality, op3_decontamination, op4_bagminhash, op5_license_rules, op6_page_text, op7_curve_packing, op8_feistel_pii, op9_wavelet_tokens, op10_repeated_passages, op12_simhash, pipeline)}
 def _words(column: str) -> str:
     up = "".join(map(chr, range(65, 91)))
     return rf"regexp_extract_all(translate(coalesce({column}, ''), '{up}', '{up.lower()}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
