@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bagminhash import components
-from .common import as_text, free, stored, text_slices
+from .common import as_text, free, shuffle_partitions, stored, text_slices
 
 SHINGLE = 3
 #: Shingles that are counted at once.
@@ -103,9 +103,10 @@ def links(distinct: DataFrame, limit: int = 2, segments: int = 2, crowd: int = 3
     counts = rows.groupBy("part", "value").agg(F.count("*").alias("n"))
     table = rows.join(counts, ["part", "value"]).where(F.col("n") <= crowd).select("part", "value", F.col("fp").alias("b"))
     table = stored(table.union(counts.where(F.col("n") > crowd).select("part", "value", F.lit(None).cast("long"))), "segments")
-    near = distinct.select(fp.alias("a"), F.explode(key(lambda p: ball(p, radius))).alias("k")).select("a", "k.part", "k.value")
+    # a fingerprint makes many rows here, which its table's size does not tell: they are dealt out first and never broadcast
+    near = distinct.repartition(shuffle_partitions(distinct.sparkSession), "fp").select(fp.alias("a"), F.explode(key(lambda p: ball(p, radius))).alias("k")).select("a", "k.part", "k.value")
     within = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= limit
-    met = stored(near.join(table, ["part", "value"]).where(F.col("b").isNull() | ((F.col("a") < F.col("b")) & within)).select("a", "b").distinct(), "met")
+    met = stored(near.join(table.hint("merge"), ["part", "value"]).where(F.col("b").isNull() | ((F.col("a") < F.col("b")) & within)).select("a", "b").distinct(), "met")
     free(distinct.sparkSession)
     masks = ball(range(64), limit // 2)
     crowded = met.where("b is null").select(F.col("a").alias("fp"))
