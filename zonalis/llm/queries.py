@@ -96,11 +96,18 @@ def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_read(spark, sf_dir, "documents"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .trie import rebuilt, trie
+
+    got = trie(rebuilt(_read(spark, sf_dir, "conversations")))
+    return got.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_language_id, op2_mcd_quality, op3_decontamination, op4_bagminhash, op5_license_rules, op6_page_text, op7_curve_packing, op8_feistel_pii, op9_wavelet_tokens, op10_repeated_passages, op11_hard_negatives, op12_simhash, pipeline)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_language_id, op2_mcd_quality, op3_decontamination, op4_bagminhash, op5_license_rules, op6_page_text, op7_curve_packing, op8_feistel_pii, op9_wavelet_tokens, op10_repeated_passages, op11_hard_negatives, op12_simhash, op13_prefix_trie, pipeline)}
 def _words(column: str) -> str:
     up = "".join(map(chr, range(65, 91)))
     return rf"regexp_extract_all(translate(coalesce({column}, ''), '{up}', '{up.lower()}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -125,6 +132,22 @@ u AS (SELECT doc_id, n_sentences, ids, list_filter(l, lambda x, k: list_position
 SELECT doc_id, n_sentences, replace(ids, '|', ',') AS sentence_ids, coalesce(array_to_string(l, ','), '') AS licenses, CAST(len(l) AS BIGINT) AS n_licenses FROM u"""
 
 
+def _trie_sql() -> str:
+    """Prefixes as lists; crc32 bit by bit."""
+    bits = "flatten(list_transform(range(1, len(s) + 1), lambda i: [CAST(ascii(s[i]) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))"
+    crc = f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {bits}), lambda a, e: xor(xor(a, e) >> 1, (xor(a, e) & 1) * 3988292384)), 4294967295)"
+    return f"""WITH t AS (SELECT conv_id AS c, {{'role': coalesce(role, ''), 'text': coalesce(text, '')}} AS t, turn FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT c, list(t ORDER BY turn NULLS FIRST, t.role, t.text) AS ts FROM t GROUP BY c), h AS (SELECT c, ts, {crc} % 6 AS h FROM (SELECT *, CAST(c AS VARCHAR) AS s FROM o)),
+r AS (SELECT h.c, list_concat(coalesce(b.ts[1:h.h], []), h.ts[h.h + 1:]) AS ts FROM h LEFT JOIN o b ON b.c = h.c - h.c % 100),
+p AS (SELECT c, unnest(range(len(ts) + 1)) AS depth, ts FROM r), q AS (SELECT c, depth, ts[1:depth] AS k, len(ts) = depth AS at_end FROM p),
+n AS (SELECT depth, k, min(c) AS conv_id, count(*) AS n_convs, coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (at_end), '') AS ends FROM q GROUP BY depth, k),
+x AS (SELECT n.*, coalesce(len(k[depth].text), 0) * (n_convs - 1) AS own FROM n),
+ch AS (SELECT k[1:depth - 1] AS k, depth - 1 AS depth, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY ALL), y AS (SELECT x.*, coalesce(n_children, 0) AS n_children FROM x LEFT JOIN ch USING (k, depth)),
+a AS (SELECT unnest(range(depth + 1)) AS top, y.* FROM y), s AS (SELECT top AS depth, k[1:top] AS k, sum(own) AS saved, count(*) FILTER (n_children = 0) AS n_leaves FROM a GROUP BY ALL)
+SELECT y.conv_id, y.depth, u.conv_id AS parent_conv_id, y.n_convs, y.n_children, s.n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, sha256(y.ends) AS ends_sha256
+FROM y JOIN s USING (depth, k) LEFT JOIN y u ON u.depth = y.depth - 1 AND u.k = y.k[1:y.depth - 1]"""
+
+
 #: The other operators have no SQL: their tests hold them against brute force, round trips or held-out accuracy.
 ORACLE_SQL: dict[str, str] = {
     "op3_decontamination": f"""WITH d AS (SELECT doc_id, {_words("text")} AS w FROM documents), b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_words("text")} AS w FROM benchmark WHERE item_id IS NOT NULL),
@@ -142,4 +165,5 @@ p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE
 n AS (SELECT p.anchor_id, positive_id, positive_score, id AS negative_id, score AS negative_score, row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id) AS rank
 FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
 SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3""",
+    "op13_prefix_trie": _trie_sql(),
 }
