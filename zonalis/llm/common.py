@@ -83,9 +83,17 @@ def text_slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) ->
 
 # --- 64-bit hashing of many byte ranges at once -----------------------------------------------
 
-_BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
-_INV = np.uint64(pow(int(_BASE), -1, 1 << 64))
-_POW: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+#: Polynomials modulo this prime, with two bases and two values for each byte: arithmetic modulo 2^64 has collisions that can be written down.
+_PRIME = np.uint64((1 << 31) - 1)
+_BASES = (1_181_783_497, 1_742_537_263)
+_POW: list[tuple[np.ndarray, np.ndarray]] = []
+
+
+def _reduced(x: np.ndarray) -> np.ndarray:
+    """``x`` modulo the prime."""
+    for _ in range(3):
+        x = (x & _PRIME) + (x >> np.uint64(31))
+    return np.minimum(x, x - _PRIME)  # below nought it wraps to a large number
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -95,30 +103,40 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03))
+_BYTE = _reduced(mix(np.arange(1, 513, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03))).reshape(2, 256)
+
+
+def _table(base: int, n: int) -> np.ndarray:
+    """Powers of ``base``, each half from the one before it."""
+    p = np.ones(n, np.uint64)
+    k = 1
+    while k < n:
+        p[k : 2 * k] = _reduced(p[: min(k, n - k)] * np.uint64(pow(base, k, int(_PRIME))))
+        k *= 2
+    return p.astype(np.uint32)
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_POW[0]) < n:
+def _powers(n: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Of each base its powers and their inverses."""
+    if not _POW or len(_POW[0][0]) < n:
         size = 1 << max(16, (n - 1).bit_length())
-        for k, base in enumerate((_BASE, _INV)):
-            p = np.full(size, base, np.uint64)
-            p[0] = 1
-            _POW[k] = np.multiply.accumulate(p)
-    return _POW[0], _POW[1]
+        _POW[:] = [(_table(base, size), _table(pow(base, -1, int(_PRIME)), size)) for base in _BASES]
+    return _POW
 
 
 def prefix_hash(buf: np.ndarray) -> np.ndarray:
-    """Prefix sums from which ``range_hash`` gets the hash of any range of ``buf``."""
-    out = np.zeros(len(buf) + 1, np.uint64)
-    np.cumsum(_BYTE[buf] * _powers(len(buf) + 1)[0][: len(buf)], out=out[1:])
+    """Running sums from which ``range_hash`` gets the hash of any range of ``buf``."""
+    out = np.zeros((2, len(buf) + 1), np.uint64)
+    for lane, (up, _) in enumerate(_powers(len(buf) + 1)):
+        x = _BYTE[lane][buf] * up[: len(buf)]
+        np.cumsum((x & _PRIME) + (x >> np.uint64(31)), out=out[lane, 1:])  # each below 2^32, so sums of 2^31 fit
     return out
 
 
 def range_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each range [start, end): a function of its bytes and length alone."""
-    inv = _powers(len(prefix))[1]
-    return mix((prefix[end] - prefix[start]) * inv[start] + (end - start).astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
+    lanes = [_reduced(_reduced(prefix[lane][end] - prefix[lane][start]) * down[start]) for lane, (_, down) in enumerate(_powers(prefix.shape[1]))]
+    return mix((lanes[0] << np.uint64(31) | lanes[1]) + (end - start).astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
 
 
 #: A-Z to a-z; digits, a-z and every byte of a non-ASCII character stay; all else is a space.

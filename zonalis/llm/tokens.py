@@ -181,7 +181,10 @@ class CachedEncoder:
 
 
 class _Table:
-    """Spans seen so far: an open-addressing table of their hashes, first and last eight bytes and lengths, and their ids in a pool."""
+    """Spans seen so far: an open-addressing table of their hashes, first and last eight bytes and lengths, and their ids in a pool.
+
+    First and last bytes and the length tell spans of up to 16 bytes; longer ones are compared byte by byte as well.
+    """
 
     def __init__(self, limit: int, dtype: np.dtype):
         self.limit, self.dtype = limit, dtype
@@ -192,6 +195,7 @@ class _Table:
         self.hash, self.head, self.tail = (np.zeros(n, np.uint64) for _ in range(3))
         self.long, self.count, self.first = (np.zeros(n, np.int64) for _ in range(3))
         self.pool = np.zeros(1 << 14, dtype)
+        self.wide: dict[int, bytes] = {}
 
     def _grow(self, n: int, ids: int) -> None:
         if n > len(self.hash):
@@ -216,12 +220,15 @@ class _Table:
         if self.size > self.limit:
             self.size, self.used = self.limit, self.kept
         mask = np.uint64((1 << self.bits) - 1)
-        out = np.full(len(h), -1, np.int64)
+        out, data = np.full(len(h), -1, np.int64), buf.tobytes()
+        bytes_of = lambda i: data[starts[i] : ends[i]]
         todo, slot = np.arange(len(h)), (h & mask).astype(np.int64)
         while len(todo):
             e = self.slot[slot]
             same = (e >= 0) & (self.hash[e] == h[todo])
             same[same] = (self.head[e[same]] == head[todo[same]]) & (self.tail[e[same]] == tail[todo[same]]) & (self.long[e[same]] == long[todo[same]])
+            for k in np.flatnonzero(same & (long[todo] > 16)).tolist():
+                same[k] = self.wide[int(e[k])] == bytes_of(todo[k])
             out[todo[same]] = e[same]
             on = (e >= 0) & ~same
             todo, slot = todo[on], (slot[on] + 1) & int(mask)
@@ -232,9 +239,15 @@ class _Table:
         m = miss[order]
         new = np.ones(len(m), bool)
         new[1:] = (h[m[1:]] != h[m[:-1]]) | (head[m[1:]] != head[m[:-1]]) | (tail[m[1:]] != tail[m[:-1]]) | (long[m[1:]] != long[m[:-1]])
+        first = 0
+        for k in np.flatnonzero(long[m] > 16).tolist():  # spans of equal marks stand together: each against the last new one
+            if new[k]:
+                first = k
+            else:
+                new[k] = bytes_of(m[k]) != bytes_of(m[first])
+                first = k if new[k] else first
         lead = m[new]
         out[m] = self.size + np.cumsum(new) - 1
-        data = buf.tobytes()
         got = [span(data[a:b].decode("utf-8", "surrogatepass")) for a, b in zip(starts[lead].tolist(), ends[lead].tolist())]
         ids = np.frombuffer(b"".join(got), self.dtype)
         count = np.array([len(x) for x in got]) // self.dtype.itemsize
@@ -242,6 +255,7 @@ class _Table:
         self._grow(self.size + n, self.used + len(ids))
         at = slice(self.size, self.size + n)
         self.hash[at], self.head[at], self.tail[at], self.long[at], self.count[at] = h[lead], head[lead], tail[lead], long[lead], count
+        self.wide.update((self.size + int(k), bytes_of(lead[k])) for k in np.flatnonzero(long[lead] > 16))
         self.first[at] = self.used + np.cumsum(count) - count
         self.pool[self.used : self.used + len(ids)] = ids
         if self.size < self.limit:
