@@ -139,6 +139,24 @@ def range_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nda
     return mix((lanes[0] << np.uint64(31) | lanes[1]) + (end - start).astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
 
 
+def span_marks(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each range its first and last eight bytes as numbers, and a hash of them, its length and sixteen bytes within: a few reads a range.
+
+    Ranges of up to 16 bytes are equal if first, last bytes and length are; of
+    longer ones only bytes tell.
+    """
+    long = ends - starts
+    wide = np.concatenate([np.zeros(8, np.uint8), buf, np.zeros(8, np.uint8)])
+    word = np.ndarray(len(buf) + 9, "<u8", wide, strides=(1,))
+    short = (8 * np.maximum(8 - long, 0)).astype(np.uint64)
+    head, tail = word[starts + 8] << short, word[ends] >> short << short
+    h = mix(head ^ long.astype(np.uint64) * np.uint64(0xA0761D6478BD642F)) * np.uint64(0x9FB21C651E98DF25) + tail
+    more = np.flatnonzero(long > 16)
+    for k in (1, 2):
+        h[more] = mix(h[more]) * np.uint64(0x9FB21C651E98DF25) + word[starts[more] + 8 + (long[more] - 8) * k // 3]
+    return head, tail, mix(h)
+
+
 #: A-Z to a-z; digits, a-z and every byte of a non-ASCII character stay; all else is a space.
 WORD_TABLE = np.array([c if chr(c).isdigit() and c < 128 or 97 <= c <= 122 or c >= 128 else c + 32 if 65 <= c <= 90 else 32 for c in range(256)], np.uint8)
 

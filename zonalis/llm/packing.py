@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_text, mix, range_hash, prefix_hash, shuffle_partitions, small_batches, stored, text_slices, words
+from .common import as_text, mix, shuffle_partitions, small_batches, span_marks, stored, text_slices, words
 from .tokens import encoder
 
 DIMS, BITS = 6, 8
@@ -64,7 +64,7 @@ def hilbert_index(cells: np.ndarray, bits: int) -> np.ndarray:
 def curve_keys(buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
     """Hilbert keys of the rows of a slice: the direction of the sum of the words' signs, cut into cells."""
     low, starts, ends, first = words(buf, offs)
-    h = range_hash(prefix_hash(low), starts, ends)
+    h = span_marks(low, starts, ends)[2]  # long words may share it: it only picks a direction
     total = np.empty((len(offs) - 1, DIMS))
     for d in range(DIMS):
         sums = np.concatenate([[0], np.cumsum((h >> np.uint64(d) & np.uint64(1)).astype(np.int64) * 2 - 1)])
@@ -111,7 +111,7 @@ def pack(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", end_id: int = 1,
         for batch in batches:
             for rows, buf, offs in text_slices(batch, "text"):
                 key = curve_keys(buf, offs)
-                h = range_hash(prefix_hash(buf), offs[:-1], offs[1:]) ^ mix(rows.column(0).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
+                h = span_marks(buf, offs[:-1], offs[1:])[2] ^ mix(rows.column(0).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
                 place = mix(h).astype(np.float64) * 2.0**-64
                 part = np.minimum(((before[key >> shift] + place * weight[key >> shift]) / share).astype(np.int64), n_parts - 1)
                 yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(key), pa.array(part), pa.array(salts[part])], names=["doc_id", "text", "curve", "part", "salt"])

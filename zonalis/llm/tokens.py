@@ -18,7 +18,7 @@ from collections.abc import Iterable
 
 import numpy as np
 
-from .common import SLICE_BYTES, prefix_hash, range_hash
+from .common import SLICE_BYTES, span_marks
 
 #: ASCII white space, and the last three bytes of wider white-space characters.
 BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
@@ -211,12 +211,8 @@ class _Table:
         Beyond ``limit`` entries, new ones hold only until the next call, so
         that the earliest and hence the most frequent stay.
         """
-        h = range_hash(prefix_hash(buf), starts, ends)
+        head, tail, h = span_marks(buf, starts, ends)
         long = ends - starts
-        wide = np.concatenate([np.zeros(8, np.uint8), buf, np.zeros(8, np.uint8)])
-        word = np.ndarray(len(buf) + 9, "<u8", wide, strides=(1,))
-        short = (8 * np.maximum(8 - long, 0)).astype(np.uint64)
-        head, tail = word[starts + 8] << short, word[ends] >> short << short
         if self.size > self.limit:
             self.size, self.used = self.limit, self.kept
         mask = np.uint64((1 << self.bits) - 1)
