@@ -28,9 +28,16 @@ def asof(left: DataFrame, right: DataFrame, by: list[str], time: str, values: li
     return both.withColumn("_got", got).where(~F.col("_is")).select(*left.columns, *[F.col(f"_got.{v}").alias(v) for v in values])
 
 
-def interval(left: DataFrame, right: DataFrame, at: str, start: str, end: str, bucket: float, by: list[str] | None = None, how: str = "inner") -> DataFrame:
-    """Rows with start <= at < end: both sides meet on a bucket of the axis, so the join is by equality and shuffles once."""
+def interval(left: DataFrame, right: DataFrame, at: str, start: str, end: str, bucket: float, by: list[str] | None = None, how: str = "inner", strict: bool = False) -> DataFrame:
+    """Rows with start <= at < end: both sides meet on a bucket of the axis, so the join is by equality and shuffles once.
+
+    ``strict``: a left row in no interval is an error when the plan runs, not dropped.
+    """
     by = by or []
+    if strict:
+        got = interval(left, right.withColumn("_in", F.lit(True)), at, start, end, bucket, by, "left")
+        said = F.concat(F.lit(f"{at} outside all intervals: "), F.coalesce(F.col(at).cast("string"), F.lit("null")))
+        return got.where(F.when(F.col("_in").isNull(), F.raise_error(said).cast("boolean")).otherwise(F.lit(True))).drop("_in")
     l = left.withColumn("_b", F.floor(F.col(at) / bucket))
     r = right.withColumn("_b", F.explode(F.sequence(F.floor(F.col(start) / bucket), F.floor(F.col(end) / bucket))))
     on = (l["_b"] == r["_b"]) & (l[at] >= r[start]) & (l[at] < r[end])

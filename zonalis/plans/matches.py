@@ -97,9 +97,10 @@ def grid_assign(t: Tables) -> DataFrame:
     return j.select("vec_id", joins.grid_cell(F.col("x"), F.col("x0"), F.col("w"), 8).alias("col"), joins.grid_cell(F.col("y"), F.col("y0"), F.col("h"), 6).alias("row"))
 
 
-@query("SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+@query("SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 450000)")
 def anti_join_uncovered(t: Tables) -> DataFrame:
-    return t.customer.join(t.orders, F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey")
+    """Customers that no large order covers."""
+    return t.customer.join(t.orders.where("o_totalprice > 450000"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey")
 
 
 @query("SELECT DISTINCT o_custkey AS c_custkey FROM orders WHERE EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey AND c_acctbal < 0)")

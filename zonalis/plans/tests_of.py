@@ -19,9 +19,14 @@ def pearson_matrix(t: Tables) -> DataFrame:
     return stats.pearson(t.lineitem, _COLS).withColumn("r", F.round("r", 8))
 
 
-@query("SELECT x, y, round(r, 8) AS r FROM (" + " UNION ALL ".join(f"SELECT '{a}' AS x, '{b}' AS y, corr({a}, {b}) AS r FROM lineitem" for a, b in _PAIRS) + ") WHERE abs(r) >= 0.5")
+_NET = "(SELECT *, l_extendedprice * (1 - l_discount) AS net FROM lineitem)"
+
+
+@query("SELECT x, y, round(r, 8) AS r FROM (" + " UNION ALL ".join(f"SELECT '{a}' AS x, '{b}' AS y, corr({a}, {b}) AS r FROM {_NET}" for a, b in [*_PAIRS, *((c, "net") for c in _COLS)]) + ") WHERE abs(r) >= 0.5")
 def strong_pairs(t: Tables) -> DataFrame:
-    return stats.pearson(t.lineitem, _COLS).where("abs(r) >= 0.5").select("x", "y", F.round("r", 8).alias("r"))
+    """Strongly correlated pairs among the columns and the price less discount."""
+    net = t.lineitem.withColumn("net", F.col("l_extendedprice") * (1 - F.col("l_discount")))
+    return stats.pearson(net, [*_COLS, "net"]).where("abs(r) >= 0.5").select("x", "y", F.round("r", 8).alias("r"))
 
 
 @query("""WITH r AS (SELECT rank() OVER (ORDER BY l_quantity) + (count(*) OVER (PARTITION BY l_quantity) - 1) / 2.0 AS a, rank() OVER (ORDER BY l_extendedprice) + (count(*) OVER (PARTITION BY l_extendedprice) - 1) / 2.0 AS b FROM lineitem)
