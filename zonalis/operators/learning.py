@@ -8,9 +8,11 @@ from pyspark.ml import Pipeline
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, NaiveBayes, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import order
+
 #: Candidate models by name.
 MODELS: dict[str, Callable] = {
     "logistic": lambda: LogisticRegression(featuresCol="x", labelCol="label", maxIter=30, regParam=0.01),
@@ -32,9 +34,39 @@ def labelled(df: DataFrame, target: str) -> DataFrame:
 
 
 def folds(df: DataFrame, key: str, target: str, k: int, seed: int = 0) -> DataFrame:
-    """Stratified folds by hash order, the same whatever the partitioning."""
-    w = Window.partitionBy(target).orderBy(F.xxhash64(key, F.lit(seed)), key)
-    return df.withColumn("fold", (F.row_number().over(w) - 1) % k)
+    """Stratified folds by hash order, the same whatever the partitioning; no task holds a class."""
+    ranked = order.numbered(df.withColumn("_h", F.xxhash64(key, F.lit(seed))), [target, "_h", key], "_at")
+    first = ranked.groupBy(F.col(target).alias("_t")).agg(F.min("_at").alias("_first"))
+    met = ranked.join(F.broadcast(first), F.col(target).eqNullSafe(F.col("_t")))  # a row for each class
+    return met.withColumn("fold", (F.col("_at") - F.col("_first")) % k).drop("_h", "_at", "_t", "_first")
+
+
+def shuffled(df: DataFrame, key: str, columns: list[str], seed: int = 0) -> DataFrame:
+    """``df`` with the values of ``columns`` handed round together: row i in the order of ``key`` gets those of row i in the order of a hash.
+
+    Both orders are numbered globally and meet in a join, so no task or driver
+    holds a column.  ``key`` must be unique.
+    """
+    given = df.select(F.xxhash64(key, F.lit(seed)).alias("_h"), F.col(key).alias("_k"), *[F.col(c).alias(f"_v{i}") for i, c in enumerate(columns)])
+    given = order.numbered(given, ["_h", "_k"], "_at").drop("_h", "_k")
+    met = order.numbered(df, [key], "_at").join(given, "_at")
+    return met.select(*[F.col(f"_v{columns.index(c)}").alias(c) if c in columns else F.col(c) for c in df.columns])
+
+
+def permutation_importance(score: Callable[[DataFrame], DataFrame], df: DataFrame, key: str, columns: list[str], label: str = "label", prediction: str = "prediction", seeds: tuple[int, ...] = (0, 1, 2)) -> DataFrame:
+    """feature, importance (mean loss of accuracy over ``seeds`` when its values are shuffled), deviation (sample), baseline; most important first, then by name.
+
+    ``score`` adds the predictions, as a fitted model's ``transform`` does.  A
+    number for each feature and seed reaches the driver.
+    """
+    accuracy = lambda d: score(d).agg(F.avg((F.col(prediction) == F.col(label)).cast("double"))).first()[0]
+    base, rows = accuracy(df), []
+    for c in columns:
+        lost = [base - accuracy(shuffled(df, key, [c], s)) for s in seeds]
+        mean = sum(lost) / len(lost)
+        deviation = (sum((x - mean) ** 2 for x in lost) / (len(lost) - 1)) ** 0.5 if len(lost) > 1 else None
+        rows.append((c, mean, deviation, base))
+    return df.sparkSession.createDataFrame(sorted(rows, key=lambda r: (-r[1], r[0])), "feature string, importance double, deviation double, baseline double")
 
 
 def out_of_fold(df: DataFrame, key: str, models: list[str], k: int, columns: list[str]) -> DataFrame:
