@@ -339,6 +339,11 @@ def _edges(ring: Column) -> Column:
     return F.transform(F.when(F.size(ring) > 1, F.sequence(F.lit(1), F.size(ring) - 1)).otherwise(F.array().cast("array<int>")), lambda i: F.struct(F.get(ring, i - 1).alias("a"), F.get(ring, i).alias("b")))
 
 
+def _let(x: Column, of: Callable[[Column], Column]) -> Column:
+    """``of(x)`` with ``x`` computed once."""
+    return F.get(F.transform(F.array(x), of), F.lit(0))
+
+
 def _total(items: Column, of: Callable[[Column], Column]) -> Column:
     return F.aggregate(items, F.lit(0.0), lambda s, e: s + of(e))
 
@@ -403,17 +408,22 @@ def interior_point(parts: Column) -> Column:
     middle of its box, so it meets no vertex.
     """
 
-    def part(rings: Column) -> Column:
-        edges = F.flatten(F.transform(rings, _edges))
-        ys = F.transform(F.flatten(rings), lambda q: q["y"])
-        mid = (F.array_min(ys) + F.array_max(ys)) / 2
-        line = (F.array_max(F.filter(ys, lambda y: y <= mid)) + F.array_min(F.filter(ys, lambda y: y > mid))) / 2
-        met = F.array_sort(F.transform(F.filter(edges, lambda e: (e["a"]["y"] <= line) != (e["b"]["y"] <= line)), lambda e: e["a"]["x"] + (line - e["a"]["y"]) * (e["b"]["x"] - e["a"]["x"]) / (e["b"]["y"] - e["a"]["y"])))
+    def stretches(met: Column, line: Column) -> Column:
         pairs = F.when(F.size(met) > 1, F.sequence(F.lit(0), F.floor(F.size(met) / 2).cast("int") - 1)).otherwise(F.array().cast("array<int>"))
         return F.transform(pairs, lambda k: F.struct((F.get(met, 2 * k + 1) - F.get(met, 2 * k)).alias("w"), (-F.get(met, 2 * k)).alias("left"), ((F.get(met, 2 * k) + F.get(met, 2 * k + 1)) / 2).alias("x"), line.alias("y")))
 
+    def crossed(rings: Column, line: Column) -> Column:
+        edges = F.filter(F.flatten(F.transform(rings, _edges)), lambda e: (e["a"]["y"] <= line) != (e["b"]["y"] <= line))
+        met = F.array_sort(F.transform(edges, lambda e: e["a"]["x"] + (line - e["a"]["y"]) * (e["b"]["x"] - e["a"]["x"]) / (e["b"]["y"] - e["a"]["y"])))
+        return _let(met, lambda m: stretches(m, line))
+
+    def part(rings: Column) -> Column:
+        ys = F.transform(F.flatten(rings), lambda q: q["y"])
+        line = lambda y, mid: (F.array_max(F.filter(y, lambda v: v <= mid)) + F.array_min(F.filter(y, lambda v: v > mid))) / 2
+        return _let(_let(ys, lambda y: _let((F.array_min(y) + F.array_max(y)) / 2, lambda mid: line(y, mid))), lambda at: crossed(rings, at))
+
     best = F.array_max(F.flatten(F.transform(parts, part)))  # the widest, then the leftmost
-    return F.when(best.isNotNull(), F.struct(best["x"].alias("x"), best["y"].alias("y")))
+    return _let(best, lambda p: F.when(p.isNotNull(), F.struct(p["x"].alias("x"), p["y"].alias("y"))))
 
 
 def contains(parts: Column, point: Column) -> Column:
@@ -456,20 +466,24 @@ def _hull(points: np.ndarray) -> np.ndarray:
 
 
 def least_rectangle(points: np.ndarray) -> tuple[float, float]:
-    """Long and short side of the rectangle of least area around the points; one of its sides lies on a side of the hull."""
+    """Long and short side of the rectangle of least area around the points; one of its sides lies on a side of the hull.
+
+    Of rectangles whose areas differ by rounding alone, the one of the least long side.
+    """
     hull = _hull(points)
     if len(hull) < 3:
         return (float(np.hypot(*(hull[-1] - hull[0]))) if len(hull) else 0.0), 0.0
     d = np.roll(hull, -1, axis=0) - hull
     d /= np.hypot(d[:, 0], d[:, 1])[:, None]
     # for a hull side's direction: the extents along it and across it, block by block
-    best = (np.inf, 0.0, 0.0)
+    sides = []
     for k in range(0, len(d), 256):
         along, across = hull @ d[k : k + 256].T, hull @ np.stack([-d[k : k + 256, 1], d[k : k + 256, 0]])
-        w, h = np.ptp(along, axis=0), np.ptp(across, axis=0)
-        i = int(np.argmin(w * h))
-        best = min(best, (float((w * h)[i]), float(max(w[i], h[i])), float(min(w[i], h[i]))))
-    return best[1], best[2]
+        sides.append(np.sort([np.ptp(along, axis=0), np.ptp(across, axis=0)], axis=0))
+    short, long = np.concatenate(sides, axis=1)
+    near = np.flatnonzero(short * long <= (short * long).min() * (1 + 1e-9))
+    i = near[np.argmin(long[near])]
+    return float(long[i]), float(short[i])
 
 
 def with_rectangle(df: DataFrame, parts: str = "parts") -> DataFrame:

@@ -131,7 +131,8 @@ def polygon_tiles(t: Tables) -> DataFrame:
 @query(f"""WITH {_shapes(False)}, q AS (SELECT DISTINCT vec_id, x, y FROM c WHERE ring = 0), d AS (SELECT a.vec_id, (b.x - a.x) / sqrt((b.x - a.x) ** 2 + (b.y - a.y) ** 2) AS dx, (b.y - a.y) / sqrt((b.x - a.x) ** 2 + (b.y - a.y) ** 2) AS dy, a.x AS ax, a.y AS ay, b.x AS bx, b.y AS by_
 FROM q a JOIN q b ON a.vec_id = b.vec_id AND (a.x, a.y) <> (b.x, b.y)),
 f AS (SELECT d.vec_id, dx, dy, max(x * dx + y * dy) - min(x * dx + y * dy) AS w, max(y * dx - x * dy) - min(y * dx - x * dy) AS h FROM d JOIN q USING (vec_id) GROUP BY d.vec_id, ax, ay, bx, by_, dx, dy HAVING min((bx - ax) * (y - ay) - (by_ - ay) * (x - ax)) >= -1e-9),
-g AS (SELECT vec_id, arg_min({{'l': greatest(w, h), 's': least(w, h)}}, w * h) AS r FROM f GROUP BY vec_id) SELECT vec_id, round(r.l * r.s, 6) AS box_area, round(r.l / r.s, 5) AS elongation FROM g""")
+n AS (SELECT vec_id, min(w * h) AS m FROM f GROUP BY vec_id),
+g AS (SELECT vec_id, arg_min({{'l': greatest(w, h), 's': least(w, h)}}, greatest(w, h)) AS r FROM f JOIN n USING (vec_id) WHERE w * h <= m * (1 + 1e-9) GROUP BY vec_id) SELECT vec_id, round(r.l * r.s, 6) AS box_area, round(r.l / r.s, 5) AS elongation FROM g""")
 def polygon_rectangles(t: Tables) -> DataFrame:
     """Area and elongation of the least rotated rectangle round each geometry."""
     got = polygons.with_rectangle(shapes(t, False))

@@ -11,15 +11,16 @@ from ..sources import cubes, publish, shared
 from .polygons import _RASTER, raster
 from .registry import Tables, query
 
-_SOURCE, _TARGET = Grid(0.0, 48.0, 1.0, 1.0, 64, 48), Grid(-1.0, 49.0, 0.375, 0.625, 180, 80)
+_SOURCE, _TARGET = Grid(0.0, 48.0, 1.0, 1.0, 64, 48), Grid(-1.0, 49.0, 0.37, 0.61, 180, 80)
 #: Centres of the target's cells, in columns and rows of the source.
-_CENTRES = "t AS (SELECT r.r AS row, c.c AS col, -1 + (c.c + 0.5::DOUBLE) * 0.375::DOUBLE AS fx, 48 - (49 - (r.r + 0.5::DOUBLE) * 0.625::DOUBLE) AS fy FROM range(80) r(r), range(180) c(c)), i AS (SELECT * FROM t WHERE fx >= 0 AND fx < 64 AND fy >= 0 AND fy < 48)"
+_CENTRES = "t AS (SELECT r.r AS row, c.c AS col, -1 + (c.c + 0.5::DOUBLE) * 0.37::DOUBLE AS fx, 48 - (49 - (r.r + 0.5::DOUBLE) * 0.61::DOUBLE) AS fy FROM range(80) r(r), range(180) c(c)), i AS (SELECT * FROM t WHERE fx >= 0 AND fx < 64 AND fy >= 0 AND fy < 48)"
 
 
 @query(f"""WITH {_RASTER}, {_CENTRES}, q AS (SELECT row, col, floor(fy - 0.5) + a.a AS r, floor(fx - 0.5) + b.b AS c, CASE a.a WHEN 1 THEN fy - 0.5 - floor(fy - 0.5) ELSE 1 - (fy - 0.5 - floor(fy - 0.5)) END * CASE b.b WHEN 1 THEN fx - 0.5 - floor(fx - 0.5) ELSE 1 - (fx - 0.5 - floor(fx - 0.5)) END AS w FROM i, range(2) a(a), range(2) b(b))
-SELECT q.row, q.col, round(sum(value * w) / sum(w), 8) AS value FROM q JOIN p ON p.row = q.r AND p.col = q.c WHERE w > 0 GROUP BY q.row, q.col""")
+SELECT q.row, q.col, round(0.7310585786::DOUBLE * (sum(value * w) / sum(w)), 8) AS value FROM q JOIN p ON p.row = q.r AND p.col = q.c WHERE w > 0 GROUP BY q.row, q.col""")
 def resample_bilinear(t: Tables) -> DataFrame:
-    return resample.resample(raster(t), _SOURCE, _TARGET, "value").withColumn("value", F.round("value", 8))
+    """Scaled by an odd factor, so that no value ends in a rounding tie."""
+    return resample.resample(raster(t), _SOURCE, _TARGET, "value").withColumn("value", F.round(0.7310585786 * F.col("value"), 8))
 
 
 @query(f"WITH {_RASTER}, {_CENTRES} SELECT i.row, i.col, round(value, 8) AS value FROM i JOIN p ON p.row = floor(fy) AND p.col = floor(fx)")
