@@ -73,6 +73,18 @@ def metrics(conf: DataFrame) -> DataFrame:
     return m.agg((F.sum("correct") / F.sum("support")).alias("accuracy"), F.avg(F.when(F.col("support") > 0, F.col("recall"))).alias("balanced_accuracy"), F.avg("f1").alias("f1_macro"), w("f1").alias("f1_weighted"), w("precision").alias("precision_weighted"), w("recall").alias("recall_weighted"))
 
 
+def metric_row(long: DataFrame, truth: str) -> DataFrame:
+    """One row from a table (row, class, p, truth): ``metrics`` of the likeliest class (ties: the first) and roc_auc_weighted, the classes' areas by their rows.
+
+    Rows without truth take no part.  Classes that are never or always the
+    truth have no area; where none has one it is null.
+    """
+    known = long.where(F.col(truth).isNotNull())
+    top = known.groupBy("row").agg(F.first(truth).alias("truth"), F.min_by("class", F.struct(-F.col("p"), "class")).alias("predicted"))
+    areas = auc_ovr(known, truth).where("auc is not null").agg(F.try_divide(F.sum(F.col("auc") * F.col("positives")), F.sum("positives")).alias("roc_auc_weighted"))
+    return metrics(confusion(top, "truth", "predicted")).crossJoin(areas)  # one row each
+
+
 def class_reliability(df: DataFrame, truth: str, predicted: str, least: int = LEAST_SUPPORT) -> DataFrame:
     """Per predicted class: support, correct, precision, level, validity and reason."""
     g = df.groupBy(F.col(predicted).alias("class")).agg(F.count("*").alias("support"), F.count_if(F.col(truth) == F.col(predicted)).alias("correct"))

@@ -26,7 +26,7 @@ def spearman(df: DataFrame, a: str, b: str) -> DataFrame:
 
 
 def chi2(df: DataFrame, a: str, b: str) -> DataFrame:
-    """One row: chi-square (Yates for 2 x 2), df, n, Cramer's V plain and corrected."""
+    """One row: chi-square (Yates for 2 x 2), df, n, Cramer's V plain and corrected; no V where a side has one category."""
     o = df.where(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(a, b).agg(F.count("*").alias("o"))
     ra, cb = o.groupBy(a).agg(F.sum("o").alias("ra")), o.groupBy(b).agg(F.sum("o").alias("cb"))
     size = ra.agg(F.sum("ra").alias("n"), F.count("*").alias("r")).crossJoin(cb.agg(F.count("*").alias("c")))  # one row each
@@ -36,9 +36,9 @@ def chi2(df: DataFrame, a: str, b: str) -> DataFrame:
     off = F.when((F.col("r") == 2) & (F.col("c") == 2), off - F.least(F.lit(0.5), off)).otherwise(off)
     g = grid.agg(F.sum(off * off / e).alias("chi2"), F.first("n").alias("n"), F.first("r").alias("r"), F.first("c").alias("c"))
     k = F.least(F.col("r") - 1, F.col("c") - 1)
-    phi = F.greatest(F.col("chi2") / F.col("n") - (F.col("r") - 1) * (F.col("c") - 1) / (F.col("n") - 1), F.lit(0.0))
-    rc, cc = F.col("r") - (F.col("r") - 1) ** 2 / (F.col("n") - 1), F.col("c") - (F.col("c") - 1) ** 2 / (F.col("n") - 1)
-    return g.select(F.lit(a).alias("x"), F.lit(b).alias("y"), "chi2", ((F.col("r") - 1) * (F.col("c") - 1)).cast("long").alias("df"), "n", F.sqrt(F.col("chi2") / F.col("n") / k).alias("cramers_v"), F.sqrt(phi / F.least(rc - 1, cc - 1)).alias("cramers_v_corrected"))
+    phi = F.greatest(F.col("chi2") / F.col("n") - F.try_divide((F.col("r") - 1) * (F.col("c") - 1), F.col("n") - 1), F.lit(0.0))
+    rc, cc = F.col("r") - F.try_divide((F.col("r") - 1) ** 2, F.col("n") - 1), F.col("c") - F.try_divide((F.col("c") - 1) ** 2, F.col("n") - 1)
+    return g.select(F.lit(a).alias("x"), F.lit(b).alias("y"), "chi2", ((F.col("r") - 1) * (F.col("c") - 1)).cast("long").alias("df"), "n", F.sqrt(F.try_divide(F.col("chi2") / F.col("n"), k)).alias("cramers_v"), F.sqrt(F.try_divide(phi, F.least(rc - 1, cc - 1))).alias("cramers_v_corrected"))
 
 
 def anova(df: DataFrame, group: str, value: str) -> DataFrame:
@@ -51,15 +51,15 @@ def anova(df: DataFrame, group: str, value: str) -> DataFrame:
 
 
 def kruskal(df: DataFrame, group: str, value: str) -> DataFrame:
-    """One row: H with tie correction, epsilon squared."""
+    """One row: H with tie correction, epsilon squared; null where all values are equal or rows are too few."""
     d = df.where(F.col(group).isNotNull() & F.col(value).isNotNull()).select(group, value)
     ranks = mean_ranks(d, value)
     ties = ranks.agg(F.sum(F.col("_c").cast("double") ** 3 - F.col("_c")).alias("t"), F.sum("_c").alias("n"), F.count("*").alias("_k"))
     g = d.join(ranks.select(value, "_rank"), value).groupBy(group).agg(F.count("*").alias("m"), F.sum("_rank").alias("s"))
     h = g.agg(F.sum(F.col("s") ** 2 / F.col("m")).alias("q"), F.count("*").alias("k")).crossJoin(ties)  # one row each
     n = F.col("n")
-    raw = 12 / (n * (n + 1)) * F.col("q") - 3 * (n + 1)
-    return h.withColumn("h", raw / (1 - F.col("t") / (n.cast("double") ** 3 - n))).select("h", ((F.col("h") - F.col("k") + 1) / (n - F.col("k"))).alias("epsilon_squared"), "k", "n")
+    raw = F.try_divide(12 * F.col("q"), n * (n + 1)) - 3 * (n + 1)
+    return h.withColumn("h", F.try_divide(raw, 1 - F.try_divide(F.col("t"), n.cast("double") ** 3 - n))).select("h", F.try_divide(F.col("h") - F.col("k") + 1, n - F.col("k")).alias("epsilon_squared"), "k", "n")
 
 
 def jarque_bera(df: DataFrame, columns: list[str]) -> DataFrame:
