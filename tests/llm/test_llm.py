@@ -238,6 +238,14 @@ def test_wrapped_licenses(spark):
     assert got[1]["sentence_ids"] == ["apache-long", "apache-copy", "apache-as-is"] and got[6]["sentence_ids"] == ["rights-reserved"] * 2
 
 
+def test_reserved_rights_give_way(spark):
+    s = licenses.SENTENCES
+    bsd = "Copyright (c) 1999, A. Writer\nAll rights reserved.\n\n" + s["bsd-grant"] + "\n" + s["bsd-no-endorse"]
+    texts = {1: "Copyright 2020 X. All rights reserved. Released under the MIT License.", 2: bsd, 3: "All rights reserved.\nAll rights reserved.", 4: s["mit-grant"] + "\nAll rights reserved."}
+    got = {r["doc_id"]: r["licenses"] for r in licenses.scan(frame(spark, list(texts.items()))).collect()}
+    assert got == {1: ["MIT"], 2: ["BSD-3-Clause"], 3: ["proprietary"], 4: ["proprietary"]}
+
+
 def test_each_license_is_named_once(spark):
     """Each rule's sentences, wrapped at 70 columns and commented, give its licence alone."""
     rows, want = [], {}

@@ -8,7 +8,8 @@ are that sentence.  A licence is
 found where its rule, an ordered list of identifiers, stands in the text's
 identifiers in that order, other identifiers between them allowed, unless a
 rule that holds its identifiers and more is found too: the longer one goes
-before.
+before.  Reserved rights stand in most notices of free licences: ``proprietary``
+is named only where no other licence is found.
 
 DataFrame functions only, and nothing moves between rows: the table of known
 sentences is a fixed literal.  Null and empty texts have no sentence; repeats
@@ -100,6 +101,8 @@ RULES = [
     ("CC-BY-NC-SA-4.0", ["cc-by-nc-sa-4-work"]),
 ]
 RULES += [(x.removesuffix("-only").removesuffix("-or-later"), [f"spdx-{x.lower()}"]) for x in SPDX]
+#: Licences that give way to any other.
+LAST = {"proprietary"}
 #: Ends of sentences: a mark before white space, a newline, a semicolon or colon at a line's end.
 SENTENCE_END = r"(?<=[.!?])\s+|[;:]?\s*\n\s*"
 
@@ -114,13 +117,13 @@ def plain(sentence: str) -> str:
 
 
 def longer(rules: list[tuple[str, list[str]]]) -> list[list[int]]:
-    """For each rule those of another licence that hold its identifiers, in order, and more."""
+    """For each rule those of another licence that hold its identifiers, in order, and more; for a rule of ``LAST`` those of any other licence."""
 
     def within(a: list[str], b: list[str]) -> bool:
         rest = iter(b)
         return len(a) < len(b) and all(x in rest for x in a)
 
-    return [[j for j, (other, b) in enumerate(rules) if other != name and within(a, b)] for name, a in rules]
+    return [[j for j, (other, b) in enumerate(rules) if other != name and ((name in LAST and other not in LAST) or within(a, b))] for name, a in rules]
 
 
 def scan(docs: DataFrame, sentences: dict[str, str] | None = None, rules: list[tuple[str, list[str]]] | None = None) -> DataFrame:
