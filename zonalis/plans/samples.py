@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import cleaning, zonal
+from ..operators import cleaning, filling, zonal
 from .registry import Tables, query
 
 _ZONE = "l_returnflag || '/' || l_linestatus"
@@ -195,6 +195,20 @@ def spatial_mean_fill_5x5_staged(t: Tables) -> DataFrame:
     return cleaning.spatial_mean(a, ["layer"], "y", "x", "f3", 5).select("layer", "y", "x", F.round("filled", 6).alias("filled"))
 
 
+@query(
+    _ALL
+    + """, t AS (SELECT layer, y, x, value, coalesce(value, (lag(value) OVER w + lead(value) OVER w) / 2, lag(value) OVER w, lead(value) OVER w) AS tf FROM c WINDOW w AS (PARTITION BY y, x ORDER BY layer)),
+ d AS ("""
+    + _MEAN.format(keep="any_value(a.value) AS value, any_value(a.tf) AS tf, ", v="tf", o="f", s="t", r=1)
+    + """), n AS (SELECT a.layer, a.y, a.x, arg_min(b.f, ((a.y - b.y) * (a.y - b.y) + (a.x - b.x) * (a.x - b.x), b.y, b.x)) AS near FROM d a JOIN d b ON a.layer = b.layer AND b.f IS NOT NULL WHERE a.f IS NULL GROUP BY ALL)
+SELECT layer, y, x, round(coalesce(f, near), 6) AS filled, CASE WHEN value IS NOT NULL THEN 'observed' WHEN tf IS NOT NULL THEN 'temporal' WHEN f IS NOT NULL THEN 'spatial_3' WHEN near IS NOT NULL THEN 'interpolated' END AS source FROM d LEFT JOIN n USING (layer, y, x)"""
+)
+def fill_chain(t: Tables) -> DataFrame:
+    """Gaps from the layers before and after, then from windows of three, then from the nearest cell, with the source of each value."""
+    d = filling.chain(_cells(t), [], "layer", "y", "x", "value", (3,), windows=(3,), method="nearest")
+    return d.select("layer", "y", "x", F.round("filled", 6).alias("filled"), "source")
+
+
 @query(_ALL + ", d AS (" + _MEAN.format(keep="", v="value", o="f", s="c", r=1) + "), d5 AS (" + _MEAN.format(keep="", v="f", o="f5", s="d", r=2) + "), d7 AS (" + _MEAN.format(keep="", v="f5", o="f7", s="d5", r=3) + ") SELECT layer, y, x, round(f9, 6) AS filled FROM (" + _MEAN.format(keep="", v="f7", o="f9", s="d7", r=4) + ")")
 def spatial_mean_fill_all_stages(t: Tables) -> DataFrame:
     """Windows of 3, 5, 7 and 9, each over what the one before filled."""
