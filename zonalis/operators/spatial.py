@@ -226,15 +226,24 @@ def krige(cells: DataFrame, layer: list[str], x: str, y: str, value: str, model:
 
 
 def in_polygon(x: Column, y: Column, ring: Column) -> Column:
-    """Whether a point lies in a ring (array of structs x, y), by crossings; native, so it stays in the JVM."""
+    """Whether a point lies in a ring (array of structs x, y) or on its border, by crossings; native, so it stays in the JVM.
+
+    A point is on the border where it is an edge's end, or within an edge's
+    box and the edge's cross product with it is nought as computed.
+    """
     n = F.size(ring)
 
+    def touches(i: Column) -> Column:
+        a, b = F.element_at(ring, i), F.element_at(ring, F.when(i == n, 1).otherwise(i + 1))
+        boxed = x.between(F.least(a["x"], b["x"]), F.greatest(a["x"], b["x"])) & y.between(F.least(a["y"], b["y"]), F.greatest(a["y"], b["y"]))
+        return boxed & ((b["x"] - a["x"]) * (y - a["y"]) == (b["y"] - a["y"]) * (x - a["x"]))
+
     def crosses(i: Column) -> Column:
         a, b = F.element_at(ring, i), F.element_at(ring, F.when(i == n, 1).otherwise(i + 1))
         return ((a["y"] > y) != (b["y"] > y)) & (x < (b["x"] - a["x"]) * (y - a["y"]) / F.when(b["y"] == a["y"], 1e-300).otherwise(b["y"] - a["y"]) + a["x"])
 
-    hits = F.size(F.filter(F.sequence(F.lit(1), n), crosses))
-    return hits % 2 == 1
+    sides = F.sequence(F.lit(1), n)
+    return F.exists(sides, touches) | (F.size(F.filter(sides, crosses)) % 2 == 1)
 
 
 def ring_metrics(ring: Column) -> tuple[Column, Column]:
@@ -246,11 +255,11 @@ def ring_metrics(ring: Column) -> tuple[Column, Column]:
 
 
 def points_in_polygons(points: DataFrame, polygons: DataFrame, x: str, y: str, poly_id: str, ring: str, cell: float) -> DataFrame:
-    """Each point with the smallest id of the polygons that hold it, null if none: candidates by cells of the polygons' boxes."""
+    """Each point with the smallest id of the polygons that hold it, border included, null if none: candidates by cells of the polygons' boxes."""
     xs, ys = F.transform(F.col(ring), lambda p: p["x"]), F.transform(F.col(ring), lambda p: p["y"])
     span = lambda v: F.sequence(F.floor(F.array_min(v) / cell), F.floor(F.array_max(v) / cell))
     q = polygons.select(poly_id, ring, F.explode(span(xs)).alias("_cx"), span(ys).alias("_ys")).select(poly_id, ring, "_cx", F.explode("_ys").alias("_cy"))
-    p = points.withColumn("_row", F.xxhash64(x, y)).select("*", *joins.cells(x, y, cell))
+    p = points.select(x, y, *joins.cells(x, y, cell))
     hit = p.join(q, ["_cx", "_cy"]).where(in_polygon(F.col(x), F.col(y), F.col(ring)))
     first = hit.groupBy(x, y).agg(F.min(poly_id).alias(poly_id))
     return points.join(first, [x, y], "left")
