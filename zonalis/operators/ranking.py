@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import borda
 from ..sources import shared
+from . import order
 
 #: Least Borda score and largest rank range of the two upper levels.
 LEVELS = {"HIGH": (90.0, 2.0), "MEDIUM": (75.0, 4.0)}
@@ -96,10 +97,11 @@ def class_reliability(df: DataFrame, truth: str, predicted: str, least: int = LE
 
 
 def auc_ovr(long: DataFrame, truth: str) -> DataFrame:
-    """Area under the curve of each class against the rest, by mean ranks: equal scores are counted first, so a class is never sorted row by row in one task."""
+    """Area under the curve of each class against the rest, by mean ranks: equal scores are counted first, and the counts run over a global order, so no task holds a class."""
     freq = long.groupBy("class", "p").agg(F.count("*").alias("n"), F.count_if(F.col(truth) == F.col("class")).alias("pos"))
-    w = Window.partitionBy("class").orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
-    r = freq.withColumn("_rank", F.coalesce(F.sum("n").over(w), F.lit(0)) + (F.col("n") + 1) / 2)
+    at = order.running(freq, ["class", "p"], F.col("n"), "_before")
+    first = at.groupBy(F.col("class").alias("_k")).agg(F.min("_before").alias("_first"))
+    r = at.join(F.broadcast(first), F.col("class").eqNullSafe(F.col("_k"))).withColumn("_rank", F.col("_before") - F.col("_first") + (F.col("n") + 1) / 2)  # a row for each class
     g = r.groupBy("class").agg(F.sum(F.col("_rank") * F.col("pos")).alias("_s"), F.sum("pos").alias("positives"), F.sum("n").alias("_n"))
     neg = F.col("_n") - F.col("positives")
     return g.select("class", "positives", F.when((F.col("positives") > 0) & (neg > 0), (F.col("_s") - F.col("positives") * (F.col("positives") + 1) / 2) / (F.col("positives") * neg)).alias("auc"))

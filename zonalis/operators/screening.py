@@ -7,6 +7,8 @@ import re
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import order
+
 #: Least effect for each label, largest first.
 EFFECTS = {"kruskal_epsilon_squared": [(0.14, "large"), (0.06, "moderate"), (0.01, "small")], None: [(0.5, "strong"), (0.3, "moderate"), (0.1, "weak")]}
 #: Notes by whether the effect and its adjusted p-value hold.
@@ -213,10 +215,11 @@ def flows(df: DataFrame, stages: list[str], top: int = 10, other: str = "Other")
 
 
 def ecdf(df: DataFrame, by: str, value: str) -> DataFrame:
-    """by, value, share of the group's values at most that; from counts of equal values, so no task sorts a group's rows."""
+    """by, value, share of the group's values at most that; from counts of equal values over a global order, so no task holds a group."""
     counts = df.where(F.col(value).isNotNull()).groupBy(by, value).agg(F.count("*").alias("n"))
-    w = Window.partitionBy(by)
-    return counts.select(by, value, (F.sum("n").over(w.orderBy(value)) / F.sum("n").over(w)).alias("share"))
+    at = order.running(counts, [by, value], F.col("n"), "_before")
+    group = at.groupBy(F.col(by).alias("_k")).agg(F.min("_before").alias("_first"), F.sum("n").alias("_all"))
+    return at.join(group, F.col(by).eqNullSafe(F.col("_k"))).select(by, value, ((F.col("_before") - F.col("_first") + F.col("n")) / F.col("_all")).alias("share"))
 
 
 def binned_error(df: DataFrame, x: str, y: str, error: str, width: float, least: int) -> DataFrame:
