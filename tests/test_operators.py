@@ -82,6 +82,19 @@ def test_asof_and_nearest(spark):
     assert got == {1: (3, 2.0), 2: (3, 92.0), 3: (None, None)}  # a tie takes the smallest id
 
 
+def test_asof_frames_grow_from_the_first_row(spark):
+    """A frame that ends at the last row is read anew for each row: quadratic in a key's rows."""
+    left = spark.range(300).select((F.col("id") % 2).alias("k"), (F.col("id") * 7 % 101).cast("int").alias("t"), "id")
+    right = spark.range(60).select((F.col("id") % 2).alias("k"), (F.col("id") * 5 % 97).cast("int").alias("t"), F.col("id").alias("v"))
+    times = sorted((r["k"], r["t"], r["v"]) for r in right.collect())
+    for direction in ("backward", "forward"):
+        got = joins.asof(left, right, ["k"], "t", ["v"], direction)
+        assert "unboundedfollowing" not in got._jdf.queryExecution().toString().lower()
+        for r in got.collect():
+            side = [v for k, t, v in times if k == r["k"] and (t <= r["t"] if direction == "backward" else t >= r["t"])]
+            assert r["v"] == ((side[-1] if direction == "backward" else side[0]) if side else None)
+
+
 def test_nearest_2d_reaches_far_and_breaks_ties(spark):
     left = spark.createDataFrame([(1, 0.0, 0.0), (2, 500.0, -300.0), (3, None, 1.0)], "k int, x double, y double")
     right = spark.createDataFrame([(8, 3.0, 4.0), (7, -3.0, 4.0), (9, 3.1, 4.0)], "id int, rx double, ry double")

@@ -21,10 +21,9 @@ def asof(left: DataFrame, right: DataFrame, by: list[str], time: str, values: li
     w = Window.partitionBy(*by)
     hit = F.struct(*[F.col(f"_r_{v}").alias(v) for v in values])
     found = F.when(F.col("_is"), hit)
-    if direction == "backward":
-        got = F.last(found, True).over(w.orderBy(time, "_side").rowsBetween(Window.unboundedPreceding, 0))
-    else:
-        got = F.first(found, True).over(w.orderBy(time, "_side").rowsBetween(0, Window.unboundedFollowing))
+    # forward runs from the end: a frame that starts at the first row grows by a row, one that ends at the last is read anew for every row
+    order = [F.col(c) if direction == "backward" else F.col(c).desc() for c in (time, "_side")]
+    got = F.last(found, True).over(w.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
     return both.withColumn("_got", got).where(~F.col("_is")).select(*left.columns, *[F.col(f"_got.{v}").alias(v) for v in values])
 
 
