@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources import shared
+from .zonal import finite
 
 
 def asof(left: DataFrame, right: DataFrame, by: list[str], time: str, values: list[str], direction: str = "backward", allow_exact: bool = True) -> DataFrame:
@@ -62,11 +63,21 @@ def cells(x: str, y: str, size: float) -> list[Column]:
     return [F.floor(F.col(x) / size).cast("long").alias("_cx"), F.floor(F.col(y) / size).cast("long").alias("_cy")]
 
 
+def _around(df: DataFrame) -> DataFrame:
+    """Each row in its cell and the eight beside it."""
+    beside = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)]))
+    return df.select("*", beside.alias("_o")).withColumn("_cx", F.col("_cx") + F.col("_o.i")).withColumn("_cy", F.col("_cy") + F.col("_o.j")).drop("_o")
+
+
+def _side(radius: float) -> float:
+    """A cell's side for ``radius``: wider by a trifle, so that rounding parts no pair by two cells."""
+    return radius * (1 + 2.0**-20)
+
+
 def within(left: DataFrame, right: DataFrame, x: str, y: str, rx: str, ry: str, radius: float, by: list[str] | None = None) -> DataFrame:
     """Pairs at most ``radius`` apart (and equal in ``by``), with ``distance``: the right side is copied to the nine cells around it, the join is on cells."""
-    l = left.select("*", *cells(x, y, radius))
-    around = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)]))
-    r = right.select("*", *cells(rx, ry, radius)).select("*", around.alias("_o")).withColumn("_cx", F.col("_cx") + F.col("_o.i")).withColumn("_cy", F.col("_cy") + F.col("_o.j")).drop("_o")
+    l = left.select("*", *cells(x, y, _side(radius)))
+    r = _around(right.select("*", *cells(rx, ry, _side(radius))))
     out = l.join(r, [*(by or []), "_cx", "_cy"]).withColumn("distance", F.hypot(F.col(x) - F.col(rx), F.col(y) - F.col(ry)))
     return out.where(F.col("distance") <= radius).drop("_cx", "_cy")
 
@@ -78,36 +89,64 @@ def idw(targets: DataFrame, donors: DataFrame, key: str, x: str, y: str, rx: str
     return targets.select(key).join(got, key, "left")
 
 
-def nearest_2d(left: DataFrame, right: DataFrame, keys: list[str], x: str, y: str, rx: str, ry: str, ties: list[str], values: list[str], by: list[str] | None = None, most: float | None = None) -> DataFrame:
+def _places(right: DataFrame, by: list[str], rx: str, ry: str, row: Column, key: str | None) -> DataFrame:
+    """A row for each place: ``_c``, its least ``row``; with ``key`` also the least of another key, so that whoever leaves out a key finds the other."""
+    spot = [*by, rx, ry]
+    if key is None:
+        return right.groupBy(*spot).agg(F.array(F.struct(F.min(row).alias("r"))).alias("_c"))
+    each = right.where(F.col(key).isNotNull()).groupBy(*spot, F.col(key).alias("_o")).agg(F.min(row).alias("_r"))
+    two = each.withColumn("_k", F.row_number().over(Window.partitionBy(*spot).orderBy("_r"))).where("_k <= 2")
+    return two.groupBy(*spot).agg(F.array_sort(F.collect_list(F.struct(F.col("_r").alias("r"), F.col("_o").alias("o")))).alias("_c"))
+
+
+def nearest_2d(left: DataFrame, right: DataFrame, keys: list[str], x: str, y: str, rx: str, ry: str, ties: list[str], values: list[str], by: list[str] | None = None, most: float | None = None, other: tuple[str, str] | None = None, crowd: int = 16) -> DataFrame:
     """Each left row (unique by ``keys``) with ``values`` of the right row nearest to it, and ``distance``; of equal distances the least ``ties``.
 
-    The first radius is that of a disc for each right row on average; rows
-    without a neighbour try again with the radius doubled, so a far one costs
-    no near one anything.  Beyond ``most`` (none: anywhere) the result is null,
-    as it is for a row without coordinates.
+    Right rows of one place are one.  The first radius is that of a disc for
+    each place on average, halved while cells would pair more than ``crowd``
+    places a row; rows without a neighbour try again with the radius doubled,
+    so a far one costs no near one anything.  Beyond ``most`` (none: anywhere)
+    the result is null, as it is for a row without finite coordinates.
+    ``other`` (a left and a right column): only right rows that differ in it.
     """
     by = by or []
+    placed = lambda d, a, b: d.where(finite(F.col(a).cast("double")).isNotNull() & finite(F.col(b).cast("double")).isNotNull())
     box = lambda d, a, b: d.agg(F.min(a).alias("a"), F.max(a).alias("b"), F.min(b).alias("c"), F.max(b).alias("d"), F.count("*").alias("n")).first()
-    p, q = box(left, x, y), box(right, rx, ry)
     found = left.sparkSession.createDataFrame([], left.select(*keys).schema)
-    near = F.struct("distance", *ties, *[F.col(v).alias(f"_v{i}") for i, v in enumerate(values)])
-    empty = right.limit(0).select(F.lit(0.0).alias("distance"), *ties, *values).select(near.alias("_b"))
+    row = F.struct(*[F.col(v).alias(f"_t{i}") for i, v in enumerate(ties)], *[F.col(v).alias(f"_v{i}") for i, v in enumerate(values)])
+    picked = F.get("_c", F.lit(0)) if other is None else F.get(F.filter("_c", lambda c: c["o"] != F.col("_own")), F.lit(0))
+    near = F.struct("distance", F.col("_p.r").alias("r"))
+    empty = right.limit(0).select(F.struct(F.lit(0.0).alias("distance"), row.alias("r")).alias("_b"))
     found = found.join(empty, F.lit(False), "left")
-    if None not in (p["a"], p["c"], q["a"], q["c"]):
+    own = [] if other is None else [F.col(other[0]).alias("_own")]
+    rest = shared.stored(placed(left, x, y).select(*keys, *[c for c in by if c not in keys], *[c for c in (x, y) if c not in keys], *own), "targets")
+    spots = shared.stored(_places(placed(right, rx, ry), by, rx, ry, row, other and other[1]), "places")
+    p, q = box(rest, x, y), box(spots, rx, ry)
+    if p["n"] and q["n"]:
         wide, high = max(p["b"], q["b"]) - min(p["a"], q["a"]), max(p["d"], q["d"]) - min(p["c"], q["c"])
         end = float((wide * wide + high * high) ** 0.5) * 1.000001 or 1.0
         end = end if most is None else min(end, most)
-        radius = min(end, max(end / 2**20, float(max(wide, 1e-9) * max(high, 1e-9) / q["n"]) ** 0.5))
-        rest = shared.stored(left.select(*keys, *[c for c in by if c not in keys], *[c for c in (x, y) if c not in keys]), "targets")
-        slim = right.select(*dict.fromkeys([*by, rx, ry, *ties, *values]))
+        far = max(abs(float(v)) for b in (p, q) for v in (b["a"], b["b"], b["c"], b["d"]))
+        least = min(end, max(end / 2**40, far / 2**30))  # below, rounding would blur the cells
+        radius = min(end, max(least, float(max(wide, 1e-9) * max(high, 1e-9) / q["n"]) ** 0.5))
+
+        def pairs() -> float:
+            """Pairs that the cells of this radius would meet."""
+            count = lambda d, a, b, n: d.select(*by, *cells(a, b, _side(radius))).groupBy(*by, "_cx", "_cy").agg(F.count("*").alias(n))
+            met = count(rest, x, y, "_l").join(_around(count(spots, rx, ry, "_r")), [*by, "_cx", "_cy"])
+            return met.agg(F.sum(F.col("_l").cast("double") * F.col("_r"))).first()[0] or 0.0
+
+        while radius > least and pairs() > crowd * (p["n"] + q["n"]):
+            radius = max(least, radius / 2)
         while True:
-            got = shared.stored(within(rest, slim, x, y, rx, ry, radius, by).groupBy(*keys).agg(F.min(near).alias("_b")), "nearest")
+            met = within(rest, spots, x, y, rx, ry, radius, by).withColumn("_p", picked).where("_p is not null")
+            got = shared.stored(met.groupBy(*keys).agg(F.min(near).alias("_b")), "nearest")
             found = found.unionByName(got)
             rest = shared.stored(rest.join(got, keys, "left_anti"), "targets")
             if radius >= end or rest.isEmpty():
                 break
             radius = min(end, radius * 2)
-    return left.join(found, keys, "left").select(*left.columns, *[F.col(f"_b._v{i}").alias(v) for i, v in enumerate(values)], F.col("_b.distance").alias("distance"))
+    return left.join(found, keys, "left").select(*left.columns, *[F.col(f"_b.r._v{i}").alias(v) for i, v in enumerate(values)], F.col("_b.distance").alias("distance"))
 
 
 def unique_key(df: DataFrame, keys: list[str], what: str = "right side") -> DataFrame:

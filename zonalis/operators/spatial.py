@@ -268,7 +268,7 @@ def points_in_polygons(points: DataFrame, polygons: DataFrame, x: str, y: str, p
 def synthetic(minority: DataFrame, key: str, x: str, y: str, radius: float, seed: int = 0) -> DataFrame:
     """One new point for each point with a neighbour: between it and its nearest, at a share drawn by hash."""
     q = minority.select(F.col(key).alias("_b"), F.col(x).alias("_x2"), F.col(y).alias("_y2"))
-    near = joins.within(minority, q, x, y, "_x2", "_y2", radius).where(F.col(key) != F.col("_b"))
-    best = near.groupBy(key, x, y).agg(F.min(F.struct("distance", "_b", "_x2", "_y2")).alias("n"))
+    rows = minority.select(key, x, y).distinct()
+    best = joins.nearest_2d(rows, q, [key, x, y], x, y, "_x2", "_y2", ["_b"], ["_x2", "_y2"], most=radius, other=(key, "_b")).where("distance is not null")
     u = F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1000003)) / F.lit(1000003.0)
-    return best.select(key, (F.col(x) + (F.col("n._x2") - F.col(x)) * u).alias(x), (F.col(y) + (F.col("n._y2") - F.col(y)) * u).alias(y))
+    return best.select(key, (F.col(x) + (F.col("_x2") - F.col(x)) * u).alias(x), (F.col(y) + (F.col("_y2") - F.col(y)) * u).alias(y))
