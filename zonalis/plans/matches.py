@@ -74,8 +74,8 @@ def nearest_point_join(t: Tables) -> DataFrame:
     p = points(t)
     right = p.where("label = 0").select(F.col("vec_id").alias("near_id"), F.col("x").alias("rx"), F.col("y").alias("ry"))
     left = p.where("label <> 0")
-    best = joins.within(left, right, "x", "y", "rx", "ry", 0.25).groupBy("vec_id").agg(F.min(F.struct("distance", "near_id")).alias("b"))
-    return left.select("vec_id").join(best, "vec_id", "left").select("vec_id", "b.near_id", F.round("b.distance", 6).alias("distance"))
+    got = joins.nearest_2d(left, right, ["vec_id"], "x", "y", "rx", "ry", ["near_id"], ["near_id"], most=0.25)
+    return got.select("vec_id", "near_id", F.round("distance", 6).alias("distance"))
 
 
 @query(_POINTS + """, d AS (SELECT a.vec_id, b.vec_id AS near_id, sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) AS dist FROM p a JOIN p b ON b.label = 0 AND b.vec_id % 40 = 0 WHERE a.label <> 0)
