@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from . import joins
+from . import joins, zonal
 
 
-def fences(df: DataFrame, keys: list[str], value: str, k: float = 1.5, q: tuple[float, float] = (0.25, 0.75)) -> DataFrame:
-    """q1, q3, lower, upper and n of each key."""
-    p = F.percentile(F.col(value), F.array(F.lit(q[0]), F.lit(q[1])))
-    out = df.groupBy(*keys).agg(p.alias("_q"), F.count(value).alias("n"))
+def fences(df: DataFrame, keys: list[str], value: str, k: float = 1.5, q: tuple[float, float] = (0.25, 0.75), many: bool = False) -> DataFrame:
+    """q1, q3, lower, upper and n of each key; ``many``: groups are many, and each one's values fit into one buffer."""
+    if many:
+        out = df.groupBy(*keys).agg(F.percentile(F.col(value), F.array(F.lit(q[0]), F.lit(q[1]))).alias("_q"), F.count(value).alias("n"))
+    else:
+        out = zonal.quantiles(df, keys, value, list(q)).withColumnRenamed("q", "_q")
     out = out.select(*keys, "n", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("q3"))
     iqr = F.col("q3") - F.col("q1")
     return out.withColumn("lower", F.col("q1") - k * iqr).withColumn("upper", F.col("q3") + k * iqr)
@@ -22,16 +24,16 @@ def fence_clean(df: DataFrame, keys: list[str], value: str, least: int = 20, k:
 
     The bounds are one row per key; the adaptive planner broadcasts them while they are small.
     """
-    bounds = fences(df, keys, value, k).select(*keys, "lower", "upper", (F.col("n") >= least).alias("fence_applied"))
+    bounds = fences(df, keys, value, k, many=True).select(*keys, "lower", "upper", (F.col("n") >= least).alias("fence_applied"))
     out = df.join(bounds, keys)
     outside = F.col("fence_applied") & ((F.col(value) < F.col("lower")) | (F.col(value) > F.col("upper")))
     return out.withColumn("cleaned", F.when(~outside, F.col(value)))
 
 
-def zscore(df: DataFrame, keys: list[str], value: str, limit: float = 3.0) -> DataFrame:
-    """Adds z (sample deviation) and is_outlier (strictly beyond ``limit``)."""
+def zscore(df: DataFrame, keys: list[str], value: str, limit: float = 3.0, few: bool = False) -> DataFrame:
+    """Adds z (sample deviation) and is_outlier (strictly beyond ``limit``); ``few``: keys are few, so their bounds are broadcast and no row moves."""
     stats = df.groupBy(*keys).agg(F.avg(value).alias("_m"), F.stddev_samp(value).alias("_s"))
-    joined = df.join(stats, keys) if keys else df.crossJoin(F.broadcast(stats))  # one row
+    joined = df.join(F.broadcast(stats) if few else stats, keys) if keys else df.crossJoin(F.broadcast(stats))  # one row
     z = F.when(F.col("_s") > 0, (F.col(value) - F.col("_m")) / F.col("_s"))
     return joined.withColumn("z", z).withColumn("is_outlier", F.coalesce(F.abs(F.col("z")) > limit, F.lit(False))).drop("_m", "_s")
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -52,33 +55,55 @@ def pooled(df: DataFrame, keys: list[str], value: str, stats: list[str]) -> Data
     return out.select(*keys, *[F.col("_q")[list(at).index(s)].alias(s) if s in at else F.col(s) for s in names])
 
 
-def bracketed_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float], accuracy: int = 1000) -> DataFrame:
-    """The exact interpolated quantiles of ``pooled``, without any group's values in one buffer.
+def at_ranks(df: DataFrame, keys: list[str], value: str, ranks: dict[str, tuple[float, Callable[[Column], Column]]], accuracy: int = 5000) -> DataFrame:
+    """keys, n (values that aren't null), and a column for each of ``ranks``: the value at that place, from 0, in the order of a group's values; NaN comes last.
 
-    A sketch brackets each wanted rank; counts below the bracket are exact; only
-    the rows inside the brackets, a few thousandths of a group, are ranked.
-    For groups too large for ``percentile``.
+    A rank is given as about which share of the values lies below it, and as a
+    function of n.  A sketch brackets each; values outside the brackets are
+    only counted, with the least and the greatest between two edges, so what
+    is ranked is a few thousandths of a group's distinct values, and no task
+    holds a group.  Groups are few: their edges are broadcast.  A rank that its
+    bracket missed is an error when the plan runs.
     """
-    v = finite(F.col(value).cast("double"))
-    rows = df.select(*keys, v.alias("_v")).where(F.col("_v").isNotNull())
     slack = 4.0 / accuracy
-    edges = [x for p in probs.values() for x in (max(0.0, p - slack), min(1.0, p + slack))]
-    sketch = rows.groupBy(*keys).agg(F.percentile_approx("_v", edges, accuracy * 4).alias("_e"), F.count("*").alias("_n"))
-    names = list(probs)
-    spans = F.explode(F.array(*[F.struct(F.lit(k).alias("name"), F.lit(float(p)).alias("p"), F.col("_e")[2 * i].alias("lo"), F.col("_e")[2 * i + 1].alias("hi")) for i, (k, p) in enumerate(probs.items())]))
-    spans = sketch.select(*keys, "_n", spans.alias("s")).select(*keys, "_n", "s.*")
-    counts = rows.join(spans, keys)
-    below = counts.groupBy(*keys, "name").agg(F.count_if(F.col("_v") < F.col("lo")).alias("below"))
-    inner = counts.where(F.col("_v").between(F.col("lo"), F.col("hi"))).join(below, [*keys, "name"])
-    by = Window.partitionBy(*keys, "name").orderBy("_v")
-    ranked = inner.withColumn("at", F.row_number().over(by) - 1 + F.col("below")).withColumn("want", F.col("p") * (F.col("_n") - 1))
-    pair = ranked.groupBy(*keys, "name").agg(
-        F.max(F.when(F.col("at") == F.floor("want"), F.col("_v"))).alias("a"),
-        F.max(F.when(F.col("at") == F.ceil("want"), F.col("_v"))).alias("b"),
-        F.max(F.col("want") - F.floor("want")).alias("f"),
-    )
-    out = pair.withColumn("q", F.col("a") + (F.col("b") - F.col("a")) * F.col("f"))
-    return out.groupBy(*keys).pivot("name", names).agg(F.first("q"))
+    edges = [e for p, _ in ranks.values() for e in (max(0.0, p - slack), min(1.0, p + slack))]
+    rows = df.select(*keys, F.col(value).cast("double").alias("_v"))
+    sketch = rows.groupBy(*keys).agg(F.percentile_approx(F.when(F.isnan("_v"), float("inf")).otherwise(F.col("_v")), edges, accuracy).alias("_e"))  # a sketch has no place for NaN
+    sketch = sketch.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.transform("_e", lambda e, i: F.when((e == float("inf")) & (i % 2 == 1), float("nan")).otherwise(e)).alias("_e"))
+    on = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    met = rows.join(F.broadcast(sketch), reduce(Column.__and__, on)) if keys else rows.crossJoin(F.broadcast(sketch))  # a row for each group
+    edge = [F.col("_e")[i] for i in range(len(edges))]
+    inside = reduce(Column.__or__, [F.col("_v").between(lo, hi) for lo, hi in zip(edge[::2], edge[1::2])])
+    above = reduce(Column.__add__, [(F.col("_v") > e).cast("int") for e in edge])
+    parts = met.groupBy(*keys, above.alias("_s"), F.when(inside, F.col("_v")).alias("_i")).agg(F.count("_v").alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    by = Window.partitionBy(*keys)
+    parts = parts.withColumn("_n", F.sum("_c").over(by)).withColumn("_b", F.sum("_c").over(by.orderBy(F.col("_lo").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)) - F.col("_c"))
+
+    def value_at(rank: Column) -> Column:
+        got = F.when((F.col("_lo") == F.col("_hi")) | (rank == F.col("_b")), F.col("_lo")).when(rank == F.col("_b") + F.col("_c") - 1, F.col("_hi"))
+        return F.max(F.when((rank >= F.col("_b")) & (rank < F.col("_b") + F.col("_c")), got.otherwise(F.raise_error(F.lit("a rank lies outside its bracket")).cast("double"))))
+
+    return parts.groupBy(*keys).agg(F.coalesce(F.max("_n"), F.lit(0)).cast("long").alias("n"), *[value_at(f(F.col("_n")).cast("long")).alias(k) for k, (_, f) in ranks.items()])
+
+
+def quantiles(df: DataFrame, keys: list[str], value: str, probs: list[float], accuracy: int = 5000, more: dict | None = None) -> DataFrame:
+    """keys, n, q: the values of ``percentile`` for ``probs``, to the bit, as an array (of nulls without values), by ``at_ranks``, and ``more`` of its ranks."""
+    place = lambda p, n: F.lit(float(p)) * (n - 1)
+    ranks = {f"_{s}{i}": (p, lambda n, p=p, f=f: f(place(p, n))) for i, p in enumerate(probs) for s, f in (("a", F.floor), ("b", F.ceil))}
+    got = at_ranks(df, keys, value, ranks | (more or {}), accuracy)
+
+    def between(i: int, p: float) -> Column:
+        a, b, at = F.col(f"_a{i}"), F.col(f"_b{i}"), place(p, F.col("n"))
+        return F.when(a == b, a).otherwise((F.ceil(at) - at) * a + (at - F.floor(at)) * b)
+
+    return got.select(*keys, "n", F.array(*[between(i, p) for i, p in enumerate(probs)]).alias("q"), *(more or {}))
+
+
+def bracketed_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float], accuracy: int = 1000) -> DataFrame:
+    """The exact interpolated quantiles of ``pooled`` by name, without any group's values in one buffer; groups without values are left out."""
+    v = finite(F.col(value).cast("double"))
+    q = quantiles(df.select(*keys, v.alias("_v")).where("_v is not null"), keys, "_v", list(probs.values()), accuracy * 4).where("n > 0")
+    return q.select(*keys, *[F.col("q")[i].alias(k) for i, k in enumerate(probs)])
 
 
 def derived(prefix: str = "") -> dict[str, Column]:
