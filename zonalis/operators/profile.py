@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import special
+from ..sources import shared
+from . import zonal
 
 
 def kinds(df: DataFrame) -> dict[str, list[str]]:
@@ -36,8 +38,9 @@ def _long(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def numeric_summary(df: DataFrame, columns: list[str]) -> DataFrame:
     """Moments and quartiles; skewness and kurtosis corrected for bias."""
-    q = F.percentile("v", F.array(*[F.lit(x) for x in (0.25, 0.5, 0.75)]))
-    out = _long(df, columns).groupBy("column_name").agg(F.count("*").alias("n"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"), F.min("v").alias("min"), q.alias("_q"), F.max("v").alias("max"), F.skewness("v").alias("_g1"), F.kurtosis("v").alias("_g2"), F.count_if(F.col("v") == 0).alias("zeros"), F.count_if(F.col("v") < 0).alias("negatives"))
+    long = _long(df, columns)
+    q = zonal.quantiles(long, ["column_name"], "v", [0.25, 0.5, 0.75]).select("column_name", F.col("q").alias("_q"))
+    out = long.groupBy("column_name").agg(F.count("*").alias("n"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"), F.min("v").alias("min"), F.max("v").alias("max"), F.skewness("v").alias("_g1"), F.kurtosis("v").alias("_g2"), F.count_if(F.col("v") == 0).alias("zeros"), F.count_if(F.col("v") < 0).alias("negatives")).join(q, "column_name")
     n = F.col("n").cast("double")
     skew = F.when(n > 2, F.col("_g1") * F.sqrt(n * (n - 1)) / (n - 2))
     kurt = F.when(n > 3, (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * F.col("_g2") + 6))
@@ -47,18 +50,17 @@ def numeric_summary(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def robust_summary(df: DataFrame, columns: list[str], trim: float = 0.1) -> DataFrame:
     """Trimmed mean (10 values at least), normalised MAD, tail percentiles, t-based 95 % interval of the mean."""
-    v = _long(df, columns)
-    p = F.percentile("v", F.array(*[F.lit(x) for x in (0.01, 0.05, 0.5, 0.95, 0.99)]))
-    base = v.groupBy("column_name").agg(F.count("*").alias("n"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("sd"), p.alias("_p"))
-    # ranks come from counts of equal values, so that no task sorts a whole column
-    freq = v.groupBy("column_name", "v").agg(F.count("*").alias("c"))
-    by = Window.partitionBy("column_name").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    cut = F.floor(F.col("n") * trim)
-    ranked = freq.withColumn("hi", F.sum("c").over(by)).withColumn("lo", F.col("hi") - F.col("c")).join(base.select("column_name", "n"), "column_name")
-    take = F.greatest(F.least("hi", F.col("n") - cut) - F.greatest("lo", cut), F.lit(0))
-    trimmed = ranked.groupBy("column_name").agg((F.sum(F.col("v") * take) / F.sum(take)).alias("trimmed_mean"))
-    dev = freq.join(base.select("column_name", F.col("_p")[2].alias("m")), "column_name")
-    mad = dev.groupBy("column_name").agg((F.percentile(F.abs(F.col("v") - F.col("m")), F.lit(0.5), F.col("c")) / F.lit(0.6744897501960817)).alias("mad"))
+    v, k = _long(df, columns), ["column_name"]
+    # the values at both cuts; what lies between is summed, and of the cuts' own rows those that are left
+    cut = lambda n: F.floor(n * trim)
+    places = shared.stored(zonal.quantiles(v, k, "v", [0.01, 0.05, 0.5, 0.95, 0.99], more={"lo": (trim, cut), "hi": (1 - trim, lambda n: n - cut(n) - 1)}).withColumnRenamed("q", "_p"), "places")
+    base = v.groupBy(*k).agg(F.avg("v").alias("mean"), F.stddev_samp("v").alias("sd")).join(places, "column_name")
+    x, lo, hi = F.col("v"), F.col("lo"), F.col("hi")
+    sums = v.join(F.broadcast(places), "column_name").groupBy(*k, "n", "lo", "hi").agg(F.count_if(x <= lo).alias("_l"), F.count_if(x < hi).alias("_h"), F.coalesce(F.sum(F.when((x > lo) & (x < hi), x)), F.lit(0.0)).alias("_s"))  # a row for each column
+    kept = F.col("_s") + lo * (F.col("_l") - cut(F.col("n"))) + hi * (F.col("n") - cut(F.col("n")) - F.col("_h"))
+    trimmed = sums.select("column_name", F.when(lo < hi, kept / (F.col("n") - 2 * cut(F.col("n")))).when(lo == hi, lo).alias("trimmed_mean"))
+    dev = v.join(F.broadcast(places.select("column_name", F.col("_p")[2].alias("m"))), "column_name").select("column_name", F.abs(x - F.col("m")).alias("v"))  # a row for each column
+    mad = zonal.quantiles(dev, k, "v", [0.5]).select("column_name", (F.col("q")[0] / F.lit(0.6744897501960817)).alias("mad"))
     out = base.join(trimmed, "column_name").join(mad, "column_name")
     half = special.t_quantile_column(0.975, F.col("n") - 1) * F.col("sd") / F.sqrt("n")
     return out.select("column_name", "n", F.when(F.col("n") >= 10, F.col("trimmed_mean")).alias("trimmed_mean"), "mad", *[F.col("_p")[i].alias(k) for i, k in enumerate(("p1", "p5", "median", "p95", "p99"))], (F.col("mean") - half).alias("ci_low"), (F.col("mean") + half).alias("ci_high"))
