@@ -7,7 +7,7 @@ import re
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from . import order
+from . import order, zonal
 
 #: Least effect for each label, largest first.
 EFFECTS = {"kruskal_epsilon_squared": [(0.14, "large"), (0.06, "moderate"), (0.01, "small")], None: [(0.5, "strong"), (0.3, "moderate"), (0.1, "weak")]}
@@ -193,7 +193,7 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
 
 def box_plot(df: DataFrame, by: str, column: str, reach: float = 1.5) -> DataFrame:
     """Quartiles, and the whiskers: the outermost values within ``reach`` interquartile ranges."""
-    q = df.groupBy(by).agg(F.percentile(column, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q")).select(by, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
+    q = zonal.quantiles(df, [by], column, [0.25, 0.5, 0.75]).select(by, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
     low, high = F.col("q1") - reach * (F.col("q3") - F.col("q1")), F.col("q3") + reach * (F.col("q3") - F.col("q1"))
     met = df.join(F.broadcast(q), by)  # a row for each group of a plot
     inner = F.col(column).between(low, high)
