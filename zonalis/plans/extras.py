@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalar
-from ..operators import cleaning, order, stats, tiling
+from ..operators import cleaning, order, stats, tiling, zonal
 from .decisions import _VOTED, voted
 from .matches import _POINTS, points
 from .registry import Tables, query
@@ -98,7 +98,7 @@ def feature_selection_proposal(t: Tables) -> DataFrame:
 SELECT count(*) AS n, count(*) FILTER (l_extendedprice < q1 - 0.5 * (q3 - q1) OR l_extendedprice > q3 + 0.5 * (q3 - q1)) AS nulled, round(avg(CASE WHEN l_extendedprice < q1 - 0.5 * (q3 - q1) OR l_extendedprice > q3 + 0.5 * (q3 - q1) THEN m ELSE l_extendedprice END), 4) AS mean_after FROM lineitem, s""")
 def model_feature_cleaning(t: Tables) -> DataFrame:
     b = cleaning.fences(t.lineitem, [], "l_extendedprice", 0.5)
-    m = t.lineitem.agg(F.median("l_extendedprice").alias("m"))
+    m = zonal.quantiles(t.lineitem, [], "l_extendedprice", [0.5]).select(F.col("q")[0].alias("m"))
     d = t.lineitem.crossJoin(F.broadcast(b)).crossJoin(F.broadcast(m))  # one row each
     out = (F.col("l_extendedprice") < F.col("lower")) | (F.col("l_extendedprice") > F.col("upper"))
     return d.agg(F.count("*").alias("n"), F.count_if(out).alias("nulled"), F.round(F.avg(F.when(out, F.col("m")).otherwise(F.col("l_extendedprice"))), 4).alias("mean_after"))
