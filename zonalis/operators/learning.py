@@ -11,7 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import order
+from . import order, zonal
 
 #: Candidate models by name.
 MODELS: dict[str, Callable] = {
@@ -24,8 +24,9 @@ MODELS: dict[str, Callable] = {
 
 def medians(df: DataFrame, columns: list[str]) -> dict[str, float]:
     """The exact median of each column that has one."""
-    m = df.agg(*[F.percentile(c, F.lit(0.5)).alias(c) for c in columns]).first()
-    return {c: float(m[c]) for c in columns if m[c] is not None}
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("v")) for c in columns])).alias("e")).select("e.*")
+    m = {r["c"]: r["m"] for r in zonal.quantiles(long, ["c"], "v", [0.5]).select("c", F.col("q")[0].alias("m")).collect()}  # a row for each column
+    return {c: m[c] for c in columns if m.get(c) is not None}
 
 
 def labelled(df: DataFrame, target: str) -> DataFrame:
