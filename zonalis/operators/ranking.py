@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import borda
@@ -44,7 +44,11 @@ def confidence(ranked: DataFrame, predicted: DataFrame, least_models: int = 3) -
     tie = mean.join(top, "row").groupBy("row").agg(F.count_if(F.abs(score - F.col("_top")) <= 1e-9).alias("_n"))
     own = ranked.join(predicted.select("row", "prediction"), "row").where(F.col("class") == F.col("prediction"))
     own = own.groupBy("row").agg(F.first("prediction").alias("prediction"), F.avg("borda").alias("mean_borda"), F.avg("rank").alias("mean_rank"), F.percentile("rank", F.lit(0.5)).alias("median_rank"), F.stddev_pop("rank").alias("rank_std"), (F.percentile("rank", F.lit(0.75)) - F.percentile("rank", F.lit(0.25))).alias("rank_iqr"), (F.max("rank") - F.min("rank")).alias("rank_range"), F.count("*").alias("n_models"), F.avg((F.col("rank") == 1).cast("double")).alias("top1_agreement"))
-    out = own.join(top, "row").join(tie, "row").withColumn("tied", F.col("_n") > 1).withColumn("agrees", F.col("winner") == F.col("prediction"))
+    return _levelled(own.join(top, "row").join(tie, "row"), least_models)
+
+
+def _levelled(out: DataFrame, least_models: int) -> DataFrame:
+    out = out.withColumn("tied", F.col("_n") > 1).withColumn("agrees", F.col("winner") == F.col("prediction"))
     ok = F.col("n_models") >= least_models
     fit = {k: F.col("agrees") & ~F.col("tied") & (F.col("mean_borda") >= b) & (F.col("rank_range") <= r) for k, (b, r) in LEVELS.items()}
     level = F.when(ok & fit["HIGH"], "HIGH").when(ok & fit["MEDIUM"], "MEDIUM").otherwise("LOW")
@@ -52,6 +56,43 @@ def confidence(ranked: DataFrame, predicted: DataFrame, least_models: int = 3) -
     return out.withColumn("level", level).withColumn("valid", ok).withColumn("reason", why.otherwise(F.concat(F.lit("rank_confidence_"), F.lower("level")))).drop("_n", "_top")
 
 
+def class_means(ps: Column) -> Column:
+    """Of an ensemble (an array over models of arrays over classes): the mean probability of each class."""
+    return F.transform(ps[0], lambda _, k: F.aggregate(ps, F.lit(0.0), lambda s, m: s + m[k]) / F.size(ps))
+
+
+def class_ranks(ps: Column) -> Column:
+    """Of an ensemble: the rank of each class (mean of ties, best 1) by each model, as ``ranks`` has it."""
+    return F.transform(ps, lambda m: F.transform(m, lambda p: F.size(F.filter(m, lambda x: x > p)) + (F.size(F.filter(m, lambda x: x == p)) + 1) / F.lit(2.0)))
+
+
+def first_best(scores: Column, places: int) -> Column:
+    """The class, from 1, of the greatest score as rounded; ties: the first."""
+    near = F.transform(scores, lambda x: F.round(x, places))
+    return F.array_position(near, F.array_max(near)).cast("int")
+
+
+def confidence_within(df: DataFrame, ps: str = "ps", least_models: int = 3) -> DataFrame:
+    """Adds ``confidence`` to rows that hold an ensemble each (classes are numbered from 1): no row moves."""
+    sum_ = lambda a: F.aggregate(a, F.lit(0.0), lambda s, x: s + x)
+    d = df.withColumn("_m", class_means(F.col(ps))).withColumn("_r", class_ranks(F.col(ps))).withColumn("prediction", first_best(F.col("_m"), 12))
+    d = d.withColumn("_b", F.transform("_r", lambda m: F.transform(m, lambda r: borda(r, F.size(m).cast("double")))))
+    d = d.withColumn("_s", F.transform(class_means(F.col("_b")), lambda x: F.round(x, 9))).withColumn("_top", F.array_max("_s"))
+    d = d.withColumn("winner", first_best(F.col("_s"), 9)).withColumn("_n", F.size(F.filter("_s", lambda x: F.abs(x - F.col("_top")) <= 1e-9)))
+    d = d.withColumn("_own", F.array_sort(F.transform("_r", lambda m: m[F.col("prediction") - 1]))).withColumn("n_models", F.size("_own").cast("long"))
+    d = d.withColumn("mean_borda", sum_(F.transform("_b", lambda m: m[F.col("prediction") - 1])) / F.col("n_models")).withColumn("mean_rank", sum_(F.col("_own")) / F.col("n_models"))
+
+    def quantile(q: float) -> Column:
+        at = F.lit(q) * (F.col("n_models") - 1)
+        a, b = (F.col("_own")[f(at).cast("int")] for f in (F.floor, F.ceil))
+        return F.when(a == b, a).otherwise((F.ceil(at) - at) * a + (at - F.floor(at)) * b)
+
+    d = d.withColumn("median_rank", quantile(0.5)).withColumn("rank_iqr", quantile(0.75) - quantile(0.25)).withColumn("rank_range", F.array_max("_own") - F.array_min("_own"))
+    d = d.withColumn("rank_std", F.sqrt(sum_(F.transform("_own", lambda x: (x - F.col("mean_rank")) ** 2)) / F.col("n_models")))
+    d = d.withColumn("top1_agreement", F.size(F.filter("_own", lambda x: x == 1)) / F.col("n_models"))
+    return _levelled(d, least_models).drop("_m", "_r", "_b", "_s", "_own")
+
+
 def confusion(df: DataFrame, truth: str, predicted: str) -> DataFrame:
     return df.groupBy(F.col(truth).alias("truth"), F.col(predicted).alias("predicted")).agg(F.count("*").alias("n"))
 
@@ -74,14 +115,16 @@ def metrics(conf: DataFrame) -> DataFrame:
     return m.agg((F.sum("correct") / F.sum("support")).alias("accuracy"), F.avg(F.when(F.col("support") > 0, F.col("recall"))).alias("balanced_accuracy"), F.avg("f1").alias("f1_macro"), w("f1").alias("f1_weighted"), w("precision").alias("precision_weighted"), w("recall").alias("recall_weighted"))
 
 
-def metric_row(long: DataFrame, truth: str) -> DataFrame:
+def metric_row(long: DataFrame, truth: str, top: DataFrame | None = None) -> DataFrame:
     """One row from a table (row, class, p, truth): ``metrics`` of the likeliest class (ties: the first) and roc_auc_weighted, the classes' areas by their rows.
 
     Rows without truth take no part.  Classes that are never or always the
-    truth have no area; where none has one it is null.
+    truth have no area; where none has one it is null.  ``top``: truth and
+    predicted of each row, where they are at hand and need no gathering.
     """
     known = long.where(F.col(truth).isNotNull())
-    top = known.groupBy("row").agg(F.first(truth).alias("truth"), F.min_by("class", F.struct(-F.col("p"), "class")).alias("predicted"))
+    if top is None:
+        top = known.groupBy("row").agg(F.first(truth).alias("truth"), F.min_by("class", F.struct(-F.col("p"), "class")).alias("predicted"))
     areas = auc_ovr(known, truth).where("auc is not null").agg(F.try_divide(F.sum(F.col("auc") * F.col("positives")), F.sum("positives")).alias("roc_auc_weighted"))
     return metrics(confusion(top, "truth", "predicted")).crossJoin(areas)  # one row each
 
@@ -124,12 +167,14 @@ def search_multipliers(df: DataFrame, truth: str, p: str, classes: int, grid: tu
     pass over the stored rows, and a confusion matrix for each candidate is all
     that reaches the driver.
     """
-    rows = shared.stored(df.select(F.col(truth).cast("int").alias("t"), F.col(p).alias("p")).where("t is not null and p is not null"), "out-of-fold")
+    known = df.select(F.col(truth).cast("int").alias("t"), F.col(p).alias("p")).where("t is not null and p is not null")
+    rows = shared.stored(known.select("t", *[F.get("p", F.lit(i)).alias(f"p{i}") for i in range(classes)]), "out-of-fold")
 
     def tried(trials: list[list[float]]) -> list[tuple[float, float]]:
         def predicted(w: list[float]):
-            a = F.zip_with("p", F.array(*[F.lit(float(x)) for x in w]), lambda x, y: x * y)
-            return F.array_position(a, F.array_max(a)).cast("int") - 1
+            a = [F.col(f"p{i}") * float(x) for i, x in enumerate(w)]
+            best = F.greatest(*a) if len(a) > 1 else a[0]
+            return F.coalesce(*[F.when(x == best, i) for i, x in enumerate(a)])
 
         long = rows.select("t", F.posexplode(F.array(*[predicted(w) for w in trials])).alias("i", "y"))
         conf: list[dict] = [{} for _ in trials]

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import holdout, learning, profile, ranking, search, selection
-from .decisions import _PROBS, _VOTED, probabilities
+from .decisions import _PROBS, _VOTED, means, voted
 from .matches import _POINTS, points
 from .registry import Tables, query
 
@@ -59,8 +59,8 @@ _MEANS = _PROBS + ", m AS (SELECT row, CAST(left(any_value(truth), 1) AS INT) AS
 
 def averaged(t: Tables) -> DataFrame:
     """The four models' mean probability of each class."""
-    m = probabilities(t).groupBy("row", "class").agg(F.first("truth").alias("truth"), F.round(F.avg("p"), 12).alias("p"))
-    return m.withColumn("truth", F.substring("truth", 1, 1).cast("int"))
+    m = means(t).select("row", F.substring("truth", 1, 1).cast("int").alias("truth"), F.posexplode("m").alias("class", "p"))
+    return m.withColumn("class", F.col("class") + 1).withColumn("p", F.round("p", 12))
 
 
 @query(_MEANS + """, f AS (SELECT class, p, count(*) AS n, count(*) FILTER (truth = class) AS pos FROM m GROUP BY ALL), s AS (SELECT *, sum(pos) OVER w AS hits, sum(n) OVER w AS seen, sum(pos) OVER (PARTITION BY class) AS yes, sum(n) OVER (PARTITION BY class) AS rows FROM f WINDOW w AS (PARTITION BY class ORDER BY p DESC))
@@ -79,7 +79,7 @@ def score_curves(t: Tables) -> DataFrame:
 SELECT round(sum(h) / sum(t), 6) AS accuracy, round(avg(h / t), 6) AS balanced_accuracy, round(avg(2 * h / (t + q)), 6) AS f1_macro, round(sum(2 * h / (t + q) * t) / sum(t), 6) AS f1_weighted, round(sum(h / nullif(q, 0) * t) / sum(t), 6) AS precision_weighted, round(sum(h / t * t) / sum(t), 6) AS recall_weighted, (SELECT round(sum(auc * pos) / sum(pos), 6) FROM a) AS roc_auc_weighted FROM k"""
 )
 def metric_row(t: Tables) -> DataFrame:
-    m = ranking.metric_row(averaged(t), "truth")
+    m = ranking.metric_row(averaged(t), "truth", voted(t).where("truth is not null"))
     return m.select(*[F.round(c, 6).alias(c) for c in m.columns])
 
 
