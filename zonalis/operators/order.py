@@ -9,18 +9,27 @@ from ..sources.shared import root
 
 
 def running(df: DataFrame, keys: list[str], weight: Column, name: str) -> DataFrame:
-    """Adds the sum of ``weight`` over all rows before each in the order of ``keys``, without one task holding all rows.
+    """Adds the sum of ``weight`` over all rows before each in the order of ``keys``, without one task holding all rows."""
+    return running_sums(df, keys, {name: weight})
+
+
+def running_sums(df: DataFrame, keys: list[str], weights: dict[str, Column]) -> DataFrame:
+    """Adds the sum of each weight over all rows before each in the order of ``keys``: one order and one store for all of them.
 
     Rows are range-partitioned and stored with their partition's number, so
     that every later reading has the same; sums run within a partition, and
     only a sum for each partition is gathered to shift them.
     """
     root(df.sparkSession)
-    parts = df.withColumn("_w", weight).repartitionByRange(*keys).withColumn("_p", F.spark_partition_id()).checkpoint()
-    local = parts.withColumn("_i", F.coalesce(F.sum("_w").over(Window.partitionBy("_p").orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    sizes = parts.groupBy("_p").agg(F.sum("_w").alias("_n"))
-    shift = sizes.withColumn("_b", F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1))).drop("_n")  # a row for each partition
-    return local.join(F.broadcast(shift), "_p").withColumn(name, F.col("_i") + F.coalesce("_b", F.lit(0))).drop("_p", "_i", "_b", "_w")
+    at = {name: (f"_w{i}", f"_i{i}", f"_b{i}") for i, name in enumerate(weights)}
+    parts = df.select("*", *[weights[k].alias(w) for k, (w, _, _) in at.items()]).repartitionByRange(*keys).withColumn("_p", F.spark_partition_id()).checkpoint()
+    before = Window.partitionBy("_p").orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    local = parts.select("*", *[F.coalesce(F.sum(w).over(before), F.lit(0)).alias(i) for w, i, _ in at.values()])
+    sizes = parts.groupBy("_p").agg(*[F.sum(w).alias(b) for w, _, b in at.values()])
+    earlier = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    shift = sizes.select("_p", *[F.sum(b).over(earlier).alias(b) for _, _, b in at.values()])  # a row for each partition
+    met = local.join(F.broadcast(shift), "_p")
+    return met.select(*df.columns, *[(F.col(i) + F.coalesce(b, F.lit(0))).alias(k) for k, (_, i, b) in at.items()])
 
 
 def numbered(df: DataFrame, keys: list[str], name: str) -> DataFrame:

@@ -142,8 +142,7 @@ def curves(long: DataFrame, truth: str) -> DataFrame:
     freq = long.groupBy("class", "p").agg(F.count("*").alias("_n"), F.count_if(yes).alias("_pos"))
     total = freq.groupBy("class").agg(F.sum("_pos").alias("_all"), (F.sum("_n") - F.sum("_pos")).alias("_rest"))
     d = freq.where("p is not null").withColumn("_q", -F.col("p"))
-    d = order.running(d, ["class", "_q"], F.col("_pos"), "_tp")
-    d = order.running(d, ["class", "_q"], F.col("_n"), "_seen")
+    d = order.running_sums(d, ["class", "_q"], {"_tp": F.col("_pos"), "_seen": F.col("_n")})
     base = d.groupBy(F.col("class").alias("_k")).agg(F.min("_tp").alias("_tp0"), F.min("_seen").alias("_seen0"))
     d = d.join(F.broadcast(base), F.col("class").eqNullSafe(F.col("_k"))).drop("_k")  # a row for each class
     d = d.join(F.broadcast(total.withColumnRenamed("class", "_k")), F.col("class").eqNullSafe(F.col("_k")))  # a row for each class
