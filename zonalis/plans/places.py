@@ -82,7 +82,7 @@ def stream_sessions(t: Tables) -> DataFrame:
 @query()
 def model_out_of_fold(t: Tables) -> DataFrame:
     o = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "o_totalprice", "c_acctbal", "c_nationkey", "o_orderstatus")
-    d = learning.folds(learning.labelled(o, "o_orderstatus"), "o_orderkey", "o_orderstatus", 2)
+    d = shared.stored(learning.folds(learning.labelled(o, "o_orderstatus"), "o_orderkey", "o_orderstatus", 2).select("o_orderkey", "o_totalprice", "c_acctbal", "c_nationkey", "label", "fold"), "folds")  # each fit reads it
     long = learning.out_of_fold(d, "o_orderkey", ["logistic", "tree"], 2, ["o_totalprice", "c_acctbal", "c_nationkey"])
     return ranking.vote(long).groupBy("prediction").agg(F.count("*").alias("n"))
 
