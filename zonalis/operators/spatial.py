@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources import shared
-from . import joins
+from . import joins, order
 from .zonal import finite
 
 
@@ -135,13 +135,137 @@ def clusters(points: DataFrame, key: str, x: str, y: str, distance: float, block
     return known.join(size, F.col("l").eqNullSafe(F.col("m"))).select(F.col("a").alias(key), F.col("l").alias("cluster"), "size")
 
 
-def variogram(points: DataFrame, key: str, x: str, y: str, value: str, lags: int, reach: float) -> DataFrame:
-    """Lag bins up to ``reach``: pairs, mean distance, semivariance; pairs come from a join on cells."""
-    p = points.select(F.col(key).alias("_a"), F.col(x).alias("_x"), F.col(y).alias("_y"), F.col(value).alias("_v"))
-    q = points.select(F.col(key).alias("_b"), F.col(x).alias("_x2"), F.col(y).alias("_y2"), F.col(value).alias("_w"))
-    pairs = joins.within(p, q, "_x", "_y", "_x2", "_y2", reach).where("_a < _b")
-    bin_ = F.least(F.floor(F.col("distance") / (reach / lags)), F.lit(lags - 1)).cast("long")
-    return pairs.groupBy(bin_.alias("bin")).agg(F.count("*").alias("pairs"), F.avg("distance").alias("lag"), (F.avg((F.col("_v") - F.col("_w")) ** 2) / 2).alias("semivariance"))
+def _morton(c: Column) -> Column:
+    """31 bits with a nought before each."""
+    for shift, mask in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555)):
+        c = c.bitwiseOR(F.shiftleft(c, shift)).bitwiseAND(F.lit(mask))
+    return c
+
+
+def _leaves(x: np.ndarray, y: np.ndarray, size: int = 256) -> list[np.ndarray]:
+    """The points' indices in groups of at most ``size``, halved along the longer side."""
+    todo, out = [np.arange(len(x))], []
+    while todo:
+        at = todo.pop()
+        if len(at) <= size:
+            out.append(at)
+            continue
+        c = x if np.ptp(x[at]) >= np.ptp(y[at]) else y
+        at = at[np.argpartition(c[at], len(at) // 2)]
+        todo += [at[: len(at) // 2], at[len(at) // 2 :]]
+    return out
+
+
+def _lag_sums(p: pd.DataFrame, q: pd.DataFrame, same: bool, lags: int, reach: float) -> pd.DataFrame:
+    """By bin: pairs of a row of ``p`` and one of ``q``, sums of distances, pairs with both values and their squared differences.
+
+    Rows are places with x, y, v, known (v is a value), n (points) and g (a
+    repeated key's number or -1).  ``same``: ``q`` is ``p``, each pair counts
+    once.  Boxes of groups tell which are out of reach and which pairs of
+    groups lie in one bin; rounding is monotonic, so both are exact.
+    """
+    width = reach / lags
+    count, known = np.zeros(lags, np.int64), np.zeros(lags, np.int64)
+    far, semi = np.zeros(lags), np.zeros(lags)
+    sides = []
+    for d in (p,) if same else (p, q):
+        cols = [d[c].to_numpy() for c in ("x", "y", "v", "known", "n", "g")]
+        groups = [tuple(c[at] for c in cols) for at in _leaves(cols[0], cols[1])]
+        plain = [bool(k.all() and (n == 1).all() and (g < 0).all()) for _, _, _, k, n, g in groups]
+        box = np.array([(x.min(), x.max(), y.min(), y.max()) for x, y, *_ in groups])
+        sides.append((groups, plain, box))
+    (left, plain_l, bl), (right, plain_r, br) = sides[0], sides[-1]
+    apart = lambda dx, dy: np.sqrt(dx * dx + dy * dy)
+
+    for i, (xi, yi, vi, ki, ni, gi) in enumerate(left):
+        a, b, c, d = bl[i]
+        least = apart(np.maximum(np.maximum(br[:, 0] - b, a - br[:, 1]), 0), np.maximum(np.maximum(br[:, 2] - d, c - br[:, 3]), 0))
+        most = apart(np.maximum(br[:, 1] - a, b - br[:, 0]), np.maximum(br[:, 3] - c, d - br[:, 2]))
+        for j in np.nonzero(least <= reach)[0]:
+            if same and j < i:
+                continue
+            xj, yj, vj, kj, nj, gj = right[j]
+            h = apart(xi[:, None] - xj, yi[:, None] - yj)
+            s = (vi[:, None] - vj) ** 2
+            inner = same and i == j
+            if not inner and plain_l[i] and plain_r[j]:
+                low = min(int(least[j] / width), lags - 1)
+                if most[j] <= reach and low == min(int(most[j] / width), lags - 1):
+                    count[low] += h.size
+                    known[low] += h.size
+                    far[low] += h.sum()
+                    semi[low] += s.sum()
+                    continue
+                w = u = None
+            else:
+                w = ni[:, None] * nj
+                if inner:  # a place's points are pairs too, unless they are one key
+                    w = np.triu(w, 1)
+                    np.fill_diagonal(w, np.where(gi < 0, ni * (ni - 1) // 2, 0))
+                w[(gi[:, None] == gj) & (gi[:, None] >= 0)] = 0
+                u = w * (ki[:, None] & kj)
+                s = np.where(u > 0, s, 0.0)
+            at = np.minimum(h / width, lags - 1).astype(np.intp)
+            at[h > reach] = lags
+            at = at.ravel()
+            if w is None:
+                got = np.bincount(at, minlength=lags + 1)[:lags]
+                count += got
+                known += got
+            elif float(ni.sum()) * float(nj.sum()) < 2.0**53:
+                count += np.bincount(at, w.ravel(), lags + 1)[:lags].astype(np.int64)
+                known += np.bincount(at, u.ravel(), lags + 1)[:lags].astype(np.int64)
+            else:  # doubles would miscount
+                count += np.array([w.ravel()[at == k].sum() for k in range(lags)])
+                known += np.array([u.ravel()[at == k].sum() for k in range(lags)])
+            far += np.bincount(at, (h if w is None else h * w).ravel(), lags + 1)[:lags]
+            semi += np.bincount(at, (s if w is None else s * u).ravel(), lags + 1)[:lags]
+    have = np.nonzero(count)[0]
+    return pd.DataFrame({"bin": have, "pairs": count[have], "far": far[have], "known": known[have], "semi": semi[have]})
+
+
+def variogram(points: DataFrame, key: str, x: str, y: str, value: str, lags: int, reach: float, block: int = 65536) -> DataFrame:
+    """Lag bins up to ``reach``: pairs, mean distance, semivariance (of the pairs with both values) over all pairs of points of different keys.
+
+    Equal points are one place with a count.  Places in the order of a curve
+    are cut into blocks of equal size, however crowded, and a task takes two
+    blocks whose boxes are in reach: what it holds is bounded, no pair is ever
+    a row, and the time is that of the pairs in reach, shared evenly.
+    """
+    if lags < 1 or not reach > 0:
+        raise ValueError("a variogram takes one lag at least and a reach above nought")
+    v = F.col(value).cast("double")
+    rows = points.select(F.col(key).alias("k"), finite(F.col(x).cast("double")).alias("x"), finite(F.col(y).cast("double")).alias("y"), F.coalesce(v, F.lit(0.0)).alias("v"), v.isNotNull().alias("known"))
+    rows = rows.where("k is not null and x is not null and y is not null")
+    again = shared.stored(rows.groupBy("k").agg(F.count("*").alias("n")).where("n > 1").select("k", F.monotonically_increasing_id().alias("g")), "keys")
+    spots = rows.join(again, "k", "left").groupBy("x", "y", "v", "known", F.coalesce("g", F.lit(-1)).alias("g")).agg(F.count("*").alias("n"))
+    spots = shared.stored(spots, "places")
+    box = spots.agg(F.count("*").alias("n"), *[f(c).alias(f"{n}{c}") for c in "xy" for n, f in (("l", F.min), ("h", F.max))]).first()
+    size = min(block, max(256, -(-box["n"] // 32)))  # few points make some hundred pairs of blocks too
+
+    def share(c: str) -> Column:
+        low, wide = box[f"l{c}"] or 0.0, (box[f"h{c}"] or 0.0) - (box[f"l{c}"] or 0.0)
+        part = (F.col(c) - low) / wide if 0 < wide < math.inf else F.lit(0.0)
+        return F.floor(F.least(F.greatest(part, F.lit(0.0)), F.lit(1.0)) * (2.0**31 - 1)).cast("long")
+
+    curve = spots.withColumn("c", _morton(share("x")).bitwiseOR(F.shiftleft(_morton(share("y")), 1)))
+    dealt = order.numbered(curve, ["c", "x", "y", "v", "known", "g"], "i").withColumn("b", F.floor((F.col("i") - 1) / size)).drop("c", "i")
+    dealt = shared.stored(dealt, "blocks")
+    boxes = shared.stored(dealt.groupBy("b").agg(*[f(c).alias(f"{n}{c}") for c in "xy" for n, f in (("l", F.min), ("h", F.max))]), "boxes")
+    gap = lambda c: F.greatest(F.col(f"q.l{c}") - F.col(f"p.h{c}"), F.col(f"p.l{c}") - F.col(f"q.h{c}"), F.lit(0.0))
+    met = boxes.alias("p").crossJoin(boxes.alias("q")).where(F.col("p.b") <= F.col("q.b")).where(_apart(gap("x"), gap("y")) <= reach)  # a row a block
+    met = shared.stored(met.select(F.col("p.b").alias("p"), F.col("q.b").alias("q")), "pairs")
+    parts = max(1, min(met.count(), 8 * points.sparkSession.sparkContext.defaultParallelism))
+    one = dealt.join(met.withColumnRenamed("p", "b").withColumn("p", F.col("b")), "b").withColumn("side", F.lit(0))
+    two = dealt.join(met.where("p < q").withColumnRenamed("q", "b").withColumn("q", F.col("b")), "b").withColumn("side", F.lit(1))
+
+    def summed(at: tuple, d: pd.DataFrame) -> pd.DataFrame:
+        return _lag_sums(d[d["side"] == 0], d[d["side"] == 1], at[0] == at[1], lags, reach)
+
+    both = one.drop("b").unionByName(two.drop("b")).repartition(parts, "p", "q")
+    sums = both.groupBy("p", "q").applyInPandas(summed, "bin long, pairs long, far double, known long, semi double")
+    bins = sums.groupBy("bin").agg(*[F.sum(c).alias(c) for c in ("pairs", "far", "known", "semi")])
+    return bins.select("bin", "pairs", (F.col("far") / F.col("pairs")).alias("lag"), F.when(F.col("known") > 0, F.col("semi") / F.col("known") / 2).alias("semivariance"))
 
 
 #: Variogram models of lag, scale (sill or slope), reach (range or power) and nugget.
